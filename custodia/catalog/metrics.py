@@ -28,7 +28,7 @@ def entry(name, sql=None):
 def daily(spark, sf):
     return metrics.daily_zone_metrics(
         curated(trips(spark, sf), zones(spark, sf), LAYOUT),
-        "pickup_ts", "pu_location_id", ["PU_zone", "PU_borough"], "total_amount", "trip_distance",
+        "pickup_ts", "pu_zone_id", ["PU_zone", "PU_borough"], "total_amount", "trip_distance",
     )
 
 
@@ -46,12 +46,12 @@ def trips_by_code(spark, sf):
     "top_zones_by_trips",
     with_ctes(TRIPS, ZONES, body="""
 SELECT location_id, borough, zone, trips, row_number() OVER (ORDER BY trips DESC, location_id) AS position FROM (
-  SELECT location_id, borough, zone, COUNT(*) AS trips FROM trips JOIN zones ON pu_location_id = location_id
+  SELECT location_id, borough, zone, COUNT(*) AS trips FROM trips JOIN zones ON pu_zone_id = location_id
   GROUP BY 1, 2, 3 ORDER BY trips DESC, location_id LIMIT 20)"""),
 )
 def top_zones_by_trips(spark, sf):
     zone = metrics.zone_measures(
-        trips(spark, sf), zones(spark, sf), "pu_location_id", "location_id", "total_amount", ["borough", "zone"]
+        trips(spark, sf), zones(spark, sf), "pu_zone_id", "location_id", "total_amount", ["borough", "zone"]
     )
     best = metrics.top(zone, "trips", 20, "location_id").drop("revenue")
     return metrics.number_rows(best, F.desc("trips"), "location_id")
@@ -63,12 +63,12 @@ def top_zones_by_trips(spark, sf):
 SELECT location_id, borough, zone, CAST(revenue AS DOUBLE) AS revenue,
        row_number() OVER (ORDER BY revenue DESC, location_id) AS position FROM (
   SELECT location_id, borough, zone, SUM(COALESCE(total_amount, 0)) AS revenue
-  FROM trips JOIN zones ON pu_location_id = location_id
+  FROM trips JOIN zones ON pu_zone_id = location_id
   GROUP BY 1, 2, 3 ORDER BY revenue DESC, location_id LIMIT 10)"""),
 )
 def top_zones_by_revenue(spark, sf):
     zone = metrics.zone_measures(
-        trips(spark, sf), zones(spark, sf), "pu_location_id", "location_id", "total_amount", ["borough", "zone"]
+        trips(spark, sf), zones(spark, sf), "pu_zone_id", "location_id", "total_amount", ["borough", "zone"]
     )
     best = metrics.top(zone, "revenue", 10, "location_id").drop("trips")
     return metrics.number_rows(best, F.desc("revenue"), "location_id").withColumn("revenue", number("revenue"))
@@ -77,14 +77,14 @@ def top_zones_by_revenue(spark, sf):
 ZONE_RANK = with_ctes(TRIPS, ZONES, body="""
 SELECT borough, zone, CAST(revenue AS DOUBLE) AS revenue,
        DENSE_RANK() OVER (PARTITION BY borough ORDER BY revenue DESC) AS borough_rank
-FROM (SELECT pu_location_id, SUM(COALESCE(total_amount, 0)) AS revenue FROM trips GROUP BY 1)
-JOIN zones ON pu_location_id = location_id""")
+FROM (SELECT pu_zone_id, SUM(COALESCE(total_amount, 0)) AS revenue FROM trips GROUP BY 1)
+JOIN zones ON pu_zone_id = location_id""")
 
 
 @entry("zone_rank_in_borough", ZONE_RANK)
 def zone_rank_in_borough(spark, sf):
     zone = metrics.zone_measures(
-        trips(spark, sf), zones(spark, sf), "pu_location_id", "location_id", "total_amount", ["borough", "zone"]
+        trips(spark, sf), zones(spark, sf), "pu_zone_id", "location_id", "total_amount", ["borough", "zone"]
     )
     ranked = metrics.rank_within(zone, "borough", "revenue", "borough_rank")
     return ranked.select("borough", "zone", number("revenue").alias("revenue"), "borough_rank").orderBy(
@@ -104,7 +104,7 @@ def ranked_listing(spark, sf):
 
 CURATED_COLUMNS = [
     "order_id", "line_no", "part_id", "vendor_id", "pickup_ts", "dropoff_ts", "trip_distance", "fare_amount",
-    "total_amount", "payment_type", "pu_location_id", "do_location_id", "PU_borough", "PU_zone", "PU_service_zone",
+    "total_amount", "payment_type", "pu_zone_id", "do_zone_id", "PU_borough", "PU_zone", "PU_service_zone",
     "DO_borough", "DO_zone", "DO_service_zone", "year", "month",
 ]
 
@@ -114,12 +114,12 @@ CURATED_COLUMNS = [
     with_ctes(TRIPS, ZONES, SOME_ZONES, body="""
 SELECT order_id, line_no, part_id, vendor_id, CAST(pickup_ts AS VARCHAR) AS pickup_ts,
        CAST(dropoff_ts AS VARCHAR) AS dropoff_ts, trip_distance, fare_amount,
-       CAST(total_amount AS DOUBLE) AS total_amount, payment_type, pu_location_id, do_location_id,
+       CAST(total_amount AS DOUBLE) AS total_amount, payment_type, pu_zone_id, do_zone_id,
        p.borough AS "PU_borough", p.zone AS "PU_zone", p.service_zone AS "PU_service_zone",
        d.borough AS "DO_borough", d.zone AS "DO_zone", d.service_zone AS "DO_service_zone",
        year(pickup_ts) AS year, month(pickup_ts) AS month
-FROM trips LEFT JOIN some_zones p ON pu_location_id = p.location_id
-LEFT JOIN some_zones d ON do_location_id = d.location_id WHERE """ + PASSES),
+FROM trips LEFT JOIN some_zones p ON pu_zone_id = p.location_id
+LEFT JOIN some_zones d ON do_zone_id = d.location_id WHERE """ + PASSES),
 )
 def curated_trips(spark, sf):
     out = curated(trips(spark, sf), some_zones(spark, sf), LAYOUT).select(*CURATED_COLUMNS)
@@ -144,18 +144,18 @@ def trip_duration(spark, sf):
 @entry(
     "enrich_two_roles",
     with_ctes(TRIPS, ZONES, SOME_ZONES, body="""
-SELECT order_id, line_no, part_id, pu_location_id, do_location_id,
+SELECT order_id, line_no, part_id, pu_zone_id, do_zone_id,
        CAST(p.location_id AS VARCHAR) AS "PU_location_id", p.zone AS "PU_zone",
        CAST(d.location_id AS VARCHAR) AS "DO_location_id", d.zone AS "DO_zone"
-FROM trips LEFT JOIN some_zones p ON pu_location_id = p.location_id
-LEFT JOIN some_zones d ON do_location_id = d.location_id""").replace(
+FROM trips LEFT JOIN some_zones p ON pu_zone_id = p.location_id
+LEFT JOIN some_zones d ON do_zone_id = d.location_id""").replace(
         '"PU_location_id"', '"pickup_zone_id"').replace('"DO_location_id"', '"dropoff_zone_id"'),
 )
 def enrich_two_roles(spark, sf):
-    roles = {"from_": "pu_location_id", "to_": "do_location_id"}
+    roles = {"from_": "pu_zone_id", "to_": "do_zone_id"}
     both = enrich.enrich_roles(trips(spark, sf), some_zones(spark, sf), "location_id", roles, salts=4)
     return both.select(
-        "order_id", "line_no", "part_id", "pu_location_id", "do_location_id",
+        "order_id", "line_no", "part_id", "pu_zone_id", "do_zone_id",
         text("from_location_id").alias("pickup_zone_id"), F.col("from_zone").alias("PU_zone"),
         text("to_location_id").alias("dropoff_zone_id"), F.col("to_zone").alias("DO_zone"),
     )
@@ -164,7 +164,7 @@ def enrich_two_roles(spark, sf):
 @entry(
     "zone_day_metrics",
     with_ctes(TRIPS, ZONES, DAILY, body="""
-SELECT CAST(trip_date AS VARCHAR) AS trip_date, pu_location_id, "PU_zone", "PU_borough", trip_count,
+SELECT CAST(trip_date AS VARCHAR) AS trip_date, pu_zone_id, "PU_zone", "PU_borough", trip_count,
        CAST(total_revenue AS DOUBLE) AS total_revenue, ROUND(avg_distance, 4) AS avg_distance FROM daily"""),
 )
 def zone_day_metrics(spark, sf):
@@ -189,12 +189,12 @@ def revenue_borough_month(spark, sf):
     "star_borough_revenue",
     with_ctes(TRIPS, ZONES, body="""
 SELECT borough, CAST(SUM(total_amount) AS DOUBLE) AS revenue, COUNT(*) AS trips
-FROM trips JOIN zones ON pu_location_id = location_id GROUP BY 1"""),
+FROM trips JOIN zones ON pu_zone_id = location_id GROUP BY 1"""),
 )
 def star_borough_revenue(spark, sf):
     """Borough totals over the star; the fact is summed per surrogate key before the dimension join."""
     dim = star.keyed(zones(spark, sf), "location_id", "zone_sk")
-    fact = star.resolve_keys(trips(spark, sf), {"pu_zone_sk": (dim, "location_id", "zone_sk", "pu_location_id")})
+    fact = star.resolve_keys(trips(spark, sf), {"pu_zone_sk": (dim, "location_id", "zone_sk", "pu_zone_id")})
     per_key = fact.groupBy("pu_zone_sk").agg(F.sum("total_amount").alias("revenue"), F.count("*").alias("trips"))
     joined = per_key.join(dim, F.col("pu_zone_sk") == F.col("zone_sk"))
     return joined.groupBy("borough").agg(
@@ -206,11 +206,11 @@ def star_borough_revenue(spark, sf):
     "fact_dim_inner",
     with_ctes(TRIPS, ZONES, SOME_ZONES, body="""
 SELECT order_id, line_no, part_id, zone, CAST(total_amount AS DOUBLE) AS total_amount
-FROM trips JOIN some_zones ON pu_location_id = location_id"""),
+FROM trips JOIN some_zones ON pu_zone_id = location_id"""),
 )
 def fact_dim_inner(spark, sf):
     fact, dim = trips(spark, sf), some_zones(spark, sf)
-    return fact.join(dim, fact.pu_location_id == dim.location_id).select(
+    return fact.join(dim, fact.pu_zone_id == dim.location_id).select(
         "order_id", "line_no", "part_id", "zone", number("total_amount").alias("total_amount")
     )
 
@@ -219,12 +219,12 @@ def fact_dim_inner(spark, sf):
     "preaggregate_join",
     with_ctes(TRIPS, ZONES, SOME_ZONES, body="""
 SELECT location_id, zone, trips, CAST(revenue AS DOUBLE) AS revenue FROM (
-  SELECT do_location_id, COUNT(*) AS trips, SUM(COALESCE(total_amount, 0)) AS revenue FROM trips GROUP BY 1)
-JOIN some_zones ON do_location_id = location_id"""),
+  SELECT do_zone_id, COUNT(*) AS trips, SUM(COALESCE(total_amount, 0)) AS revenue FROM trips GROUP BY 1)
+JOIN some_zones ON do_zone_id = location_id"""),
 )
 def preaggregate_join(spark, sf):
     out = metrics.zone_measures(
-        trips(spark, sf), some_zones(spark, sf), "do_location_id", "location_id", "total_amount", ["zone"]
+        trips(spark, sf), some_zones(spark, sf), "do_zone_id", "location_id", "total_amount", ["zone"]
     )
     return out.withColumn("revenue", number("revenue"))
 
@@ -274,8 +274,8 @@ SELECT order_id, line_no, part_id, CAST(CAST(pickup_ts AS DATE) AS VARCHAR) AS f
        CAST(l.vendor_id AS VARCHAR) AS dim_vendor_id, CAST(p.location_id AS VARCHAR) AS pu_dim_id,
        CAST(d.location_id AS VARCHAR) AS do_dim_id
 FROM trips t LEFT JOIN lifecycle l ON t.vendor_id = l.vendor_id AND l.lifecycle_state = 'ACTIVE'
-LEFT JOIN some_zones p ON pu_location_id = p.location_id
-LEFT JOIN some_zones d ON do_location_id = d.location_id"""),
+LEFT JOIN some_zones p ON pu_zone_id = p.location_id
+LEFT JOIN some_zones d ON do_zone_id = d.location_id"""),
 )
 def star_fact(spark, sf):
     """The fact with its surrogate keys, resolved back to natural keys: proves each key leads home."""
@@ -322,8 +322,8 @@ def dim_zone_approved(spark, sf):
     with_ctes(TRIPS, ZONES, SOME_ZONES, body="""
 SELECT ROUND(100.0 * SUM(CASE WHEN p.location_id IS NULL THEN 1 ELSE 0 END) / NULLIF(COUNT(*), 0), 4) AS orphan_pu_pct,
        ROUND(100.0 * SUM(CASE WHEN d.location_id IS NULL THEN 1 ELSE 0 END) / NULLIF(COUNT(*), 0), 4) AS orphan_do_pct
-FROM trips LEFT JOIN some_zones p ON pu_location_id = p.location_id
-LEFT JOIN some_zones d ON do_location_id = d.location_id
+FROM trips LEFT JOIN some_zones p ON pu_zone_id = p.location_id
+LEFT JOIN some_zones d ON do_zone_id = d.location_id
 WHERE pickup_ts >= TIMESTAMP '2001-08-01' - INTERVAL 7 DAY"""),
 )
 def orphan_rate(spark, sf):
@@ -332,8 +332,8 @@ def orphan_rate(spark, sf):
     fact = star.resolve_keys(
         trips(spark, sf).filter(recent),
         {
-            "pu_zone_sk": (dim, "location_id", "zone_sk", "pu_location_id"),
-            "do_zone_sk": (dim, "location_id", "zone_sk", "do_location_id"),
+            "pu_zone_sk": (dim, "location_id", "zone_sk", "pu_zone_id"),
+            "do_zone_sk": (dim, "location_id", "zone_sk", "do_zone_id"),
         },
     )
     shares = metrics.null_share(fact, {"orphan_pu_pct": "pu_zone_sk", "orphan_do_pct": "do_zone_sk"})
@@ -345,14 +345,14 @@ def orphan_rate(spark, sf):
     with_ctes(TRIPS, ZONES, SOME_ZONES, body="""
 SELECT 'pu_orphans' AS expectation, ROUND(v, 4) AS value, CASE WHEN v <= 0.1 THEN 'PASS' ELSE 'FAIL' END AS status FROM (
   SELECT 100.0 * COUNT(*) FILTER (WHERE location_id IS NULL) / COUNT(*) AS v
-  FROM trips LEFT JOIN some_zones ON pu_location_id = location_id)
+  FROM trips LEFT JOIN some_zones ON pu_zone_id = location_id)
 UNION ALL
 SELECT 'negative_amount_rows', CAST(n AS DOUBLE), CASE WHEN n = 0 THEN 'PASS' ELSE 'FAIL' END
 FROM (SELECT COUNT(*) FILTER (WHERE total_amount < 0) AS n FROM trips)"""),
 )
 def star_expectations(spark, sf):
     dim = star.keyed(some_zones(spark, sf), "location_id", "zone_sk")
-    fact = star.resolve_keys(trips(spark, sf), {"pu_zone_sk": (dim, "location_id", "zone_sk", "pu_location_id")})
+    fact = star.resolve_keys(trips(spark, sf), {"pu_zone_sk": (dim, "location_id", "zone_sk", "pu_zone_id")})
     return star.star_expectations(fact, {"pu_orphans": "pu_zone_sk"}, "total_amount", 0.1).withColumn(
         "value", F.round("value", 4)
     )

@@ -148,11 +148,11 @@ UNION ALL SELECT 'PipelineFailRate', ROUND(AVG(CASE WHEN status = 'FAILED' THEN
 UNION ALL SELECT 'PipelineRuns24h', CAST(COUNT(*) AS DOUBLE), 'Count' FROM runs
 UNION ALL SELECT 'MasterFreshnessAgeHours', ROUND(AVG(age), 6), 'None' FROM runs
 UNION ALL SELECT 'OrphanRate_pu_pct', ROUND(100.0 * COUNT(*) FILTER (WHERE location_id IS NULL) / COUNT(*), 6), 'None'
-FROM trips LEFT JOIN some_zones ON pu_location_id = location_id"""),
+FROM trips LEFT JOIN some_zones ON pu_zone_id = location_id"""),
 )
 def governance_metrics(spark, sf):
     dim = star.keyed(some_zones(spark, sf), "location_id", "zone_sk")
-    fact = star.resolve_keys(trips(spark, sf), {"pu_zone_sk": (dim, "location_id", "zone_sk", "pu_location_id")})
+    fact = star.resolve_keys(trips(spark, sf), {"pu_zone_sk": (dim, "location_id", "zone_sk", "pu_zone_id")})
     shares = metrics.null_share(fact, {"pu_pct": "pu_zone_sk"})
     out = observability.governance_metrics(recent(spark, sf), "master_check", shares)
     return out.select("metric", F.round("value", 6).alias("value"), "unit")

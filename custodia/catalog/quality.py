@@ -32,9 +32,9 @@ RULES = [
      "severity": "medium"},
     {"name": "non_negative_total_amount", "type": "numeric_range", "column": "total_amount", "min": 0,
      "severity": "high"},
-    {"name": "pu_location_in_lookup", "type": "fk_membership", "column": "pu_location_id", "lookup": "zones",
+    {"name": "pu_location_in_lookup", "type": "fk_membership", "column": "pu_zone_id", "lookup": "zones",
      "lookup_key": "location_id", "severity": "high"},
-    {"name": "do_location_in_lookup", "type": "fk_membership", "column": "do_location_id", "lookup": "zones",
+    {"name": "do_location_in_lookup", "type": "fk_membership", "column": "do_zone_id", "lookup": "zones",
      "lookup_key": "location_id", "severity": "high"},
 ]
 
@@ -58,8 +58,8 @@ BAD = [
     ("pickup_before_dropoff", "high", "pickup_ts > dropoff_ts"),
     ("non_negative_trip_distance", "medium", "COALESCE(trip_distance, 0) < 0"),
     ("non_negative_total_amount", "high", "COALESCE(total_amount, 0) < 0"),
-    ("pu_location_in_lookup", "high", "pu_location_id NOT IN (SELECT location_id FROM some_zones)"),
-    ("do_location_in_lookup", "high", "do_location_id NOT IN (SELECT location_id FROM some_zones)"),
+    ("pu_location_in_lookup", "high", "pu_zone_id NOT IN (SELECT location_id FROM some_zones)"),
+    ("do_location_in_lookup", "high", "do_zone_id NOT IN (SELECT location_id FROM some_zones)"),
 ]
 
 
@@ -143,11 +143,11 @@ def lookup_gate(spark, sf):
 @entry(
     "fk_orphans",
     with_ctes(TRIPS, ZONES, SOME_ZONES, body="""
-SELECT do_location_id AS key_value, COUNT(*) AS fact_rows FROM trips
-WHERE do_location_id NOT IN (SELECT location_id FROM some_zones) GROUP BY 1"""),
+SELECT do_zone_id AS key_value, COUNT(*) AS fact_rows FROM trips
+WHERE do_zone_id NOT IN (SELECT location_id FROM some_zones) GROUP BY 1"""),
 )
 def fk_orphans(spark, sf):
-    return enrich.orphans(trips(spark, sf), some_zones(spark, sf), "do_location_id", "location_id")
+    return enrich.orphans(trips(spark, sf), some_zones(spark, sf), "do_zone_id", "location_id")
 
 
 @entry(
@@ -157,8 +157,8 @@ SELECT * FROM (SELECT order_id, line_no, part_id, vendor_id, concat_ws(',',
   CASE WHEN pickup_ts > dropoff_ts THEN 'pickup_before_dropoff' END,
   CASE WHEN COALESCE(trip_distance, 0) < 0 THEN 'non_negative_trip_distance' END,
   CASE WHEN COALESCE(total_amount, 0) < 0 THEN 'non_negative_total_amount' END,
-  CASE WHEN pu_location_id NOT IN (SELECT location_id FROM some_zones) THEN 'pu_location_in_lookup' END,
-  CASE WHEN do_location_id NOT IN (SELECT location_id FROM some_zones) THEN 'do_location_in_lookup' END) AS reasons
+  CASE WHEN pu_zone_id NOT IN (SELECT location_id FROM some_zones) THEN 'pu_location_in_lookup' END,
+  CASE WHEN do_zone_id NOT IN (SELECT location_id FROM some_zones) THEN 'do_location_in_lookup' END) AS reasons
 FROM trips) WHERE reasons <> ''"""),
 )
 def quarantine_rows(spark, sf):
@@ -204,7 +204,7 @@ def lineage_record(spark, sf):
 , m AS (
   SELECT 100.0 * COUNT(total_amount) / COUNT(*) AS completeness,
          100.0 * COUNT(*) FILTER (WHERE COALESCE(trip_distance, 0) >= 0 AND COALESCE(total_amount, 0) >= 0) / COUNT(*) AS validity,
-         100.0 * COUNT(*) FILTER (WHERE pu_location_id NOT IN (SELECT location_id FROM some_zones)) / COUNT(*) AS orphan,
+         100.0 * COUNT(*) FILTER (WHERE pu_zone_id NOT IN (SELECT location_id FROM some_zones)) / COUNT(*) AS orphan,
          (epoch_us(TIMESTAMP '2001-11-05') - epoch_us(MAX(dropoff_ts))) / 3.6e9 AS lag FROM trips)
 SELECT 'Completeness' AS dimension, ROUND(completeness, 4) AS measured, '>= 99.9' AS threshold,
        CASE WHEN completeness >= 99.9 THEN 'PASS' ELSE 'FAIL' END AS status, 'Data Steward (Ops)' AS owner,
@@ -245,14 +245,14 @@ def scorecard(spark, sf):
     with_ctes(TRIPS, ZONES, DAILY, body="""
 SELECT 'run-1' AS run_id, test_name, CASE WHEN n = 0 THEN 'PASS' ELSE 'FAIL' END AS status, n AS failing_rows, details FROM (
   SELECT 'test_no_negative_revenue' AS test_name, COUNT(*) AS n, 'total_revenue >= 0' AS details FROM daily WHERE total_revenue < 0
-  UNION ALL SELECT 'test_not_null_keys', COUNT(*), 'PK columns not null' FROM daily WHERE trip_date IS NULL OR pu_location_id IS NULL
+  UNION ALL SELECT 'test_not_null_keys', COUNT(*), 'PK columns not null' FROM daily WHERE trip_date IS NULL OR pu_zone_id IS NULL
   UNION ALL SELECT 'test_min_trips', COUNT(*), 'trip_count >= 2' FROM daily WHERE trip_count < 2)"""),
 )
 def zero_row_tests(spark, sf):
     d = daily(spark, sf)
     tests = {
         "test_no_negative_revenue": (d.filter("total_revenue < 0"), "total_revenue >= 0"),
-        "test_not_null_keys": (d.filter("trip_date IS NULL OR pu_location_id IS NULL"), "PK columns not null"),
+        "test_not_null_keys": (d.filter("trip_date IS NULL OR pu_zone_id IS NULL"), "PK columns not null"),
         "test_min_trips": (d.filter("trip_count < 2"), "trip_count >= 2"),
     }
     return quality.zero_row_tests(tests, "run-1", AS_OF).drop("ran_at")

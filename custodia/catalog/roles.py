@@ -64,8 +64,8 @@ def trips(spark: SparkSession, sf: str) -> DataFrame:
             F.col("l_extendedprice").alias("fare_amount"),
             amount.cast("decimal(20,4)").alias("total_amount"),
             F.substring("o_orderpriority", 1, 1).cast("int").alias("payment_type"),
-            F.col("c_nationkey").alias("pu_location_id"),
-            F.col("s_nationkey").alias("do_location_id"),
+            F.col("c_nationkey").alias("pu_zone_id"),
+            F.col("s_nationkey").alias("do_zone_id"),
         )
     )
 
@@ -82,7 +82,7 @@ trips AS (
               ELSE CAST(l_extendedprice AS DECIMAL(18,2)) * (1 - CAST(l_discount AS DECIMAL(4,2)))
               END AS DECIMAL(20,4)) AS total_amount,
          CAST(substr(o_orderpriority, 1, 1) AS INTEGER) AS payment_type,
-         c_nationkey AS pu_location_id, s_nationkey AS do_location_id
+         c_nationkey AS pu_zone_id, s_nationkey AS do_zone_id
   FROM lineitem
   JOIN orders ON l_orderkey = o_orderkey
   JOIN customer ON o_custkey = c_custkey
@@ -128,11 +128,11 @@ PASSES = (
 
 DAILY = """
 daily AS (
-  SELECT CAST(pickup_ts AS DATE) AS trip_date, pu_location_id,
+  SELECT CAST(pickup_ts AS DATE) AS trip_date, pu_zone_id,
          MAX(zone) AS "PU_zone", MAX(borough) AS "PU_borough", COUNT(*) AS trip_count,
          SUM(COALESCE(total_amount, 0)) AS total_revenue,
          SUM(COALESCE(trip_distance, 0)) / COUNT(*) AS avg_distance
-  FROM trips LEFT JOIN zones ON pu_location_id = location_id
+  FROM trips LEFT JOIN zones ON pu_zone_id = location_id
   WHERE """ + PASSES + """
   GROUP BY 1, 2)
 """

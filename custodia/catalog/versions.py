@@ -329,14 +329,14 @@ def stored_daily(spark, sf):
 @entry(
     "keyed_metric_upsert",
     with_ctes(TRIPS, ZONES, DAILY, body="""
-SELECT CAST(trip_date AS VARCHAR) AS trip_date, pu_location_id, trip_count, CAST(total_revenue AS DOUBLE) AS total_revenue,
+SELECT CAST(trip_date AS VARCHAR) AS trip_date, pu_zone_id, trip_count, CAST(total_revenue AS DOUBLE) AS total_revenue,
        CASE WHEN trip_date < DATE '1998-01-01' THEN '2024-01-01 00:00:00' ELSE '2024-03-01 00:00:00' END AS created_at,
        CASE WHEN trip_date < DATE '1998-01-01' THEN 'first_run' ELSE 'sql_transform_v1' END AS created_by FROM daily"""),
 )
 def keyed_metric_upsert(spark, sf):
-    out = upsert.upsert_measures(stored_daily(spark, sf), daily(spark, sf), ["trip_date", "pu_location_id"], AS_OF)
+    out = upsert.upsert_measures(stored_daily(spark, sf), daily(spark, sf), ["trip_date", "pu_zone_id"], AS_OF)
     return out.select(
-        text("trip_date").alias("trip_date"), "pu_location_id", "trip_count",
+        text("trip_date").alias("trip_date"), "pu_zone_id", "trip_count",
         number("total_revenue").alias("total_revenue"), text("created_at").alias("created_at"), "created_by",
     )
 

@@ -33,7 +33,7 @@ def enrich(
         return fact.join(role, on, "left")
     spread = list(salt_on or fact.columns)
     salted = fact.withColumn("_salt", F.pmod(F.xxhash64(*spread), F.lit(salts)))
-    copies = role.withColumn("_copy", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).cast("long"))
+    copies = role.withColumn("_copy", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(salts - 1).cast("long"))))
     on = (salted[fact_key] == copies[f"{prefix}{lookup_key}"]) & (salted["_salt"] == copies["_copy"])
     return salted.join(copies, on, "left").drop("_salt", "_copy")
 

@@ -6,7 +6,6 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 # Fixed enums of a dataset manifest.
 LAYERS = ("bronze", "silver", "gold")
@@ -15,7 +14,7 @@ ASSET_TYPES = ("reference", "transactional", "master")
 ASSET_FORMATS = ("csv", "parquet", "json")
 REQUIRED = ("dataset", "domain", "layer", "owner", "classification", "data_assets")
 ASSET_REQUIRED = ("name", "type", "format")
-MANIFEST_SCHEMA = T.StructType.fromDDL(
+MANIFEST_SCHEMA = (
     "dataset string, domain string, layer string, owner string, steward string, classification string, "
     "retention_policy struct<raw_days: string, archive: string>, "
     "data_assets array<struct<name: string, type: string, format: string, quality_rules: array<string>>>"

@@ -22,7 +22,7 @@ class TripLayout:
     dropoff: str = "dropoff_ts"
     distance: str = "trip_distance"
     amount: str = "total_amount"
-    roles: Mapping[str, str] = field(default_factory=lambda: {"PU_": "pu_location_id", "DO_": "do_location_id"})
+    roles: Mapping[str, str] = field(default_factory=lambda: {"PU_": "pu_zone_id", "DO_": "do_zone_id"})
     lookup_key: str = "location_id"
     keep: Sequence[str] = ()
 
