@@ -215,7 +215,7 @@ def queue(spark, sf):
         F.col("left_id").alias("left_vendor_id"),
         F.col("right_id").alias("right_vendor_id"),
         score.alias("confidence"),
-        score_band(score, 0.75, 0.6).alias("recommendation"),
+        score_band(score, 0.7, 0.6).alias("recommendation"),
         F.when(old, "REJECTED").otherwise("OPEN").alias("status"),
         (ts("2024-02-27 00:00:00") + F.make_dt_interval(F.lit(0), F.col("left_id").cast("int"))).alias("created_at"),
         F.lit(None).cast("timestamp_ntz").alias("reviewed_at"),
@@ -231,7 +231,7 @@ q AS (
   FROM names a JOIN names b ON a.name < b.name WHERE {EDIT_SQL} >= 0.6),
 queue AS (
   SELECT l * 1000000000 + r AS review_id, l AS left_vendor_id, r AS right_vendor_id, confidence,
-         CASE WHEN confidence >= 0.75 THEN 'AUTO_MERGE' ELSE 'STEWARD_REVIEW' END AS recommendation,
+         CASE WHEN confidence >= 0.7 THEN 'AUTO_MERGE' ELSE 'STEWARD_REVIEW' END AS recommendation,
          CASE WHEN old THEN 'REJECTED' ELSE 'OPEN' END AS status,
          TIMESTAMP '2024-02-27' + to_hours(l) AS created_at FROM q)
 """
@@ -263,7 +263,7 @@ def escalations(spark, sf):
     with_ctes(NAMES, QUEUE, body="""
 SELECT review_id,
        CASE WHEN status = 'OPEN' AND recommendation = 'STEWARD_REVIEW'
-            THEN CASE WHEN confidence >= 0.7 THEN 'APPROVED' ELSE 'REJECTED' END ELSE status END AS status,
+            THEN CASE WHEN confidence >= 0.65 THEN 'APPROVED' ELSE 'REJECTED' END ELSE status END AS status,
        CASE WHEN status = 'OPEN' AND recommendation = 'STEWARD_REVIEW' THEN 'data_steward' END AS reviewed_by,
        CASE WHEN status = 'OPEN' AND recommendation = 'STEWARD_REVIEW' THEN '2024-03-01 00:00:00' END AS reviewed_at
 FROM queue"""),
@@ -273,7 +273,7 @@ def steward_decisions(spark, sf):
     q = queue(spark, sf)
     decisions = q.filter("recommendation = 'STEWARD_REVIEW'").select(
         "review_id",
-        F.when(F.col("confidence") >= 0.7, "APPROVED").otherwise("REJECTED").alias("decision"),
+        F.when(F.col("confidence") >= 0.65, "APPROVED").otherwise("REJECTED").alias("decision"),
         F.lit("data_steward").alias("reviewer"),
         F.lit("batch review").alias("notes"),
     )
@@ -283,7 +283,7 @@ def steward_decisions(spark, sf):
 
 MERGES = """
 m AS (SELECT review_id, confidence, left_vendor_id AS s, right_vendor_id AS t FROM queue
-      WHERE status = 'OPEN' AND recommendation = 'AUTO_MERGE' AND confidence >= 0.75),
+      WHERE status = 'OPEN' AND recommendation = 'AUTO_MERGE' AND confidence >= 0.7),
 best AS (
   SELECT s, COUNT(*) AS merges, arg_max(name, (length(name), confidence, -t)) AS partner
   FROM m JOIN names ON t = id GROUP BY 1)
@@ -291,7 +291,7 @@ best AS (
 
 
 def merge(spark, sf):
-    return merging.AutoMerge(queue(spark, sf), AS_OF, 0.75)
+    return merging.AutoMerge(queue(spark, sf), AS_OF, 0.7)
 
 
 @entry(
@@ -332,7 +332,7 @@ def auto_merge_lifecycle(spark, sf):
     with_ctes(NAMES, QUEUE, body="""
 SELECT review_id, CASE WHEN hit THEN 'MERGED' ELSE status END AS status,
        CASE WHEN hit THEN 'Survivor=' || left_vendor_id || ', Deprecated=' || right_vendor_id END AS decision_notes
-FROM (SELECT *, status = 'OPEN' AND recommendation = 'AUTO_MERGE' AND confidence >= 0.75 AS hit FROM queue)"""),
+FROM (SELECT *, status = 'OPEN' AND recommendation = 'AUTO_MERGE' AND confidence >= 0.7 AS hit FROM queue)"""),
 )
 def auto_merge_queue(spark, sf):
     return merge(spark, sf).merged_queue().select("review_id", "status", "decision_notes")

@@ -231,10 +231,14 @@ def scorecard(spark, sf):
     )
     card = quality.scorecard(
         [
-            (one, "completeness", "Completeness", ">=", 99.9, "Data Steward (Ops)", "Block promotion to validated; create ticket"),
-            (one, "validity", "Validity", ">=", 100.0, "Data Owner (Finance)", "Quarantine bad rows; alert owner"),
-            (orphan, "orphan", "Consistency", "<=", 0.1, "Data Steward (Ops)", "Manual review; steward approval required"),
-            (one, "lag", "Timeliness", "<=", 24.0, "Data Custodian (DE)", "On-call alert; rerun job"),
+            (one, [
+                ("completeness", "Completeness", ">=", 99.9, "Data Steward (Ops)", "Block promotion to validated; create ticket"),
+                ("validity", "Validity", ">=", 100.0, "Data Owner (Finance)", "Quarantine bad rows; alert owner"),
+                ("lag", "Timeliness", "<=", 24.0, "Data Custodian (DE)", "On-call alert; rerun job"),
+            ]),
+            (orphan, [
+                ("orphan", "Consistency", "<=", 0.1, "Data Steward (Ops)", "Manual review; steward approval required"),
+            ]),
         ]
     )
     return card.withColumn("measured", F.round("measured", 4))
@@ -249,13 +253,12 @@ SELECT 'run-1' AS run_id, test_name, CASE WHEN n = 0 THEN 'PASS' ELSE 'FAIL' END
   UNION ALL SELECT 'test_min_trips', COUNT(*), 'trip_count >= 2' FROM daily WHERE trip_count < 2)"""),
 )
 def zero_row_tests(spark, sf):
-    d = daily(spark, sf)
     tests = {
-        "test_no_negative_revenue": (d.filter("total_revenue < 0"), "total_revenue >= 0"),
-        "test_not_null_keys": (d.filter("trip_date IS NULL OR pu_zone_id IS NULL"), "PK columns not null"),
-        "test_min_trips": (d.filter("trip_count < 2"), "trip_count >= 2"),
+        "test_no_negative_revenue": (F.col("total_revenue") < 0, "total_revenue >= 0"),
+        "test_not_null_keys": (F.col("trip_date").isNull() | F.col("pu_zone_id").isNull(), "PK columns not null"),
+        "test_min_trips": (F.col("trip_count") < 2, "trip_count >= 2"),
     }
-    return quality.zero_row_tests(tests, "run-1", AS_OF).drop("ran_at")
+    return quality.zero_row_conditions(daily(spark, sf), tests, "run-1", AS_OF).drop("ran_at")
 
 
 @entry(
@@ -343,11 +346,15 @@ def master_scorecard(spark, sf):
     )
     card = quality.scorecard(
         [
-            (dup, "dup", "Uniqueness", "<=", 0.5, "Data Steward (Vendor Mgmt)", "Steward review queue"),
-            (inv, "inv", "Validity", "<=", 0.0, "Data Owner (Vendor Mgmt VP)", "Block curated publish"),
-            (dup, "conf", "Consistency", "<=", 1.0, "Steward", "Steward arbitration"),
-            (state, "lag", "Timeliness", "<=", 24.0, "Custodian (DE)", "Alert + rerun"),
-            (state, "logged", "Auditability", ">=", 100.0, "Custodian", "Run fails"),
+            (dup, [
+                ("dup", "Uniqueness", "<=", 0.5, "Data Steward (Vendor Mgmt)", "Steward review queue"),
+                ("conf", "Consistency", "<=", 1.0, "Steward", "Steward arbitration"),
+            ]),
+            (inv, [("inv", "Validity", "<=", 0.0, "Data Owner (Vendor Mgmt VP)", "Block curated publish")]),
+            (state, [
+                ("lag", "Timeliness", "<=", 24.0, "Custodian (DE)", "Alert + rerun"),
+                ("logged", "Auditability", ">=", 100.0, "Custodian", "Run fails"),
+            ]),
         ]
     )
     return card.select("dimension", F.round("measured", 4).alias("measured"), "status")

@@ -49,9 +49,12 @@ def trips(spark: SparkSession, sf: str) -> DataFrame:
     net = F.col("l_extendedprice").cast("decimal(18,2)") * (1 - F.col("l_discount").cast("decimal(4,2)"))
     refund = (F.col("l_returnflag") == "R") & (F.col("l_linestatus") == "F")
     amount = F.when(F.col("l_discount") == 0.1, F.lit(None)).when(refund, -net).otherwise(net)
+    # orders meet customers first, so the line items are shuffled once, by order key
+    placed = orders.join(customer, orders.o_custkey == customer.c_custkey).select(
+        "o_orderkey", "o_orderdate", "o_orderpriority", "c_nationkey"
+    )
     return (
-        li.join(orders, li.l_orderkey == orders.o_orderkey)
-        .join(customer, F.col("o_custkey") == customer.c_custkey)
+        li.join(placed, li.l_orderkey == placed.o_orderkey)
         .join(supplier, li.l_suppkey == supplier.s_suppkey)
         .select(
             F.col("l_orderkey").alias("order_id"),

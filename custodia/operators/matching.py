@@ -187,24 +187,20 @@ def similar_pairs(
         .filter(F.col("sig") == first)
         .filter(F.size(F.array_intersect("a_tokens", "b_tokens")) >= need)
     )
-    scored = candidates.withColumn("score", m.score(F.col("a_name"), F.col("b_name"))).filter(
-        F.col("score") >= threshold
-    )
+    # The smaller id comes first, also for scoring: some measures depend on the order in rare cases.
     swap = F.col("a_id") > F.col("b_id")
 
     def side(c: str, is_left: bool) -> Column:
         one, other = ("b", "a") if is_left else ("a", "b")
         return F.when(swap, F.col(f"{one}_{c}")).otherwise(F.col(f"{other}_{c}"))
 
-    return scored.select(
+    pairs = candidates.select(
         *block,
-        side("id", True).alias("left_id"),
-        side("id", False).alias("right_id"),
-        side("name", True).alias("left_name"),
-        side("name", False).alias("right_name"),
-        side("members", True).alias("left_members"),
-        side("members", False).alias("right_members"),
-        "score",
+        *[side(c, True).alias(f"left_{c}") for c in ("id", "name", "members")],
+        *[side(c, False).alias(f"right_{c}") for c in ("id", "name", "members")],
+    )
+    return pairs.withColumn("score", m.score(F.col("left_name"), F.col("right_name"))).filter(
+        F.col("score") >= threshold
     )
 
 

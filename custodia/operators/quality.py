@@ -311,6 +311,25 @@ def zero_row_tests(tests: Mapping[str, tuple[DataFrame, str]], run_id: str, as_o
     return results
 
 
+def zero_row_conditions(
+    df: DataFrame, tests: Mapping[str, tuple[Column, str]], run_id: str, as_of: str
+) -> DataFrame:
+    """``zero_row_tests`` for tests on one table, given as {name: (condition of a failing row, details)}: one scan."""
+    counts = [F.count_if(F.coalesce(bad, F.lit(False))).alias(f"_f{i}") for i, (bad, _) in enumerate(tests.values())]
+    rows = [
+        F.struct(
+            F.lit(run_id).alias("run_id"),
+            F.lit(name).alias("test_name"),
+            pass_fail(F.col(f"_f{i}") == 0).alias("status"),
+            F.col(f"_f{i}").alias("failing_rows"),
+            F.lit(details).alias("details"),
+            clock(as_of).alias("ran_at"),
+        )
+        for i, (name, (_, details)) in enumerate(tests.items())
+    ]
+    return df.agg(*counts).select(F.inline(F.array(*rows)))
+
+
 def raise_on_failure(results: DataFrame) -> None:
     """Raise after all tests were logged; one row per test reaches the driver."""
     failed = results.filter("status = 'FAIL'").select("test_name", "failing_rows").collect()
@@ -349,21 +368,28 @@ def lookup_gate(
     )
 
 
-def scorecard(measures: Sequence[tuple[DataFrame, str, str, str, float, str, str]]) -> DataFrame:
+def scorecard(measures: Sequence[tuple[DataFrame, Sequence[tuple[str, str, str, float, str, str]]]]) -> DataFrame:
     """Scorecard rows.
 
-    Each entry: (one-row DataFrame, value column, dimension, op, threshold, owner, action).
+    Each entry is a one-row DataFrame and the dimensions measured by it: (value
+    column, dimension, op, threshold, owner, action on failure). Each DataFrame is
+    computed once, however many dimensions it serves.
     """
     out = None
-    for df, value, dimension, op, threshold, owner, action in measures:
-        held = F.coalesce(COMPARISONS[op](F.col(value), F.lit(threshold)), F.lit(False))
-        row = df.select(
-            F.lit(dimension).alias("dimension"),
-            F.col(value).cast("double").alias("measured"),
-            F.lit(f"{op} {threshold}").alias("threshold"),
-            pass_fail(held).alias("status"),
-            F.lit(owner).alias("owner"),
-            F.when(~held, F.lit(action)).alias("action"),
-        )
-        out = row if out is None else out.unionByName(row)
+    for df, dimensions in measures:
+        rows = []
+        for value, dimension, op, threshold, owner, action in dimensions:
+            held = F.coalesce(COMPARISONS[op](F.col(value), F.lit(threshold)), F.lit(False))
+            rows.append(
+                F.struct(
+                    F.lit(dimension).alias("dimension"),
+                    F.col(value).cast("double").alias("measured"),
+                    F.lit(f"{op} {threshold}").alias("threshold"),
+                    pass_fail(held).alias("status"),
+                    F.lit(owner).alias("owner"),
+                    F.when(~held, F.lit(action)).alias("action"),
+                )
+            )
+        part = df.select(F.inline(F.array(*rows)))
+        out = part if out is None else out.unionByName(part)
     return out

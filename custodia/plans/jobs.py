@@ -132,12 +132,10 @@ def metrics_workflow(
     stored = spark.read.parquet(f"{out}/daily")
     files.write_flat(metrics.monthly_rollup(stored, f"{role}borough"), f"{out}/monthly")
     tests = {
-        "test_no_negative_revenue": (stored.filter("total_revenue < 0"), "total_revenue >= 0"),
-        "test_not_null_keys": (
-            stored.filter(F.col("trip_date").isNull() | F.col(key).isNull()), "PK columns not null",
-        ),
+        "test_no_negative_revenue": (F.col("total_revenue") < 0, "total_revenue >= 0"),
+        "test_not_null_keys": (F.col("trip_date").isNull() | F.col(key).isNull(), "PK columns not null"),
     }
-    files.write_flat(quality.zero_row_tests(tests, run_id, as_of), f"{out}/tests")
+    files.write_flat(quality.zero_row_conditions(stored, tests, run_id, as_of), f"{out}/tests")
     results = spark.read.parquet(f"{out}/tests")
     if strict:
         quality.raise_on_failure(results)
