@@ -19,12 +19,15 @@ from pyspark.sql import functions as F
 
 from custodia.functions import blended_confidence, indel_ratio, jaro_winkler, matching_blocks_ratio, score_band
 from custodia.functions.similarity import JARO_WINKLER_SHARE, PREFIX_LENGTH, PREFIX_WEIGHT, RATIO_SHARE
+from custodia.session import work_dir
 
 # Fixed value: letters of Latin-script names from frequent to rare. Any order keeps the join exact.
 FREQUENT_FIRST = " eariotnslcudpmhgbfywkvxzjq"
 RARE_LAST_CODES = "~zyxwvutsrqponmlkjihgfedcba"
 SHARED = 2
 EPS = 1e-9
+# Later occurrences sort before all first ones.
+OCCURRENCE_STEP = 1 << 21
 
 
 @dataclass(frozen=True)
@@ -100,45 +103,59 @@ def distinct_names(df: DataFrame, id_col: str, name: Column, block: Sequence[str
 
 
 def _tokens(name: Column) -> Column:
-    """Characters with occurrence numbers, rarest first: 'aba' -> a, b, second a."""
+    """Characters with occurrence numbers as ascending numbers, rarest first: 'aba' -> a, b, second a."""
     ranked = F.split(F.translate(name, FREQUENT_FIRST, RARE_LAST_CODES), "")
-    numbered = F.transform(
-        ranked,
-        lambda ch, i: F.concat(
-            F.lpad((F.lit(999) - F.size(F.filter(F.slice(ranked, F.lit(1), i), lambda x: x == ch))).cast("string"), 3, "0"),
-            ch,
+
+    def token(ch: Column, i: Column) -> Column:
+        earlier = F.size(F.filter(F.slice(ranked, F.lit(1), i), lambda x: x == ch))
+        return F.ascii(ch).cast("long") - earlier.cast("long") * OCCURRENCE_STEP
+
+    return F.sort_array(F.transform(ranked, token))
+
+
+def _mask(tokens: Column) -> Column:
+    """64-bit set of hashed tokens: a bit of one name that the other lacks is a token the other lacks."""
+    return F.aggregate(
+        tokens,
+        F.lit(0).cast("long"),
+        lambda acc, t: acc.bitwiseOR(
+            F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod(F.xxhash64(t), F.lit(64)).cast("int"))
         ),
     )
-    return F.sort_array(numbered)
 
 
 def _pairs_of(prefix: Column) -> Column:
+    """Hash of every pair of prefix tokens, each once."""
     return F.flatten(
         F.transform(
             prefix,
-            lambda t, i: F.transform(
-                F.slice(prefix, i + 2, F.size(prefix)), lambda u: F.concat_ws("|", t, u)
-            ),
+            lambda t, i: F.transform(F.slice(prefix, i + 2, F.size(prefix)), lambda u: F.xxhash64(t, u)),
         )
     )
 
 
-def _signatures(names: DataFrame, block: Sequence[str], least: float) -> DataFrame:
-    """One row per (name, signature); ``reach`` is the prefix length used for pair signatures."""
+CARRIED = ("id", "name", "members", "tokens", "mask", "reach", "reach_one")
+
+
+def _sized(names: DataFrame, least: float) -> DataFrame:
+    """Names with tokens, mask and the prefix lengths for pair and single signatures."""
     n = F.length("name")
     need = F.greatest(F.ceil(F.lit(least) * n - EPS), F.lit(1)).cast("int")
-    sized = names.withColumn("tokens", _tokens(F.col("name"))).withColumns(
+    return names.withColumn("tokens", _tokens(F.col("name"))).withColumns(
         {
+            "mask": _mask(F.col("tokens")),
             "reach": n - F.greatest(need, F.lit(SHARED)) + SHARED,
             "reach_one": F.when(need < SHARED, n - need + 1),
         }
     )
+
+
+def _signatures(sized: DataFrame, block: Sequence[str]) -> DataFrame:
+    """One row per (name, signature)."""
     double = _pairs_of(F.expr("slice(tokens, 1, reach)"))
-    single = F.coalesce(F.expr("slice(tokens, 1, reach_one)"), F.array().cast("array<string>"))
-    return sized.select(
-        *block, "id", "name", "members", "tokens", "reach", "reach_one",
-        F.explode(F.concat(double, single)).alias("sig"),
-    )
+    single = F.transform(F.expr("slice(tokens, 1, reach_one)"), lambda t: F.xxhash64(t))
+    both = F.concat(double, F.coalesce(single, F.array().cast("array<bigint>")))
+    return sized.select(*block, *CARRIED, F.explode(F.array_distinct(both)).alias("sig"))
 
 
 def similar_pairs(
@@ -147,14 +164,20 @@ def similar_pairs(
     """All pairs of distinct names (within a block) whose score reaches the threshold.
 
     Result: block columns, left_id < right_id, both names, both member counts and
-    score. A signature shared by more than ``hot_rows`` names is cut into slices
-    that are joined in separate tasks.
+    score. The distinct names are written once to the shared folder, because three
+    branches read them. A signature shared by more than ``hot_rows`` names is cut
+    into slices that are joined in separate tasks.
     """
     m = MEASURES[measure]
     least = m.least(threshold)
     if least <= 0:
         raise ValueError(f"threshold {threshold} is too low for an exact filter on {measure}")
-    sigs = _signatures(names, block, least)
+    spark = names.sparkSession
+    folder = work_dir(spark, "names")
+    # A fixed number of tasks: the input of the join is small next to its work, so it must not be merged into few.
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    _sized(names.repartition(tasks, "name"), least).write.parquet(folder)
+    sigs = _signatures(spark.read.parquet(folder), block)
     key = [*block, "sig"]
     hot = (
         sigs.groupBy(*key)
@@ -166,26 +189,34 @@ def similar_pairs(
     left = sliced.select(
         *key,
         F.pmod(F.xxhash64("name"), F.col("_slices")).cast("int").alias("_slice"),
-        *[F.col(c).alias(f"a_{c}") for c in ("id", "name", "members", "tokens", "reach", "reach_one")],
+        *[F.col(c).alias(f"a_{c}") for c in CARRIED],
     )
     right = sliced.select(
         *key,
         F.explode(F.sequence(F.lit(0), F.col("_slices") - 1)).alias("_slice"),
-        *[F.col(c).alias(f"b_{c}") for c in ("id", "name", "members", "tokens", "reach", "reach_one")],
+        *[F.col(c).alias(f"b_{c}") for c in CARRIED],
     )
     need = m.overlap(F.length("a_name"), F.length("b_name"), threshold) - EPS
+
+    def lacking(one: str, other: str) -> Column:
+        """Tokens of one name that the other certainly lacks."""
+        return F.bit_count(F.col(f"{one}_mask").bitwiseAND(F.bitwise_not(F.col(f"{other}_mask"))))
+
+    # A pair may meet under several signatures: it counts only under its first one.
     common = F.expr("array_intersect(slice(a_tokens, 1, a_reach), slice(b_tokens, 1, b_reach))")
     common_one = F.expr("array_intersect(slice(a_tokens, 1, a_reach_one), slice(b_tokens, 1, b_reach_one))")
-    # A pair may meet under several signatures: it counts only under its first one.
-    first = F.when(F.ceil(need) < SHARED, F.try_element_at(common_one, F.lit(1))).otherwise(
-        F.when(F.size(common) >= SHARED, F.concat_ws("|", F.slice(common, 1, SHARED)))
+    first = F.when(F.ceil(need) < SHARED, F.xxhash64(F.try_element_at(common_one, F.lit(1)))).otherwise(
+        F.xxhash64(F.try_element_at(common, F.lit(1)), F.try_element_at(common, F.lit(2)))
     )
     candidates = (
-        left.join(right, [*key, "_slice"])
+        # a merge join: the size of exploded signatures is not known well enough to broadcast them
+        left.repartition(tasks, *key, "_slice")
+        .join(right.hint("merge"), [*key, "_slice"])
         .filter(F.col("a_name") < F.col("b_name"))
-        .filter(F.least(F.length("a_name"), F.length("b_name")) >= need)
-        .filter(F.col("sig") == first)
+        .filter(F.length("a_name") - lacking("a", "b") >= need)
+        .filter(F.length("b_name") - lacking("b", "a") >= need)
         .filter(F.size(F.array_intersect("a_tokens", "b_tokens")) >= need)
+        .filter(F.col("sig") == first)
     )
     # The smaller id comes first, also for scoring: some measures depend on the order in rare cases.
     swap = F.col("a_id") > F.col("b_id")
