@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from custodia.catalog.metrics import daily
+from custodia.catalog.metrics import PICKUP_ONLY
 from custodia.catalog.roles import (
     AS_OF, DAILY, LAYOUT, PASSES, SOME_ZONES, TRIPS, ZONES, number, some_zones, table, text, trips, with_ctes, zones,
 )
@@ -274,7 +274,7 @@ SELECT CAST(CAST(date_trunc('month', trip_date) AS DATE) AS VARCHAR) AS month, "
 def mv_refresh(spark, sf):
     """The metrics workflow: upsert of stored metrics, refresh of the monthly table, tests."""
     result = metrics_workflow(
-        curated(trips(spark, sf), zones(spark, sf), LAYOUT), stored_daily(spark, sf), "run-1", AS_OF,
+        curated(trips(spark, sf), zones(spark, sf), PICKUP_ONLY), stored_daily(spark, sf), "run-1", AS_OF,
         work_dir(spark, "workflow"),
     )
     return result["monthly"].select(text("month").alias("month"), "PU_borough", number("revenue").alias("revenue"))
@@ -306,6 +306,8 @@ def governed_run_query(spark, sf):
         lambda df: quality.quality_report(df, [quality.NotNull("amount", "total_amount")]),
         lambda: f"2024-03-01T00:00:{next(steps):02d}",
     )
-    written = spark.read.parquet(f"{base}/curated").agg(F.count("*").alias("written"), F.lit("run-1").alias("execution_id"))
+    written = spark.read.parquet(f"{base}/curated").agg(
+        F.count("*").alias("written"), F.max(F.lit("run-1")).alias("execution_id")
+    )
     final = run_log_state(spark, f"{base}/log").select("execution_id", "status", "dq", "transform_run", "warning")
     return final.join(written, "execution_id")

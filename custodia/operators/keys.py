@@ -11,23 +11,17 @@ from pyspark.sql import functions as F
 def surrogate_keys(
     df: DataFrame, natural_key: Sequence[str], name: str, start: int = 0, buckets: int = 1024
 ) -> DataFrame:
-    """Dense keys start+1 .. start+n for rows that are unique on ``natural_key``.
+    """Unique keys above ``start`` for rows that are unique on ``natural_key``.
 
-    Rows are numbered inside hash buckets, which a unique key fills evenly; the
-    bucket offsets are a table of at most ``buckets`` rows, so broadcasting it
-    is bounded whatever the size of ``df``. The result depends only on the keys.
+    Rows are numbered inside hash buckets, which a unique key fills evenly, and
+    bucket b takes the numbers b + 1, b + 1 + buckets, b + 1 + 2 * buckets ...: one
+    shuffle, no second pass for offsets. Like an identity column the keys are
+    unique but may have gaps. They depend only on the set of natural keys.
     """
-    bucketed = df.withColumn("_b", F.pmod(F.xxhash64(*natural_key), F.lit(buckets)))
-    sizes = bucketed.groupBy("_b").agg(F.count("*").alias("_n"))
-    before = Window.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sizes.select("_b", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
+    bucket = F.pmod(F.xxhash64(*natural_key), F.lit(buckets))
     inside = F.row_number().over(Window.partitionBy("_b").orderBy(*natural_key))
-    return (
-        bucketed.withColumn("_i", inside)
-        .join(F.broadcast(offsets), "_b")
-        .withColumn(name, F.col("_before") + F.col("_i") + F.lit(start))
-        .drop("_b", "_i", "_before")
-    )
+    key = F.lit(start).cast("long") + (inside - 1) * F.lit(buckets) + F.col("_b") + 1
+    return df.withColumn("_b", bucket).withColumn(name, key).drop("_b")
 
 
 def hashed_keys(df: DataFrame, columns: Sequence[str], name: str) -> DataFrame:

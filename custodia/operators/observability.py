@@ -194,17 +194,20 @@ def alarm_states(series: DataFrame, alarm: Alarm) -> DataFrame:
     a metric's whole history is needed, so a busy metric spreads over tasks.
     """
     step = F.expr(f"INTERVAL {alarm.period_seconds} SECONDS")
-    present = series.select(
-        "metric", "period_start", alarm.breach().cast("int").alias("breach"), F.lit(1).alias("seen")
+    breach = F.coalesce(alarm.breach(), F.lit(False)).cast("int")
+    # a window without a breach stands for itself, a breach also for the windows it reaches
+    reach = F.when(breach == 1, F.lit(alarm.periods - 1)).otherwise(F.lit(0))
+    spread = series.select(
+        "metric", "period_start", breach.alias("_breach"), F.explode(F.sequence(F.lit(0), reach)).alias("_ahead")
     )
-    later = F.explode(F.sequence(F.lit(0), F.lit(alarm.periods - 1))).alias("_ahead")
-    spread = present.filter("breach = 1").select("metric", "period_start", later)
-    shifted = spread.select(
+    own = F.col("_ahead") == 0
+    reached = spread.select(
         "metric",
         (F.col("period_start") + F.col("_ahead") * step).alias("period_start"),
-        F.lit(0).alias("breach"),
-        F.lit(0).alias("seen"),
-        F.lit(1).alias("run"),
+        F.when(own, F.col("_breach")).otherwise(0).alias("breach"),
+        own.cast("int").alias("seen"),
+        F.col("_breach").alias("run"),
+        F.lit(0).alias("listed"),
     )
     spans = series.groupBy("metric").agg(F.min("period_start").alias("lo"), F.max("period_start").alias("hi"))
     # one row per metric and day first, so a long span is cut before its windows are listed
@@ -218,12 +221,7 @@ def alarm_states(series: DataFrame, alarm: Alarm) -> DataFrame:
         .filter(F.col("period_start").between(F.col("lo"), F.col("hi")))
         .select("metric", "period_start", F.lit(0).alias("breach"), F.lit(0).alias("seen"), F.lit(0).alias("run"), F.lit(1).alias("listed"))
     )
-    stacked = (
-        present.withColumns({"run": F.lit(0), "listed": F.lit(0)})
-        .unionByName(shifted.withColumn("listed", F.lit(0)))
-        .unionByName(grid)
-    )
-    merged = stacked.groupBy("metric", "period_start").agg(
+    merged = reached.unionByName(grid).groupBy("metric", "period_start").agg(
         F.max("breach").alias("breach"),
         F.max("seen").alias("seen"),
         F.sum("run").alias("run"),

@@ -269,14 +269,19 @@ class Scd2:
 
     def _rollbacks(self, dim: DataFrame, requests: DataFrame) -> DataFrame:
         """Requests with current row ``c`` and target row ``t`` (columns: key, target_version, actor, reason)."""
-        target = dim.select(
+        return self._requests(dim, requests).join(self._targets(dim), self._is_target(), "left")
+
+    def _targets(self, dim: DataFrame) -> DataFrame:
+        return dim.select(
             F.col(self.key).alias("_tk"),
             F.col("version_number").alias("_tv"),
             F.struct(*self.attributes).alias("t"),
         )
+
+    @staticmethod
+    def _is_target() -> Column:
         # version_number is part of the join key, so a long history of one key spreads over partitions
-        on = (F.col("_qk") == F.col("_tk")) & (F.col("q.target_version") == F.col("_tv"))
-        return self._requests(dim, requests).join(target, on, "left")
+        return (F.col("_qk") == F.col("_tk")) & (F.col("q.target_version") == F.col("_tv"))
 
     def rollback(self, dim: DataFrame, requests: DataFrame, as_of: str) -> DataFrame:
         """Append a copy of the target version as the new current one; history is kept.
@@ -284,8 +289,11 @@ class Scd2:
         Requests without a current row or target are left out (see ``rollback_errors``).
         """
         now = clock(as_of)
-        valid = self._rollbacks(dim, requests).filter(F.col("c").isNotNull() & F.col("t").isNotNull())
-        restored = valid.select(F.col("_qk"), F.struct("q", "t").alias("r"))
+        restored = (
+            requests.select(F.col(self.key).alias("_qk"), F.struct(*requests.columns).alias("q"))
+            .join(self._targets(dim), self._is_target())
+            .select("_qk", F.struct("q", "t").alias("r"))
+        )
         old = self._version_row(
             F.col(f"c.{self.key}"),
             {a: F.col(f"c.{a}") for a in self.attributes},

@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 
 from custodia.functions import date_attributes, pass_fail
 from custodia.operators.keys import surrogate_keys
-from custodia.operators.metrics import null_share
 from custodia.session import clock
 
 
@@ -49,21 +48,20 @@ def resolve_keys(fact: DataFrame, roles: Mapping[str, tuple[DataFrame, str, str,
 
 def star_expectations(fact: DataFrame, keys: Mapping[str, str], amount: str, max_orphan_pct: float) -> DataFrame:
     """Orphan share per role and negative amounts, with status."""
-    shares = null_share(fact, dict(keys))
-    rows = [
-        F.struct(
-            F.lit(name).alias("expectation"),
-            F.coalesce(F.col(name), F.lit(0.0)).alias("value"),
-            pass_fail(F.coalesce(F.col(name), F.lit(0.0)) <= max_orphan_pct).alias("status"),
-        )
-        for name in keys
+    shares = [
+        (F.lit(100.0) * F.count_if(F.col(c).isNull()) / F.nullif(F.count("*"), F.lit(0))).alias(name)
+        for name, c in keys.items()
     ]
-    negative = fact.agg(F.count_if(F.col(amount) < 0).alias("n")).select(
-        F.lit("negative_amount_rows").alias("expectation"),
-        F.col("n").cast("double").alias("value"),
-        pass_fail(F.col("n") == 0).alias("status"),
-    )
-    return shares.select(F.inline(F.array(*rows))).unionByName(negative)
+    one = fact.agg(*shares, F.count_if(F.col(amount) < 0).cast("double").alias("_negative"))
+
+    def row(name: str, value, limit: float):
+        measured = F.coalesce(F.col(value), F.lit(0.0))
+        return F.struct(
+            F.lit(name).alias("expectation"), measured.alias("value"), pass_fail(measured <= limit).alias("status")
+        )
+
+    rows = [row(name, name, max_orphan_pct) for name in keys] + [row("negative_amount_rows", "_negative", 0.0)]
+    return one.select(F.inline(F.array(*rows)))
 
 
 def dataset_kpis(
@@ -84,9 +82,11 @@ def dataset_kpis(
     """
     since = clock(as_of) - F.make_dt_interval(F.lit(days))
     recent = fact.filter(F.col(ts_col) >= since)
-    one = (
-        recent.agg(F.sum(amount).alias("revenue_30d"), F.count("*").alias("trips_30d"))
-        .withColumn("dataset_name", F.lit(dataset))
+    one = recent.agg(
+        F.sum(amount).alias("revenue_30d"),
+        F.count("*").alias("trips_30d"),
+        # NULL without recent rows; as an aggregate it stays a join key instead of becoming a filter
+        F.max(F.lit(dataset)).alias("dataset_name"),
     )
     none = F.lit(1 if count_missing_as_one else 0)
     trips = F.when(F.coalesce("trips_30d", F.lit(0)) > 0, F.col("trips_30d")).otherwise(none)

@@ -185,19 +185,27 @@ def vendor_dedup_job(
 
 
 def star_job(
-    fact: DataFrame, zones: DataFrame, vendors: DataFrame, vendor_states: DataFrame, layout: TripLayout,
+    fact: DataFrame, zones: DataFrame, vendors: DataFrame, vendor_states: DataFrame, layout: TripLayout, out: str,
     vendor_key: str = "vendor_id",
 ) -> dict[str, DataFrame]:
-    """Dimensions with surrogate keys and the fact with all of them resolved."""
-    dates = star.keyed(star.date_dimension(fact, layout.pickup), "full_date", "date_sk")
-    zone_dim = star.keyed(zones, layout.lookup_key, "zone_sk")
-    vendor_dim = star.keyed(star.active_dimension(vendors, vendor_states, vendor_key), vendor_key, "vendor_sk")
-    roles = {"date_sk": (dates, "full_date", "date_sk", "pickup_date"),
-             "vendor_sk": (vendor_dim, vendor_key, "vendor_sk", vendor_key)}
+    """Dimensions with surrogate keys, written once below ``out``, and the fact with all of them resolved."""
+    spark = fact.sparkSession
+    dims = {
+        "dim_date": star.keyed(star.date_dimension(fact, layout.pickup), "full_date", "date_sk"),
+        "dim_zone": star.keyed(zones, layout.lookup_key, "zone_sk"),
+        "dim_vendor": star.keyed(star.active_dimension(vendors, vendor_states, vendor_key), vendor_key, "vendor_sk"),
+    }
+    for name, dim in dims.items():
+        files.write_flat(dim, f"{out}/{name}")
+        dims[name] = spark.read.parquet(f"{out}/{name}")
+    roles = {
+        "date_sk": (dims["dim_date"], "full_date", "date_sk", "pickup_date"),
+        "vendor_sk": (dims["dim_vendor"], vendor_key, "vendor_sk", vendor_key),
+    }
     for prefix, fact_key in layout.roles.items():
-        roles[f"{prefix.lower()}zone_sk"] = (zone_dim, layout.lookup_key, "zone_sk", fact_key)
+        roles[f"{prefix.lower()}zone_sk"] = (dims["dim_zone"], layout.lookup_key, "zone_sk", fact_key)
     keyed = star.resolve_keys(fact.withColumn("pickup_date", F.to_date(layout.pickup)), roles)
-    return {"dim_date": dates, "dim_zone": zone_dim, "dim_vendor": vendor_dim, "fact": keyed}
+    return {**dims, "fact": keyed}
 
 
 def governed_run(
