@@ -66,7 +66,8 @@ def run_log_stream(stream: DataFrame, log: str, checkpoint: str) -> None:
 
 
 def apply_changes_stream(
-    stream: DataFrame, table: VersionedTable, layout: Scd2, as_of: Callable[[int], str], checkpoint: str, actor: str
+    stream: DataFrame, table: VersionedTable, layout: Scd2, as_of: Callable[[int], str], checkpoint: str, actor: str,
+    default_reason: str | None = None, default_source: str | None = None,
 ) -> None:
     """Apply each batch of staged changes as one new version.
 
@@ -81,6 +82,6 @@ def apply_changes_stream(
         )
         stage = last.select(layout.key, "r.*")
         at = as_of(batch_id)
-        table.overwrite(layout.apply(table.read(), stage, at, actor), at)
+        table.overwrite(layout.apply(table.read(), stage, at, actor, default_reason, default_source), at)
 
     _each_batch(stream, checkpoint, handle)
