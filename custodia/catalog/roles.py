@@ -23,8 +23,15 @@ LAYOUT = TripLayout()
 CUSTOMERS = Scd2("customer_id", ("name", "segment", "nation"), "customer")
 
 
+_SCHEMAS: dict[str, object] = {}
+
+
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
-    return read_table(spark, f"{sf}/{name}.parquet")
+    """One of the given tables; its schema is inferred from the file once per process."""
+    path = f"{sf}/{name}.parquet"
+    if path not in _SCHEMAS:
+        _SCHEMAS[path] = spark.read.parquet(path).schema
+    return read_table(spark, path, schema=_SCHEMAS[path])
 
 
 def text(c: Column | str) -> Column:
@@ -46,7 +53,8 @@ def with_ctes(*ctes: str, body: str) -> str:
 def trips(spark: SparkSession, sf: str) -> DataFrame:
     li, orders = table(spark, sf, "lineitem"), table(spark, sf, "orders")
     customer, supplier = table(spark, sf, "customer"), table(spark, sf, "supplier")
-    net = F.col("l_extendedprice").cast("decimal(18,2)") * (1 - F.col("l_discount").cast("decimal(4,2)"))
+    # 18 digits in all, so that the arithmetic stays on machine words
+    net = F.col("l_extendedprice").cast("decimal(12,2)") * (1 - F.col("l_discount").cast("decimal(4,2)"))
     refund = (F.col("l_returnflag") == "R") & (F.col("l_linestatus") == "F")
     amount = F.when(F.col("l_discount") == 0.1, F.lit(None)).when(refund, -net).otherwise(net)
     # orders meet customers first, so the line items are shuffled once, by order key
@@ -65,7 +73,7 @@ def trips(spark: SparkSession, sf: str) -> DataFrame:
             F.col("l_shipdate").alias("dropoff_ts"),
             F.when(F.col("l_tax") > 0, F.col("l_quantity")).alias("trip_distance"),
             F.col("l_extendedprice").alias("fare_amount"),
-            amount.cast("decimal(20,4)").alias("total_amount"),
+            amount.cast("decimal(18,4)").alias("total_amount"),
             F.substring("o_orderpriority", 1, 1).cast("int").alias("payment_type"),
             F.col("c_nationkey").alias("pu_zone_id"),
             F.col("s_nationkey").alias("do_zone_id"),
@@ -81,9 +89,9 @@ trips AS (
          l_extendedprice AS fare_amount,
          CAST(CASE WHEN l_discount = 0.1 THEN NULL
               WHEN l_returnflag = 'R' AND l_linestatus = 'F'
-              THEN -(CAST(l_extendedprice AS DECIMAL(18,2)) * (1 - CAST(l_discount AS DECIMAL(4,2))))
-              ELSE CAST(l_extendedprice AS DECIMAL(18,2)) * (1 - CAST(l_discount AS DECIMAL(4,2)))
-              END AS DECIMAL(20,4)) AS total_amount,
+              THEN -(CAST(l_extendedprice AS DECIMAL(12,2)) * (1 - CAST(l_discount AS DECIMAL(4,2))))
+              ELSE CAST(l_extendedprice AS DECIMAL(12,2)) * (1 - CAST(l_discount AS DECIMAL(4,2)))
+              END AS DECIMAL(18,4)) AS total_amount,
          CAST(substr(o_orderpriority, 1, 1) AS INTEGER) AS payment_type,
          c_nationkey AS pu_zone_id, s_nationkey AS do_zone_id
   FROM lineitem

@@ -9,9 +9,15 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
-def read_table(spark: SparkSession, path: str, columns: Sequence[str] | None = None) -> DataFrame:
-    """Parquet scan; ``columns`` keeps the listed ones that exist and prunes the rest."""
-    df = spark.read.parquet(path)
+def read_table(
+    spark: SparkSession, path: str, columns: Sequence[str] | None = None, schema: T.StructType | None = None
+) -> DataFrame:
+    """Parquet scan; ``columns`` keeps the listed ones that exist and prunes the rest.
+
+    A known ``schema`` saves the job that infers it.
+    """
+    reader = spark.read.schema(schema) if schema is not None else spark.read
+    df = reader.parquet(path)
     return keep_columns(df, columns) if columns else df
 
 
