@@ -9,7 +9,7 @@ from custodia.catalog.roles import (
     lifecycle, number, some_zones, table, text, trips, versions, with_ctes, zones,
 )
 from custodia.functions import duration_minutes
-from custodia.operators import enrich, metrics, star
+from custodia.operators import enrich, metrics, quality, star
 from custodia.operators.keys import surrogate_keys
 from custodia.plans.jobs import TripLayout, curated, star_job
 from custodia.session import clock, work_dir
@@ -25,15 +25,16 @@ def entry(name, sql=None):
     return add
 
 
-# the metrics need one role of the lookup only
+# the workflow's input needs one role of the lookup only
 PICKUP_ONLY = TripLayout(roles={"PU_": "pu_zone_id"})
 
 
 def daily(spark, sf):
-    return metrics.daily_zone_metrics(
-        curated(trips(spark, sf), zones(spark, sf), PICKUP_ONLY),
-        "pickup_ts", "pu_zone_id", ["PU_zone", "PU_borough"], "total_amount", "trip_distance",
-    )
+    """Gate, aggregate per day and zone, and only then join the zone names to the few results."""
+    good = quality.promote(trips(spark, sf), LAYOUT.gate())
+    per_day = metrics.daily_zone_metrics(good, "pickup_ts", "pu_zone_id", [], "total_amount", "trip_distance")
+    names = zones(spark, sf).select("location_id", "zone", "borough")
+    return enrich.enrich(per_day, names, "pu_zone_id", "location_id", "PU_").drop("PU_location_id")
 
 
 @entry("trip_total", with_ctes(TRIPS, body="SELECT COUNT(*) AS trip_count FROM trips"))

@@ -1,4 +1,5 @@
 from custodia.plans.jobs import (  # noqa: F401
+    TripLayout,
     curated_trips,
     governed_run,
     lookup_gate_job,
