@@ -3,16 +3,17 @@
 A similarity join never compares all pairs. Names are reduced to distinct
 normalized names first. Two names can only reach the threshold when they share
 enough characters (counted with multiplicity); with the characters of every name
-in one global order, rarest first, such names share at least two characters in a
-short prefix. Names are joined on the pairs of characters of their prefixes, so
+in one global order, rarest first, such names share at least k characters in a
+short prefix. Names are joined on the k-sets of characters of their prefixes, so
 the filter loses no match, and only survivors of native overlap checks reach the
-scoring UDF.
+scoring UDF. The higher the threshold, the larger the k that pays off.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
+from math import ceil, comb
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -24,8 +25,10 @@ from custodia.session import work_dir
 # Fixed value: letters of Latin-script names from frequent to rare. Any order keeps the join exact.
 FREQUENT_FIRST = " eariotnslcudpmhgbfywkvxzjq"
 RARE_LAST_CODES = "~zyxwvutsrqponmlkjihgfedcba"
-SHARED = 2
 EPS = 1e-9
+# Signatures a name of typical length may have.
+TYPICAL_LENGTH = 20
+SIGNATURE_BUDGET = 40
 # Later occurrences sort before all first ones.
 OCCURRENCE_STEP = 1 << 21
 
@@ -124,38 +127,69 @@ def _mask(tokens: Column) -> Column:
     )
 
 
-def _pairs_of(prefix: Column) -> Column:
-    """Hash of every pair of prefix tokens, each once."""
-    return F.flatten(
-        F.transform(
-            prefix,
-            lambda t, i: F.transform(F.slice(prefix, i + 2, F.size(prefix)), lambda u: F.xxhash64(t, u)),
+def _set_size(least: float) -> int:
+    """Largest k of 2..5 whose k-sets of a typical prefix stay within the budget."""
+    loose = ceil(TYPICAL_LENGTH * (1.0 - least))
+    return max([k for k in (3, 4, 5) if comb(loose + k, k) <= SIGNATURE_BUDGET], default=2)
+
+
+def _sets_of(tokens: str, k: int) -> Column:
+    """Hashes of all k-sets of an ascending token array column.
+
+    Works on positions, so no level copies the array again.
+    """
+    array = F.col(tokens)
+    none = F.array().cast("array<int>")
+
+    def after(i: Column | int) -> Column:
+        return F.when(F.size(array) > i, F.sequence(F.lit(i) + 1 if isinstance(i, int) else i + 1, F.size(array))).otherwise(none)
+
+    def sets(i: Column | int, left: int) -> Column:
+        if left == 1:
+            return F.transform(after(i), lambda p: F.xxhash64(F.element_at(array, p)))
+        return F.flatten(
+            F.transform(
+                after(i),
+                lambda p: F.transform(sets(p, left - 1), lambda rest: F.xxhash64(F.element_at(array, p), rest)),
+            )
         )
-    )
 
+    return sets(0, k)
 
-CARRIED = ("id", "name", "members", "tokens", "mask", "reach", "reach_one")
 
+CARRIED = ("id", "name", "members", "tokens", "reach", "mask")
 
-def _sized(names: DataFrame, least: float) -> DataFrame:
-    """Names with tokens, mask and the prefix lengths for pair and single signatures."""
+
+def _sized(names: DataFrame, least: float, k: int) -> DataFrame:
+    """Names with tokens, mask, the fewest characters any match shares, and the token prefix for k-sets."""
     n = F.length("name")
     need = F.greatest(F.ceil(F.lit(least) * n - EPS), F.lit(1)).cast("int")
+    reach = n - F.greatest(need, F.lit(k)) + k
     return names.withColumn("tokens", _tokens(F.col("name"))).withColumns(
-        {
-            "mask": _mask(F.col("tokens")),
-            "reach": n - F.greatest(need, F.lit(SHARED)) + SHARED,
-            "reach_one": F.when(need < SHARED, n - need + 1),
-        }
+        {"mask": _mask(F.col("tokens")), "need": need, "reach": reach, "prefix": F.slice("tokens", F.lit(1), reach)}
     )
 
 
-def _signatures(sized: DataFrame, block: Sequence[str]) -> DataFrame:
-    """One row per (name, signature)."""
-    double = _pairs_of(F.expr("slice(tokens, 1, reach)"))
-    single = F.transform(F.expr("slice(tokens, 1, reach_one)"), lambda t: F.xxhash64(t))
-    both = F.concat(double, F.coalesce(single, F.array().cast("array<bigint>")))
-    return sized.select(*block, *CARRIED, F.explode(F.array_distinct(both)).alias("sig"))
+def _signatures(sized: DataFrame, block: Sequence[str], k: int) -> DataFrame:
+    """One row per (name, signature).
+
+    A match that needs k or more shared characters is found by k-sets of the
+    prefixes; one that needs j < k, possible for short names only, by j-sets of
+    the whole names.
+    """
+    none = F.array().cast("array<bigint>")
+    sets = [_sets_of("prefix", k)]
+    sets += [F.when(F.col("need") <= j, _sets_of("tokens", j)).otherwise(none) for j in range(1, k)]
+    return sized.select(*block, *CARRIED, F.explode(F.array_distinct(F.concat(*sets))).alias("sig"))
+
+
+def _first_signature(need: Column, k: int) -> Column:
+    """The signature a pair counts under, of the several it may meet under: its first common tokens."""
+    prefixes = F.expr("array_intersect(slice(a_tokens, 1, a_reach), slice(b_tokens, 1, b_reach))")
+    common = F.when(need >= k, prefixes).otherwise(F.array_intersect("a_tokens", "b_tokens"))
+    chosen = F.slice(common, F.lit(1), F.least(need, F.lit(k)).cast("int"))
+    # from the last token on, as the sets are hashed; a NULL start adds nothing to the hash
+    return F.aggregate(F.reverse(chosen), F.lit(None).cast("long"), lambda acc, t: F.xxhash64(t, acc))
 
 
 def similar_pairs(
@@ -176,8 +210,9 @@ def similar_pairs(
     folder = work_dir(spark, "names")
     # A fixed number of tasks: the input of the join is small next to its work, so it must not be merged into few.
     tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    _sized(names.repartition(tasks, "name"), least).write.parquet(folder)
-    sigs = _signatures(spark.read.parquet(folder), block)
+    k = _set_size(least)
+    _sized(names.repartition(tasks, "name"), least, k).write.parquet(folder)
+    sigs = _signatures(spark.read.parquet(folder), block, k)
     key = [*block, "sig"]
     hot = (
         sigs.groupBy(*key)
@@ -202,12 +237,6 @@ def similar_pairs(
         """Tokens of one name that the other certainly lacks."""
         return F.bit_count(F.col(f"{one}_mask").bitwiseAND(F.bitwise_not(F.col(f"{other}_mask"))))
 
-    # A pair may meet under several signatures: it counts only under its first one.
-    common = F.expr("array_intersect(slice(a_tokens, 1, a_reach), slice(b_tokens, 1, b_reach))")
-    common_one = F.expr("array_intersect(slice(a_tokens, 1, a_reach_one), slice(b_tokens, 1, b_reach_one))")
-    first = F.when(F.ceil(need) < SHARED, F.xxhash64(F.try_element_at(common_one, F.lit(1)))).otherwise(
-        F.xxhash64(F.try_element_at(common, F.lit(1)), F.try_element_at(common, F.lit(2)))
-    )
     candidates = (
         # a merge join: the size of exploded signatures is not known well enough to broadcast them
         left.repartition(tasks, *key, "_slice")
@@ -216,7 +245,7 @@ def similar_pairs(
         .filter(F.length("a_name") - lacking("a", "b") >= need)
         .filter(F.length("b_name") - lacking("b", "a") >= need)
         .filter(F.size(F.array_intersect("a_tokens", "b_tokens")) >= need)
-        .filter(F.col("sig") == first)
+        .filter(F.col("sig") == _first_signature(F.greatest(F.ceil(need), F.lit(1)), k))
     )
     # The smaller id comes first, also for scoring: some measures depend on the order in rare cases.
     swap = F.col("a_id") > F.col("b_id")
