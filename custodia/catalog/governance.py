@@ -4,10 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from custodia.catalog.roles import AS_OF, TRIPS, TRIPS_AS_OF, number, table, text, trips, with_ctes
+from custodia.catalog.roles import AS_OF, TRIPS, table, text, trips, with_ctes
 from custodia.functions import mask_email
-from custodia.operators import align, governance, metrics, upsert
-from custodia.session import ts
+from custodia.operators import align, governance, upsert
 from custodia.sources import expired_partitions
 
 ENTRIES = {}

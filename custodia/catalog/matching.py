@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from custodia.catalog.roles import (
-    AS_OF, LIFECYCLE, TRIPS, lifecycle, number, table, text, trips, with_ctes,
+    AS_OF, LIFECYCLE, TRIPS, lifecycle, table, text, trips, with_ctes,
 )
 from custodia.functions import code_label, normalize_party, normalize_place, score_band
 from custodia.operators import lifecycle as states

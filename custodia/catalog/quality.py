@@ -5,11 +5,11 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from custodia.catalog.roles import (
-    AS_OF, CUSTOMERS, DAILY, LAYOUT, LIFECYCLE, PASSES, SOME_ZONES, TRIPS, VERSIONS, ZONES,
-    lifecycle, number, some_zones, table, text, trips, versions, with_ctes, zones,
+    AS_OF, DAILY, LAYOUT, LIFECYCLE, PASSES, SOME_ZONES, TRIPS, VERSIONS, ZONES,
+    lifecycle, some_zones, table, text, trips, versions, with_ctes, zones,
 )
 from custodia.catalog.metrics import daily
-from custodia.operators import constraints, enrich, observability, quality, star
+from custodia.operators import constraints, enrich, observability, quality
 from custodia.session import work_dir
 from custodia.sources import write_report
 
