@@ -5,8 +5,9 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from custodia.llm import bpe
+from custodia.llm import bpe, warc
 from custodia.llm.common import read
+from custodia.session import work_dir
 
 BPE_RANKS = "byte_bpe_multi_50k.tiktoken"
 
@@ -16,6 +17,22 @@ def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(bpe.decode(bpe.encode(read(spark, sf_dir, "documents"), path), path))
 
 
+def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = work_dir(spark, "warc")
+    warc.write(spark, read(spark, sf_dir, "pages"), folder)
+    return warc.read(spark, folder, payloads=False).drop("payload")
+
+
+OP4_SQL = """
+WITH sized AS (
+  SELECT page_id, url, coalesce(octet_length(encode(html)), 0) AS payload_bytes, sha256(coalesce(html, '')) AS payload_digest FROM pages),
+firsts AS (SELECT payload_digest, min(page_id) AS first_id FROM sized WHERE payload_bytes >= 100 GROUP BY payload_digest)
+SELECT s.page_id, s.url, CASE WHEN s.page_id > f.first_id THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN s.page_id > f.first_id THEN f.first_id END AS refers_to, s.payload_bytes, s.payload_digest
+FROM sized s LEFT JOIN firsts f ON f.payload_digest = s.payload_digest AND s.payload_bytes >= 100
+"""
+
 ENTRIES = {
     "op1_bpe": (op1_bpe, None),
+    "op4_warc": (op4_warc, OP4_SQL),
 }
