@@ -2,14 +2,19 @@
 
 from __future__ import annotations
 
+from pathlib import Path
+
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from custodia.llm import bpe, warc
+from custodia.llm import bpe, repair, warc
 from custodia.llm.common import read
 from custodia.session import work_dir
 
 BPE_RANKS = "byte_bpe_multi_50k.tiktoken"
+TOKENIZER = "byte_bpe_50k.json"
+TOKENIZER_IDS = 50_257
 
 
 def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -32,7 +37,16 @@ SELECT s.page_id, s.url, CASE WHEN s.page_id > f.first_id THEN 'revisit' ELSE 'r
 FROM sized s LEFT JOIN firsts f ON f.payload_digest = s.payload_digest AND s.payload_bytes >= 100
 """
 
+def op8_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = work_dir(spark, "repair")
+    tokenizer = Path(public_tokenizers.path(TOKENIZER)).read_text(encoding="utf-8")
+    repair.write(spark, read(spark, sf_dir, "documents"), folder, tokenizer, TOKENIZER_IDS)
+    stored = repair.read(spark, folder)
+    return stored.select("doc_id", "start", (F.length("ids") / 4).cast("long").alias("n_tokens"), F.crc32("ids").alias("ids_crc32"))
+
+
 ENTRIES = {
     "op1_bpe": (op1_bpe, None),
     "op4_warc": (op4_warc, OP4_SQL),
+    "op8_repair": (op8_repair, None),
 }
