@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from custodia.llm import bpe, repair, warc
+from custodia.llm import bpe, mixing, repair, warc
 from custodia.llm.common import read
 from custodia.session import work_dir
 
@@ -45,8 +45,13 @@ def op8_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stored.select("doc_id", "start", (F.length("ids") / 4).cast("long").alias("n_tokens"), F.crc32("ids").alias("ids_crc32"))
 
 
+def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.taken(mixing.mix(read(spark, sf_dir, "documents")))
+
+
 ENTRIES = {
     "op1_bpe": (op1_bpe, None),
     "op4_warc": (op4_warc, OP4_SQL),
     "op8_repair": (op8_repair, None),
+    "op10_mixing": (op10_mixing, None),
 }
