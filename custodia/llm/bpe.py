@@ -18,7 +18,9 @@ repeats costs time in the order of n squared.
 from __future__ import annotations
 
 import base64
+import functools
 from collections.abc import Iterator
+from pathlib import Path
 
 import duckdb
 import numpy as np
@@ -30,7 +32,7 @@ from custodia.llm import kernels as K
 from custodia.llm.common import binary, pick
 
 CACHE_WORDS = 400_000
-BATCH_WORDS = 50_000
+BATCH_WORDS = 20_000
 STATE_ROWS = 4_000_000
 
 _CONTRACT = """
@@ -67,10 +69,9 @@ GROUP BY d.doc ORDER BY d.doc
 """
 
 
-def read_ranks(path: str) -> dict[bytes, int]:
-    """The vocabulary file: base64 of the bytes and the rank on each line."""
-    with open(path, "rb") as lines:
-        return {base64.b64decode(piece): int(rank) for piece, rank in map(bytes.split, lines)}
+def read_ranks(vocabulary: bytes) -> dict[bytes, int]:
+    """A vocabulary file's content: base64 of the bytes and the rank on each line."""
+    return {base64.b64decode(piece): int(rank) for piece, rank in map(bytes.split, vocabulary.splitlines())}
 
 
 class Tables:
@@ -99,13 +100,7 @@ class Tables:
             self.con.execute(f"CREATE TABLE {name} AS SELECT * FROM given")
             self.con.unregister("given")
         self.byte_id = np.array([ranks[bytes([b])] for b in range(256)], np.int32)
-        self._forget()
-
-    def _forget(self) -> None:
-        self.place: dict[int, int] = {}
-        self.start = np.zeros(0, np.int64)
-        self.count = np.zeros(0, np.int64)
-        self.ids = np.zeros(0, np.int32)
+        self.pieces = K.PieceIds(self._learn, CACHE_WORDS, np.int32)
 
     def contract(self, pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all pieces behind one another, and how many each has."""
@@ -125,34 +120,14 @@ class Tables:
         order = np.lexsort((pos, word))
         return tok[order].astype(np.int32), np.bincount(word, minlength=len(pieces))
 
-    def _learn(self, keys: list[int], pieces: list[bytes]) -> None:
-        for at in range(0, len(pieces), BATCH_WORDS):
-            ids, count = self.contract(pieces[at : at + BATCH_WORDS])
-            ends = np.cumsum(count)
-            self.place.update(zip(keys[at : at + BATCH_WORDS], range(len(self.count), len(self.count) + len(count)), strict=True))
-            self.start = np.append(self.start, len(self.ids) + ends - count)
-            self.count = np.append(self.count, count)
-            self.ids = np.append(self.ids, ids)
+    def _learn(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        data = [p.encode() for p in pieces]
+        ids, count = zip(*(self.contract(data[at : at + BATCH_WORDS]) for at in range(0, len(data), BATCH_WORDS)), strict=True)
+        return np.concatenate(ids), np.concatenate(count)
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all texts behind one another, and the n + 1 offsets."""
-        points, at = K.code_points(texts)
-        begin = K.pretokens(points, at)
-        stop = np.append(begin[1:], len(points))
-        unique, seen, which = np.unique(K.span_hashes(points, begin, stop), return_index=True, return_inverse=True)
-        keys = unique.tolist()
-        if len(self.place) + len(keys) > CACHE_WORDS:
-            self._forget()
-        new = [k for k, key in enumerate(keys) if key not in self.place]
-        if new:
-            whole = "".join(texts)
-            pieces = [whole[a:b].encode() for a, b in zip(begin[seen[new]].tolist(), stop[seen[new]].tolist(), strict=True)]
-            self._learn([keys[k] for k in new], pieces)
-        place = np.array([self.place[key] for key in keys], np.int64)[which]
-        count = self.count[place] if len(place) else np.zeros(0, np.int64)
-        ids = self.ids[K.ragged(self.start[place], count)] if len(place) else np.zeros(0, np.int32)
-        ends = np.append(0, np.cumsum(count))
-        return ids, ends[np.searchsorted(begin, at)]
+        return self.pieces.encode(texts)
 
     def decode(self, ids: np.ndarray, at: np.ndarray) -> pa.Array:
         """The bytes of each document's ids."""
@@ -164,13 +139,19 @@ class Tables:
         return rows.column("bytes").combine_chunks().cast(pa.binary())
 
 
+@functools.lru_cache(maxsize=1)
+def tables_of(vocabulary: bytes) -> Tables:
+    """The tables of this Python worker, kept between its tasks."""
+    return Tables(read_ranks(vocabulary))
+
+
 def encode(docs: DataFrame, vocab_path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per document: its id and ``ids``, little-endian unsigned 32-bit integers."""
-    ranks = docs.sparkSession.sparkContext.broadcast(read_ranks(vocab_path))
+    ranks = docs.sparkSession.sparkContext.broadcast(Path(vocab_path).read_bytes())
     docs = pick(docs, doc_id=(id_col, _kind(docs, id_col)), text=(text_col, "string"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tables = Tables(ranks.value)
+        tables = tables_of(ranks.value)
         for part in K.slices(batches, 1):
             ids, at = tables.encode(part.column(1).fill_null("").to_pylist())
             yield pa.RecordBatch.from_arrays([part.column(0), binary(ids.astype("<u4").view(np.uint8), at * 4)], ["doc_id", "ids"])
@@ -180,11 +161,11 @@ def encode(docs: DataFrame, vocab_path: str, id_col: str = "doc_id", text_col: s
 
 def decode(encoded: DataFrame, vocab_path: str, id_col: str = "doc_id", ids_col: str = "ids") -> DataFrame:
     """One row per document: its id, ``ids`` and ``decoded``, the bytes of its ids; null ids decode to nothing."""
-    ranks = encoded.sparkSession.sparkContext.broadcast(read_ranks(vocab_path))
+    ranks = encoded.sparkSession.sparkContext.broadcast(Path(vocab_path).read_bytes())
     encoded = pick(encoded, doc_id=(id_col, _kind(encoded, id_col)), ids=(ids_col, "binary"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tables = Tables(ranks.value)
+        tables = tables_of(ranks.value)
         for part in K.slices(batches, 1):
             raw, at = K.flat(part.column(1))
             yield pa.RecordBatch.from_arrays(

@@ -27,7 +27,7 @@ def get(folder: str, name: str) -> NativeFile:
 
 def spread(listed: DataFrame, column: str) -> DataFrame:
     """A list of files with about one file in each task."""
-    return listed.select(column).repartition(max(1, listed.count()), column)
+    return listed.repartition(max(1, listed.count()), column)
 
 
 def attempt_name(kind: str, number: int) -> str:

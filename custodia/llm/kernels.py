@@ -7,7 +7,7 @@ numpy arrays: one value per byte, code point or word, plus row offsets.
 from __future__ import annotations
 
 import functools
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -215,3 +215,49 @@ def pretokens(points: np.ndarray, at: np.ndarray) -> np.ndarray:
             start[stop[(kind[stop] == LETTER)]] = True
             mark = mark[~ok]
     return np.flatnonzero(start)
+
+
+class PieceIds:
+    """Ids of pre-tokens, remembered by hash up to ``limit`` pieces; ``learn`` encodes the pieces not yet known."""
+
+    def __init__(self, learn: Callable[[list[str]], tuple[np.ndarray, np.ndarray]], limit: int, kind: type):
+        self.learn, self.limit, self.kind = learn, limit, kind
+        self._forget()
+
+    def _forget(self) -> None:
+        self.keys, self.place = np.zeros(0, np.uint64), np.zeros(0, np.int64)
+        self.start = self.count = np.zeros(0, np.int64)
+        self.ids = np.zeros(0, self.kind)
+
+    def _find(self, keys: np.ndarray) -> np.ndarray:
+        """The place of each key, or -1."""
+        if not len(self.keys):
+            return np.full(len(keys), -1)
+        at = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
+        return np.where(self.keys[at] == keys, self.place[at], -1)
+
+    def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts behind one another, and the n + 1 offsets."""
+        points, at = code_points(texts)
+        begin = pretokens(points, at)
+        if not len(begin):
+            return np.zeros(0, self.kind), np.zeros(len(at), np.int64)
+        stop = np.append(begin[1:], len(points))
+        keys, seen, which = np.unique(span_hashes(points, begin, stop), return_index=True, return_inverse=True)
+        if len(self.keys) + len(keys) > self.limit:
+            self._forget()
+        place = self._find(keys)
+        new = np.flatnonzero(place < 0)
+        if len(new):
+            whole, first = "".join(texts), seen[new]
+            ids, count = self.learn([whole[a:b] for a, b in zip(begin[first].tolist(), stop[first].tolist(), strict=True)])
+            place[new] = len(self.count) + np.arange(len(new))
+            self.start = np.append(self.start, len(self.ids) + np.cumsum(count) - count)
+            self.count = np.append(self.count, count)
+            self.ids = np.append(self.ids, ids).astype(self.kind, copy=False)
+            both = np.concatenate([self.keys, keys[new]])
+            order = np.argsort(both, kind="stable")
+            self.keys, self.place = both[order], np.concatenate([self.place, place[new]])[order]
+        place = place[which]
+        count = self.count[place]
+        return self.ids[ragged(self.start[place], count)], np.append(0, np.cumsum(count))[np.searchsorted(begin, at)]

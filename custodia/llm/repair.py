@@ -22,6 +22,8 @@ documents, and memory is bounded by a slice of texts and a shard.
 
 from __future__ import annotations
 
+import functools
+import itertools
 import os
 from collections.abc import Iterator
 
@@ -36,52 +38,28 @@ from custodia.llm.files import attempt_name, get, put, spread
 
 MAGIC = b"RPG1"
 SHARD_IDS = 2_000_000
-ROUNDS = 8
-RULES_PER_ROUND = 1_500
+ROUNDS = 6
+RULES_PER_ROUND = 2_500
 LEAST_COUNT = 12
 BINS_LOG = 19
 CACHE_WORDS = 400_000
 
 
-class Words:
-    """The ids of pre-tokens by the tokenizers library, remembered between the slices of a task."""
-
-    def __init__(self, tokenizer_json: str):
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
-
-        self.library = Tokenizer.from_str(tokenizer_json)
-        self.library.encode_special_tokens = True
-        self._forget()
-
-    def _forget(self) -> None:
-        self.place: dict[int, int] = {}
-        self.start = self.count = np.zeros(0, np.int64)
-        self.ids = np.zeros(0, np.uint16)
-
-    def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """The ids of all texts behind one another, and the n + 1 offsets."""
-        points, at = K.code_points(texts)
-        begin = K.pretokens(points, at)
-        stop = np.append(begin[1:], len(points))
-        unique, seen, which = np.unique(K.span_hashes(points, begin, stop), return_index=True, return_inverse=True)
-        keys = unique.tolist()
-        if len(self.place) + len(keys) > CACHE_WORDS:
-            self._forget()
-        new = [k for k, key in enumerate(keys) if key not in self.place]
-        if new:
-            whole = "".join(texts)
-            pieces = [whole[a:b] for a, b in zip(begin[seen[new]].tolist(), stop[seen[new]].tolist(), strict=True)]
-            found = [x.ids for x in self.library.encode_batch_fast(pieces, add_special_tokens=False)]
-            count = np.array([len(x) for x in found], np.int64)
-            self.place.update(zip([keys[k] for k in new], range(len(self.count), len(self.count) + len(new)), strict=True))
-            self.start = np.append(self.start, len(self.ids) + np.cumsum(count) - count)
-            self.count = np.append(self.count, count)
-            self.ids = np.append(self.ids, np.array([i for x in found for i in x], np.uint16))
-        place = np.array([self.place[key] for key in keys], np.int64)[which]
-        count = self.count[place] if len(place) else np.zeros(0, np.int64)
-        ids = self.ids[K.ragged(self.start[place], count)] if len(place) else np.zeros(0, np.uint16)
-        return ids, np.append(0, np.cumsum(count))[np.searchsorted(begin, at)]
+@functools.lru_cache(maxsize=1)
+def pieces_of(tokenizer_json: str) -> K.PieceIds:
+    """The tokenizers library with the pre-tokens that this Python worker has met."""
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"
+    from tokenizers import Tokenizer
+
+    library = Tokenizer.from_str(tokenizer_json)
+    library.encode_special_tokens = True
+
+    def learn(pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        found = [x.ids for x in library.encode_batch_fast(pieces, add_special_tokens=False)]
+        count = np.fromiter(map(len, found), np.int64, len(found))
+        return np.fromiter(itertools.chain.from_iterable(found), np.uint16, int(count.sum())), count
+
+    return K.PieceIds(learn, CACHE_WORDS, np.uint16)
 
 
 def compress(ids: np.ndarray, last: np.ndarray, first_rule: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -120,9 +98,11 @@ def compress(ids: np.ndarray, last: np.ndarray, first_rule: int) -> tuple[np.nda
         right = np.append((at[1:] != at[:-1] + 1) | (order[:-1] >= order[1:]), True)
         take = left & right
         at, which = at[take], which[take]
-        used, name = np.unique(which, return_inverse=True)
+        used = np.flatnonzero(np.bincount(which, minlength=len(top)))
+        name = np.zeros(len(top), np.uint32)
+        name[used] = np.arange(len(used))
         new = np.stack([sample[used] >> np.uint64(32), sample[used] & np.uint64(0xFFFFFFFF)], axis=1).astype(np.uint32)
-        seq[at] = first_rule + len(rules) + name
+        seq[at] = first_rule + len(rules) + name[which]
         rules = np.concatenate([rules, new])
         sizes = np.append(sizes, sizes[new[:, 0]] + sizes[new[:, 1]])
         keep = np.ones(len(seq), bool)
@@ -132,18 +112,16 @@ def compress(ids: np.ndarray, last: np.ndarray, first_rule: int) -> tuple[np.nda
     return rules, sizes[first_rule:], seq
 
 
-def expand(symbols: np.ndarray, rules: np.ndarray, first_rule: int) -> np.ndarray:
-    """The ids that symbols stand for."""
-    seq = symbols.astype(np.uint32)
-    while len(seq) and (deep := seq >= first_rule).any():
-        at = np.arange(len(seq)) + np.cumsum(deep) - deep
-        out = np.empty(len(seq) + int(deep.sum()), np.uint32)
-        body = rules[seq[deep] - first_rule]
-        out[at[~deep]] = seq[~deep]
-        out[at[deep]] = body[:, 0]
-        out[at[deep] + 1] = body[:, 1]
-        seq = out
-    return seq
+def expansions(rules: np.ndarray, sizes: np.ndarray, first_rule: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Where in one array the ids of each symbol stand, how many they are, and the array; a rule names earlier symbols only."""
+    size = np.append(np.ones(first_rule, np.int64), sizes)
+    start = np.cumsum(size) - size
+    out = np.arange(int(size.sum()))
+    for k, (left, right) in enumerate(rules.tolist()):
+        at, mid = start[first_rule + k], start[first_rule + k] + size[left]
+        out[at:mid] = out[start[left] : start[left] + size[left]]
+        out[mid : mid + size[right]] = out[start[right] : start[right] + size[right]]
+    return start, size, out.astype(np.uint32)
 
 
 def pack(doc_ids: pa.Array, ids: np.ndarray, at: np.ndarray, first_rule: int) -> bytes:
@@ -181,17 +159,18 @@ class Shard:
         self.first_symbol, self.at = take("<u4", self.docs + 1), take("<u4", self.docs + 1).astype(np.int64)
         self.rules, self.sizes = take("<u2", 2 * n_rules).reshape(-1, 2), take("<u4", n_rules)
         self.symbols = take("<u2", n_symbols)
+        self.table = expansions(self.rules, self.sizes, self.first_rule)
         if place != len(data):
             raise ValueError("shard file has a wrong length")
 
     def document(self, k: int) -> np.ndarray:
         """The ids of document k alone."""
-        return expand(self.symbols[self.first_symbol[k] : self.first_symbol[k + 1]], self.rules, self.first_rule)
+        return self.documents(k, k + 1)
 
     def token(self, k: int, n: int) -> int:
         """Id n of document k, by descending one symbol's rules."""
         symbols = self.symbols[self.first_symbol[k] : self.first_symbol[k + 1]].astype(np.int64)
-        size = np.append(np.ones(self.first_rule, np.int64), self.sizes)
+        size = self.table[1]
         ends = np.cumsum(size[symbols])
         j = int(np.searchsorted(ends, n, side="right"))
         symbol, n = int(symbols[j]), n - int(ends[j] - size[symbols[j]])
@@ -201,7 +180,10 @@ class Shard:
         return symbol
 
     def documents(self, begin: int, stop: int) -> np.ndarray:
-        return expand(self.symbols[self.first_symbol[begin] : self.first_symbol[stop]], self.rules, self.first_rule)
+        """The ids of documents begin to stop - 1 behind one another."""
+        symbols = self.symbols[self.first_symbol[begin] : self.first_symbol[stop]]
+        start, size, ids = self.table
+        return ids[K.ragged(start[symbols], size[symbols])]
 
 
 def write(
@@ -214,7 +196,7 @@ def write(
     library = spark.sparkContext.broadcast(tokenizer_json)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, held, total, number = Words(library.value), [], 0, 0
+        words, held, total, number = pieces_of(library.value), [], 0, 0
 
         def close() -> pa.RecordBatch:
             names, parts, ends = zip(*held, strict=True)
@@ -261,7 +243,7 @@ def read(spark: SparkSession, folder: str) -> DataFrame:
     listed = spark.read.parquet(f"{folder}/shard_list")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for name in (x for given in batches for x in given.column(0).to_pylist()):
+        for name, shard_start in (row for given in batches for row in zip(*(c.to_pylist() for c in given.columns), strict=True)):
             with get(f"{folder}/shards", name) as stored:
                 shard = Shard(stored.read())
             begin = 0
@@ -271,10 +253,8 @@ def read(spark: SparkSession, folder: str) -> DataFrame:
                 if len(ids) != at[-1] - at[0]:
                     raise ValueError("expansion has a wrong length")
                 doc_ids = pa.array(shard.doc_ids[begin:stop], mask=shard.null[begin:stop].astype(bool))
-                columns = [pa.array([name] * (stop - begin)), doc_ids, pa.array(at[:-1]), binary(ids.astype("<u4").view(np.uint8), (at - at[0]) * 4)]
-                yield pa.RecordBatch.from_arrays(columns, ["shard", "doc_id", "inside", "ids"])
+                columns = [doc_ids, pa.array(shard_start + at[:-1]), binary(ids.astype("<u4").view(np.uint8), (at - at[0]) * 4)]
+                yield pa.RecordBatch.from_arrays(columns, ["doc_id", "start", "ids"])
                 begin = stop
 
-    rows = spread(listed, "shard").mapInArrow(run, "shard string, doc_id long, inside long, ids binary")
-    starts = shard_starts(listed)
-    return rows.join(starts, "shard").select("doc_id", (F.col("shard_start") + F.col("inside")).alias("start"), "ids")
+    return spread(shard_starts(listed), "shard").mapInArrow(run, "doc_id long, start long, ids binary")

@@ -168,4 +168,4 @@ def read(spark: SparkSession, folder: str, payloads: bool = True) -> DataFrame:
             if rows:
                 yield batch(rows)
 
-    return spread(spark.read.parquet(f"{folder}/archive_list"), "archive").mapInArrow(run, RECORDS)
+    return spread(spark.read.parquet(f"{folder}/archive_list").select("archive"), "archive").mapInArrow(run, RECORDS)

@@ -1,11 +1,14 @@
 """Encoding against the tiktoken library, decoding by round trip."""
 
+from pathlib import Path
+
 import numpy as np
 import public_tokenizers
 import tiktoken
 from custodia.llm import bpe, catalog
 
 PATH = public_tokenizers.path(catalog.BPE_RANKS)
+VOCABULARY = Path(PATH).read_bytes()
 TEXTS = [
     None, "", " ", "\n\n  x", "don't we'll 'tis 're 'Re", "été naïve — 東京 42٣ \U0001f600\U0001f600", "a" * 5000, "*" * 33 + " ****",
     "tabs\t\tand \r\n ends ", "\x1c\x85\xa0x", "the " * 20000, "<|endoftext|> is text", "''s 's's  's", "xyzzy" * 300,
@@ -13,7 +16,7 @@ TEXTS = [
 
 
 def test_equals_the_library(spark):
-    library = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=bpe.read_ranks(PATH), special_tokens={})
+    library = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=bpe.read_ranks(VOCABULARY), special_tokens={})
     rows = [(k, t, "x", 7) for k, t in enumerate(TEXTS)] + [(None, "no id", None, None), (3, TEXTS[3], "x", 7)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, TEXT2 string, ids int")
     out = bpe.decode(bpe.encode(docs, PATH), PATH).collect()
@@ -23,7 +26,7 @@ def test_equals_the_library(spark):
 
 
 def test_rounds_of_recursion_agree(monkeypatch):
-    ranks = bpe.read_ranks(PATH)
+    ranks = bpe.read_ranks(VOCABULARY)
     library = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
     monkeypatch.setattr(bpe, "STATE_ROWS", 1)
     monkeypatch.setattr(bpe, "CACHE_WORDS", 4)
@@ -39,7 +42,7 @@ def test_empty_table(spark):
 
 def test_query(spark):
     out = catalog.op1_bpe(spark, "/root/testdata/sf0.001").collect()
-    library = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=bpe.read_ranks(PATH), special_tokens={})
+    library = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=bpe.read_ranks(VOCABULARY), special_tokens={})
     texts = {r.doc_id: r.text or "" for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").collect()}
     import hashlib
 
