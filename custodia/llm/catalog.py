@@ -5,10 +5,10 @@ from __future__ import annotations
 from pathlib import Path
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from custodia.llm import bpe, mixing, repair, warc
+from custodia.llm import bpe, langid, mixing, repair, warc
 from custodia.llm.common import read
 from custodia.session import work_dir
 
@@ -22,6 +22,21 @@ def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(bpe.decode(bpe.encode(read(spark, sf_dir, "documents"), path), path))
 
 
+def languages(docs: DataFrame) -> langid.Languages:
+    """Models learned from the labels of all documents outside the held-out fold."""
+    return langid.fit(docs.where(_fold(3) != 1))
+
+
+def _fold(parts: int) -> Column:
+    return F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))) % parts
+
+
+def op2_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    found = langid.predict(docs.select("doc_id", "text"), languages(docs))
+    return found.withColumn("held_out", _fold(3) == 1).drop("text")
+
+
 def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = work_dir(spark, "warc")
     warc.write(spark, read(spark, sf_dir, "pages"), folder)
@@ -51,6 +66,7 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 ENTRIES = {
     "op1_bpe": (op1_bpe, None),
+    "op2_langid": (op2_langid, None),
     "op4_warc": (op4_warc, OP4_SQL),
     "op8_repair": (op8_repair, None),
     "op10_mixing": (op10_mixing, None),
