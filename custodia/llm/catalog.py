@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from custodia.llm import article, bpe, langid, mixing, repair, warc
+from custodia.llm import article, bpe, langid, mixing, ngram_join, repair, warc
 from custodia.llm.common import read
 from custodia.session import work_dir
 
@@ -64,6 +64,31 @@ def op8_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stored.select("doc_id", "start", (F.length("ids") / 4).cast("long").alias("n_tokens"), F.crc32("ids").alias("ids_crc32"))
 
 
+def op9_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.join(read(spark, sf_dir, "documents"))
+
+
+OP9_SQL = r"""
+WITH RECURSIVE worded AS (
+  SELECT doc_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w
+  FROM documents),
+shingles AS (
+  SELECT DISTINCT doc_id, unnest(
+    CASE WHEN len(w) >= 5 THEN list_transform(range(1, len(w) - 3), i -> array_to_string(w[i:i + 4], ' '))
+         WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END) AS s
+  FROM worded),
+sized AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+met AS (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS both FROM shingles x JOIN shingles y USING (s) WHERE x.doc_id <> y.doc_id GROUP BY 1, 2),
+links AS (
+  SELECT a, b FROM met JOIN sized p ON p.doc_id = a JOIN sized q ON q.doc_id = b WHERE 100 * both >= 80 * (p.n + q.n - both)),
+reached(doc_id, other) AS (
+  SELECT doc_id, doc_id FROM documents UNION SELECT r.doc_id, l.b FROM reached r JOIN links l ON l.a = r.other)
+SELECT d.doc_id, coalesce(any_value(s.n), 0) AS n_shingles, min(r.other) AS component_id
+FROM documents d JOIN reached r USING (doc_id) LEFT JOIN sized s USING (doc_id) GROUP BY d.doc_id
+"""
+
+
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.taken(mixing.mix(read(spark, sf_dir, "documents")))
 
@@ -74,5 +99,6 @@ ENTRIES = {
     "op4_warc": (op4_warc, OP4_SQL),
     "op7_article": (op7_article, None),
     "op8_repair": (op8_repair, None),
+    "op9_ngram_join": (op9_ngram_join, OP9_SQL),
     "op10_mixing": (op10_mixing, None),
 }
