@@ -79,9 +79,9 @@ shingles AS (
          WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END) AS s
   FROM worded),
 sized AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
-met AS (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS both FROM shingles x JOIN shingles y USING (s) WHERE x.doc_id <> y.doc_id GROUP BY 1, 2),
+met AS (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS n_shared FROM shingles x JOIN shingles y USING (s) WHERE x.doc_id <> y.doc_id GROUP BY 1, 2),
 links AS (
-  SELECT a, b FROM met JOIN sized p ON p.doc_id = a JOIN sized q ON q.doc_id = b WHERE 100 * both >= 80 * (p.n + q.n - both)),
+  SELECT a, b FROM met JOIN sized p ON p.doc_id = a JOIN sized q ON q.doc_id = b WHERE 100 * n_shared >= 80 * (p.n + q.n - n_shared)),
 reached(doc_id, other) AS (
   SELECT doc_id, doc_id FROM documents UNION SELECT r.doc_id, l.b FROM reached r JOIN links l ON l.a = r.other)
 SELECT d.doc_id, coalesce(any_value(s.n), 0) AS n_shingles, min(r.other) AS component_id
