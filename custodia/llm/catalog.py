@@ -73,11 +73,8 @@ WITH RECURSIVE worded AS (
   SELECT doc_id, regexp_extract_all(
     translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w
   FROM documents),
-shingles AS (
-  SELECT DISTINCT doc_id, unnest(
-    CASE WHEN len(w) >= 5 THEN list_transform(range(1, len(w) - 3), i -> array_to_string(w[i:i + 4], ' '))
-         WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END) AS s
-  FROM worded),
+places AS (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 3, 2))) AS i FROM worded WHERE len(w) > 0),
+shingles AS (SELECT DISTINCT doc_id, array_to_string(w[i:i + 4], ' ') AS s FROM places),
 sized AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
 met AS (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS n_shared FROM shingles x JOIN shingles y USING (s) WHERE x.doc_id <> y.doc_id GROUP BY 1, 2),
 links AS (
