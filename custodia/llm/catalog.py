@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from custodia.llm import article, bpe, langid, mixing, ngram_join, repair, warc
+from custodia.llm import article, bpe, imatch, langid, mixing, ngram_join, repair, warc
 from custodia.llm.common import read
 from custodia.session import work_dir
 
@@ -52,6 +52,10 @@ SELECT s.page_id, s.url, CASE WHEN s.page_id > f.first_id THEN 'revisit' ELSE 'r
 FROM sized s LEFT JOIN firsts f ON f.payload_digest = s.payload_digest AND s.payload_bytes >= 100
 """
 
+def op5_imatch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return imatch.stability(read(spark, sf_dir, "documents"))
+
+
 def op7_article(spark: SparkSession, sf_dir: str) -> DataFrame:
     return article.extract(read(spark, sf_dir, "pages"))
 
@@ -94,6 +98,7 @@ ENTRIES = {
     "op1_bpe": (op1_bpe, None),
     "op2_langid": (op2_langid, None),
     "op4_warc": (op4_warc, OP4_SQL),
+    "op5_imatch": (op5_imatch, None),
     "op7_article": (op7_article, None),
     "op8_repair": (op8_repair, None),
     "op9_ngram_join": (op9_ngram_join, OP9_SQL),
