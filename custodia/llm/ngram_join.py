@@ -3,7 +3,7 @@
 A document's set are its distinct shingles of ``WORDS`` words. Equal sets are one
 set. The join is exact for components: no link between different sets is lost.
 
-1. Shingles that are frequent in slices of the corpus come last in the global
+1. Shingles that are frequent in parts of the corpus come last in the global
    order, by frequency (a list of bounded length: it only orders), all others by
    hash. Sets that can be similar share a shingle in their prefixes.
 2. Answers of similar sets are derived, not searched: sets with equal min-hashes
@@ -43,6 +43,7 @@ from custodia.session import work_dir
 WORDS = 5
 LIST_LENGTH = 100_000
 LOCALLY_FREQUENT = 3
+COUNTED_TOGETHER = 3_000_000
 KEYS, HASHES_PER_KEY = 4, 3
 MEMBERS_PER_TASK = 256
 BITMAP_BITS = 1 << 25
@@ -105,10 +106,16 @@ def frequent(docs: DataFrame) -> np.ndarray:
     """The most frequent shingles, by ascending frequency; only their place in the order depends on it."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in K.slices(batches, 0):
-            value, n = np.unique(shingles(part.column(0))[0], return_counts=True)
-            often = n >= LOCALLY_FREQUENT
-            yield pa.RecordBatch.from_arrays([pa.array(value[often].view(np.int64)), pa.array(n[often])], ["value", "n"])
+        held, size = [], 0
+        for part in _and_end(K.slices(batches, 0)):
+            if part is not None:
+                held.append(shingles(part.column(0))[0])
+                size += len(held[-1])
+            if held and (part is None or size >= COUNTED_TOGETHER):
+                value, n = np.unique(np.concatenate(held), return_counts=True)
+                often = n >= LOCALLY_FREQUENT
+                yield pa.RecordBatch.from_arrays([pa.array(value[often].view(np.int64)), pa.array(n[often])], ["value", "n"])
+                held, size = [], 0
 
     counted = docs.select("text").mapInArrow(run, "value long, n long").groupBy("value").agg(F.sum("n").alias("n"))
     top = counted.orderBy(F.desc("n"), "value").limit(LIST_LENGTH).toPandas()
