@@ -263,3 +263,14 @@ def mix(
 def taken(mixed: DataFrame) -> DataFrame:
     """The words that the mix takes of every document."""
     return mixed.select("doc_id", "size", "source_size", "target", (F.col("size") * F.size("draws")).alias("taken"), "source")
+
+
+def mixed_rows(docs: DataFrame, mixed: DataFrame, id_col: str = "doc_id", text_col: str = "text", seed: int = 0) -> DataFrame:
+    """All columns of the documents that the mix takes, as often as it does, dealt to its shards and shuffled inside them."""
+    flat = docs.toDF(*[f"_{k}" for k in range(len(docs.columns))])
+    doc, text = (F.col(f"_{docs.columns.index(c)}") for c in (id_col, text_col))
+    flat = flat.withColumn("spot", uniform(F.lit(seed), doc.cast("long"), F.xxhash64(text.cast("string"))))
+    drawn = mixed.where(F.size("draws") > 0).dropDuplicates(["doc_id", "place"]).select("doc_id", "place", "draws")
+    rows = flat.join(drawn, doc.cast("long").eqNullSafe(F.col("doc_id")) & (F.col("spot") == F.col("place")))
+    rows = rows.select(*flat.columns[:-1], F.inline("draws")).repartition("shard").sortWithinPartitions("shard", "position")
+    return rows.drop("shard", "position").toDF(*docs.columns)

@@ -161,25 +161,49 @@ def describe(docs: DataFrame, often: np.ndarray) -> DataFrame:
     )
 
 
-def texts_of(docs: DataFrame, wanted: DataFrame, one: DataFrame) -> DataFrame:
-    """name and text of the wanted sets, from the document that stands for each."""
-    ids = one.join(wanted, "name", "left_semi").select("name", F.col("doc_id").alias("of"))
-    place = F.pmod(F.xxhash64("of"), F.lit(BITMAP_BITS)).alias("place")
+def maybe_among(ids: DataFrame, column: Column) -> Column:
+    """Whether ``column`` may be among ``ids`` (one column): false is certain. A bitmap of fixed size, however many ids there are."""
+    place = F.pmod(F.xxhash64(F.col(ids.columns[0]).cast("long")), F.lit(BITMAP_BITS)).alias("place")
     bits = ids.select(place).groupBy(F.bitmap_bucket_number("place").alias("bucket"))
     rows = bits.agg(F.bitmap_construct_agg(F.bitmap_bit_position("place")).alias("bits")).collect()
-    bitmap = np.zeros(BITMAP_BITS // 8 + 8192, np.uint8)
     size = 4096
+    bitmap = np.zeros(BITMAP_BITS // 8 + 2 * size, np.uint8)
     for r in rows:
         bitmap[(r.bucket - 1) * size : r.bucket * size] = np.frombuffer(bytes(r.bits), np.uint8)
-    shared = docs.sparkSession.sparkContext.broadcast(bitmap)
+    shared = ids.sparkSession.sparkContext.broadcast(bitmap)
 
     @F.pandas_udf("boolean")
     def maybe(bucket: pd.Series, position: pd.Series) -> pd.Series:
-        at = (bucket.to_numpy() - 1) * 32768 + position.to_numpy()
+        at = (bucket.to_numpy() - 1) * 8 * size + position.to_numpy()
         return pd.Series((shared.value[at >> 3] >> (at & 7)) & 1 == 1)
 
-    hashed = F.pmod(F.xxhash64("doc_id"), F.lit(BITMAP_BITS))
-    held = docs.where("doc_id IS NOT NULL").where(maybe(F.bitmap_bucket_number(hashed), F.bitmap_bit_position(hashed)))
+    hashed = F.pmod(F.xxhash64(F.coalesce(column.cast("long"), F.lit(0).cast("long"))), F.lit(BITMAP_BITS))
+    return maybe(F.bitmap_bucket_number(hashed), F.bitmap_bit_position(hashed))
+
+
+def representatives(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of one document of each group: that with the smallest id; equal rows of one id once.
+
+    Rows with a null id or without shingles stay. Only rows that may go are
+    shuffled.
+    """
+    joined = stored(join(docs, id_col, text_col), f"{work_dir(docs.sparkSession, 'groups')}/components")
+    gone = joined.where("doc_id <> component_id").select("doc_id")
+    again = joined.groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1 AND doc_id IS NOT NULL").select("doc_id")
+    odd = f"_{len(docs.columns)}"
+    flat = docs.toDF(*[f"_{k}" for k in range(len(docs.columns))])
+    own = F.col(f"_{docs.columns.index(id_col)}")
+    text = F.col(f"_{docs.columns.index(text_col)}")
+    flat = flat.withColumn(odd, own.isNotNull() & maybe_among(gone.unionAll(again), own))
+    checked = flat.where(F.col(odd)).join(gone.distinct(), own == F.col("doc_id"), "left_anti")
+    checked = checked.withColumn(odd, F.sha2(F.coalesce(text, F.lit("")), 256)).dropDuplicates([f"_{docs.columns.index(id_col)}", odd])
+    return flat.where(~F.col(odd)).drop(odd).unionAll(checked.drop(odd)).toDF(*docs.columns)
+
+
+def texts_of(docs: DataFrame, wanted: DataFrame, one: DataFrame) -> DataFrame:
+    """name and text of the wanted sets, from the document that stands for each."""
+    ids = one.join(wanted, "name", "left_semi").select("name", F.col("doc_id").alias("of"))
+    held = docs.where("doc_id IS NOT NULL").where(maybe_among(ids.select("of"), F.col("doc_id")))
     found = held.join(ids, F.col("doc_id") == F.col("of")).select("name", "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
