@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from custodia.llm import article, bpe, imatch, langid, mixing, ngram_join, repair, warc
+from custodia.llm import article, bpe, imatch, langid, mixing, ngram_join, ppm, repair, warc
 from custodia.llm.common import read
 from custodia.session import work_dir
 
@@ -37,6 +37,11 @@ def op2_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumn("held_out", _fold(3) == 1).drop("text")
 
 
+def op3_ppm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    trains = "crc32(coalesce(cast(doc_id AS string), '')) % 7 <> 2"
+    return ppm.score(read(spark, sf_dir, "documents"), trains).withColumn("held_out", _fold(7) == 2)
+
+
 def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = work_dir(spark, "warc")
     warc.write(spark, read(spark, sf_dir, "pages"), folder)
@@ -97,6 +102,7 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 ENTRIES = {
     "op1_bpe": (op1_bpe, None),
     "op2_langid": (op2_langid, None),
+    "op3_ppm": (op3_ppm, None),
     "op4_warc": (op4_warc, OP4_SQL),
     "op5_imatch": (op5_imatch, None),
     "op7_article": (op7_article, None),
