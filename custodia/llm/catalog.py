@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from custodia.llm import article, bpe, imatch, langid, mixing, ngram_join, ppm, repair, warc
+from custodia.llm import article, bpe, imatch, langid, mixing, ngram_join, nndescent, ppm, repair, warc
 from custodia.llm.common import read
 from custodia.session import work_dir
 
@@ -61,6 +61,10 @@ def op5_imatch(spark: SparkSession, sf_dir: str) -> DataFrame:
     return imatch.stability(read(spark, sf_dir, "documents"))
 
 
+def op6_nndescent(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nndescent.link(read(spark, sf_dir, "embeddings"))
+
+
 def op7_article(spark: SparkSession, sf_dir: str) -> DataFrame:
     return article.extract(read(spark, sf_dir, "pages"))
 
@@ -105,6 +109,7 @@ ENTRIES = {
     "op3_ppm": (op3_ppm, None),
     "op4_warc": (op4_warc, OP4_SQL),
     "op5_imatch": (op5_imatch, None),
+    "op6_nndescent": (op6_nndescent, None),
     "op7_article": (op7_article, None),
     "op8_repair": (op8_repair, None),
     "op9_ngram_join": (op9_ngram_join, OP9_SQL),
