@@ -29,7 +29,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Byte-level BPE ids of every document as digests, with that of the decoded text."""
     path = public_tokenizers.path(catalog.BPE_RANKS)
-    return bpe.digests(bpe.decode(bpe.encode(docs, path), path))
+    return bpe.digests(bpe.round_trip(docs, path))
 
 
 STAGES = [

@@ -10,7 +10,7 @@ position.
 
 Nulls and empty texts have no ids and decode to nothing. Repeated rows and
 repeated ids each give their own row. Texts are never cut; memory is bounded by
-a slice (2 MB of text, or one longer text), a cache of ``CACHE_WORDS`` words and
+a slice (1 MB of text, or one longer text), a cache of ``CACHE_WORDS`` words and
 ``STATE_ROWS`` rows of recursion. A single pre-token of n symbols that has no
 repeats costs time in the order of n squared.
 """
@@ -18,8 +18,8 @@ repeats costs time in the order of n squared.
 from __future__ import annotations
 
 import base64
-import functools
-from collections.abc import Iterator
+import contextlib
+from collections.abc import Callable, Iterator
 from pathlib import Path
 
 import duckdb
@@ -31,9 +31,10 @@ from pyspark.sql import functions as F
 from custodia.llm import kernels as K
 from custodia.llm.common import binary, pick
 
+SLICE_BYTES = 1 << 20
 CACHE_WORDS = 400_000
-BATCH_WORDS = 20_000
-STATE_ROWS = 4_000_000
+BATCH_WORDS = 12_000
+STATE_ROWS = 2_000_000
 
 _CONTRACT = """
 WITH RECURSIVE state(w, pos, tok, done, step) AS (
@@ -87,7 +88,7 @@ class Tables:
                     right.append(b)
                     rank.append(r)
                     early.update(x for x in (a, b) if r < x)
-        self.con = duckdb.connect(config={"threads": 1, "memory_limit": "1GB", "temp_directory": ""})
+        self.con = duckdb.connect(config={"threads": 1, "memory_limit": "512MB", "temp_directory": ""})
         # Where nothing built on a token ranks before it, all its occurrences can be contracted in one step.
         merges = pa.table({
             "pair": np.array(left, np.int64) * 65536 + np.array(right, np.int64),
@@ -139,40 +140,53 @@ class Tables:
         return rows.column("bytes").combine_chunks().cast(pa.binary())
 
 
-@functools.lru_cache(maxsize=1)
-def tables_of(vocabulary: bytes) -> Tables:
-    """The tables of this Python worker, kept between its tasks."""
-    return Tables(read_ranks(vocabulary))
+@contextlib.contextmanager
+def tables_of(vocabulary: bytes) -> Iterator[Tables]:
+    """The tables of one task; their memory is given back when it ends."""
+    tables = Tables(read_ranks(vocabulary))
+    try:
+        yield tables
+    finally:
+        tables.con.close()
+        K.release()
 
 
 def encode(docs: DataFrame, vocab_path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per document: its id and ``ids``, little-endian unsigned 32-bit integers."""
-    ranks = docs.sparkSession.sparkContext.broadcast(Path(vocab_path).read_bytes())
-    docs = pick(docs, doc_id=(id_col, _kind(docs, id_col)), text=(text_col, "string"))
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tables = tables_of(ranks.value)
-        for part in K.slices(batches, 1):
-            ids, at = tables.encode(part.column(1).fill_null("").to_pylist())
-            yield pa.RecordBatch.from_arrays([part.column(0), binary(ids.astype("<u4").view(np.uint8), at * 4)], ["doc_id", "ids"])
-
-    return docs.mapInArrow(run, f"doc_id {_kind(docs, 'doc_id')}, ids binary").withColumnRenamed("doc_id", id_col)
+    return _run(docs, vocab_path, id_col, text_col, "string", _encode)
 
 
 def decode(encoded: DataFrame, vocab_path: str, id_col: str = "doc_id", ids_col: str = "ids") -> DataFrame:
     """One row per document: its id, ``ids`` and ``decoded``, the bytes of its ids; null ids decode to nothing."""
-    ranks = encoded.sparkSession.sparkContext.broadcast(Path(vocab_path).read_bytes())
-    encoded = pick(encoded, doc_id=(id_col, _kind(encoded, id_col)), ids=(ids_col, "binary"))
+    return _run(encoded, vocab_path, id_col, ids_col, "binary", _decode)
+
+
+def round_trip(docs: DataFrame, vocab_path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``decode(encode(docs))`` in the same tasks, with one pair of tables instead of two."""
+    return _run(docs, vocab_path, id_col, text_col, "string", lambda tables, column: _decode(tables, _encode(tables, column)[0]))
+
+
+def _encode(tables: Tables, texts: pa.Array) -> list[pa.Array]:
+    ids, at = tables.encode(texts.fill_null("").to_pylist())
+    return [binary(ids.astype("<u4").view(np.uint8), at * 4)]
+
+
+def _decode(tables: Tables, ids: pa.Array) -> list[pa.Array]:
+    raw, at = K.flat(ids)
+    return [ids, tables.decode(np.ascontiguousarray(raw).view("<u4"), at // 4)]
+
+
+def _run(df: DataFrame, vocab_path: str, id_col: str, column: str, kind: str, work: Callable[[Tables, pa.Array], list[pa.Array]]) -> DataFrame:
+    vocabulary = df.sparkSession.sparkContext.broadcast(Path(vocab_path).read_bytes())
+    df = pick(df, doc_id=(id_col, _kind(df, id_col)), value=(column, kind))
+    names = ["ids"] if work is _encode else ["ids", "decoded"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tables = tables_of(ranks.value)
-        for part in K.slices(batches, 1):
-            raw, at = K.flat(part.column(1))
-            yield pa.RecordBatch.from_arrays(
-                [part.column(0), part.column(1), tables.decode(np.ascontiguousarray(raw).view("<u4"), at // 4)], ["doc_id", "ids", "decoded"]
-            )
-
-    out = encoded.mapInArrow(run, f"doc_id {_kind(encoded, 'doc_id')}, ids binary, decoded binary")
+        with tables_of(vocabulary.value) as tables:
+            for part in K.slices(batches, 1, SLICE_BYTES):
+                yield pa.RecordBatch.from_arrays([part.column(0), *work(tables, part.column(1))], ["doc_id", *names])
+
+    out = df.mapInArrow(run, f"doc_id {_kind(df, 'doc_id')}, " + ", ".join(f"{n} binary" for n in names))
     return out.withColumnRenamed("doc_id", id_col)
 
 

@@ -19,7 +19,7 @@ TOKENIZER_IDS = 50_257
 
 def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path(BPE_RANKS)
-    return bpe.digests(bpe.decode(bpe.encode(read(spark, sf_dir, "documents"), path), path))
+    return bpe.digests(bpe.round_trip(read(spark, sf_dir, "documents"), path))
 
 
 def languages(docs: DataFrame) -> langid.Languages:

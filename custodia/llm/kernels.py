@@ -6,6 +6,7 @@ numpy arrays: one value per byte, code point or word, plus row offsets.
 
 from __future__ import annotations
 
+import ctypes
 import functools
 from collections.abc import Callable, Iterator
 
@@ -14,6 +15,7 @@ import pyarrow as pa
 import regex
 
 SLICE_BYTES = 2 << 20
+STRETCH = 1 << 19
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 _MIX1 = np.uint64(0xBF58476D1CE4E5B9)
 _MIX2 = np.uint64(0x94D049BB133111EB)
@@ -61,6 +63,14 @@ def flat(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return raw, at - at[0]
 
 
+def release() -> None:
+    """Give memory back that a task no longer needs: Python workers live on between tasks."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     """A bijective 64-bit mixer."""
     x = x ^ (x >> np.uint64(30))
@@ -91,7 +101,21 @@ class _Powers:
 
 
 def span_hashes(symbols: np.ndarray, start: np.ndarray, stop: np.ndarray) -> np.ndarray:
-    """A 64-bit hash of each span of ``symbols``; equal spans give equal hashes wherever they stand."""
+    """A 64-bit hash of each span of ``symbols``; equal spans give equal hashes wherever they stand.
+
+    Ascending spans of many symbols are done stretch by stretch, in bounded memory.
+    """
+    if len(symbols) > 2 * STRETCH and len(start) > 1 and (start[1:] >= start[:-1]).all():
+        cuts = np.unique(np.append(np.searchsorted(start, np.arange(0, len(symbols), STRETCH)), len(start)))
+        parts = []
+        for a, b in zip(cuts[:-1], cuts[1:], strict=True):
+            low, high = start[a], max(int(stop[a:b].max()), int(start[a]))
+            parts.append(_span_hashes(symbols[low:high], start[a:b] - low, stop[a:b] - low))
+        return np.concatenate(parts)
+    return _span_hashes(symbols, start, stop)
+
+
+def _span_hashes(symbols: np.ndarray, start: np.ndarray, stop: np.ndarray) -> np.ndarray:
     up, down = _Powers.of(len(symbols) + 1)
     total = np.zeros(len(symbols) + 1, np.uint64)
     np.cumsum(_letters_of_hash()[symbols] * up[: len(symbols)], out=total[1:])

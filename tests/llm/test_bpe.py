@@ -20,7 +20,7 @@ def test_equals_the_library(spark):
     rows = [(k, t, "x", 7) for k, t in enumerate(TEXTS)] + [(None, "no id", None, None), (3, TEXTS[3], "x", 7)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, TEXT2 string, ids int")
     out = bpe.decode(bpe.encode(docs, PATH), PATH).collect()
-    assert len(out) == len(rows)
+    assert len(out) == len(rows) and sorted(map(str, bpe.round_trip(docs, PATH).collect())) == sorted(map(str, out))
     want = sorted((str(r[0]), tuple(library.encode_ordinary(r[1] or "")), (r[1] or "").encode()) for r in rows)
     assert sorted((str(r.doc_id), tuple(np.frombuffer(r.ids, "<u4")), bytes(r.decoded)) for r in out) == want
 
