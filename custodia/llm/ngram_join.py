@@ -7,8 +7,9 @@ set. The join is exact for components: no link between different sets is lost.
    order, by frequency (a list of bounded length: it only orders), all others by
    hash. Sets that can be similar share a shingle in their prefixes.
 2. Answers of similar sets are derived, not searched: sets with equal min-hashes
-   are compared with one leader; linked ones form clusters, and of every member
-   the exact difference to the cluster's root is computed.
+   are compared with one leader, then in rounds with a few others of their group;
+   linked ones form clusters, and of every member the exact difference to the
+   cluster's root is computed.
 3. The index holds, for each prefix shingle, clusters instead of sets, with the
    range of sizes and how much follows the shingle. Lists are sorted by size; a
    block of sizes out of reach is skipped, and pairs whose remaining length cannot
@@ -17,8 +18,9 @@ set. The join is exact for components: no link between different sets is lost.
    It links them, or rules all member pairs out by their differences; only member
    pairs that neither decides are compared themselves.
 
-Texts are fetched again for sets that take part in a comparison; a bitmap of
-fixed size keeps the others out of the shuffle. Words are ``[^\\x20\\x09-\\x0D]+``
+Before a comparison the parities of the two sets' elements, hashed to ``PARITY_BITS``
+places, bound the overlap from above. Texts are fetched again for sets that are
+compared; a bitmap of fixed size keeps the others out of the shuffle. Words are ``[^\\x20\\x09-\\x0D]+``
 with A-Z lower-cased; a text of fewer words is one shingle. Null, empty and blank
 texts have no shingles, link with nothing and are their own component. Rows with
 a null id link with nothing and have no component; repeated ids are rows of
@@ -45,6 +47,9 @@ LIST_LENGTH = 100_000
 LOCALLY_FREQUENT = 3
 COUNTED_TOGETHER = 3_000_000
 KEYS, HASHES_PER_KEY = 4, 3
+PAIRS_OF_HASHES = ((0, 3), (1, 6), (4, 9), (7, 10))
+ROUNDS, MET_TOGETHER = 3, 8
+PARITY_BITS = 1024
 MEMBERS_PER_TASK = 256
 BITMAP_BITS = 1 << 25
 _P = np.uint64(0x100000001B3)
@@ -143,22 +148,34 @@ def describe(docs: DataFrame, often: np.ndarray) -> DataFrame:
             order = np.lexsort((place, row))
             take = np.where(some, prefix_length(n), 0)
             prefix = value[order][K.ragged(first[:-1], take)] >> np.uint64(32)
-            keys = np.zeros((KEYS, part.num_rows), np.uint64)
+            least = np.zeros((len(seeds), part.num_rows), np.uint64)
             if some.any():
-                heads = first[:-1][some]
-                for k in range(KEYS):
-                    for j in range(HASHES_PER_KEY):
-                        keys[k, some] = keys[k, some] * _P + np.minimum.reduceat(K.mix(value ^ seeds[k * HASHES_PER_KEY + j]), heads)
+                for k, seed in enumerate(seeds):
+                    least[k, some] = np.minimum.reduceat(K.mix(value ^ seed), first[:-1][some])
+            keys = [_chain(least[k * HASHES_PER_KEY : (k + 1) * HASHES_PER_KEY]) for k in range(KEYS)]
+            keys = np.stack(keys + [_chain(least[list(x)]) for x in PAIRS_OF_HASHES], axis=1).view(np.int64)
+            odd = np.bincount(row * PARITY_BITS + (value % np.uint64(PARITY_BITS)).astype(np.int64), minlength=part.num_rows * PARITY_BITS) & 1
+            parity = np.packbits(odd.astype(np.uint8).reshape(part.num_rows, PARITY_BITS), axis=1).view(np.int64)
             held = np.append(0, np.cumsum(take)) * 4
             yield pa.RecordBatch.from_arrays(
                 [part.column(0), pa.array(n.astype(np.int64)), pa.array(set_names(value, first)), binary(prefix.astype("<u4").view(np.uint8), held),
-                 *(pa.array(K.mix(k).view(np.int64)) for k in keys)],
-                ["doc_id", "n", "name", "prefix", *(f"key{k}" for k in range(KEYS))],
+                 _lists(keys), _lists(parity)],
+                ["doc_id", "n", "name", "prefix", "keys", "parity"],
             )
+        K.release()
 
-    return docs.select("doc_id", "text").mapInArrow(
-        run, "doc_id long, n long, name long, prefix binary, " + ", ".join(f"key{k} long" for k in range(KEYS))
-    )
+    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, n long, name long, prefix binary, keys array<long>, parity array<long>")
+
+
+def _chain(hashes: np.ndarray) -> np.ndarray:
+    out = np.zeros(hashes.shape[1], np.uint64)
+    for h in hashes:
+        out = out * _P + h
+    return K.mix(out)
+
+
+def _lists(rows: np.ndarray) -> pa.Array:
+    return pa.ListArray.from_arrays(pa.array(np.arange(len(rows) + 1, dtype=np.int32) * rows.shape[1]), pa.array(rows.ravel()))
 
 
 def maybe_among(ids: DataFrame, column: Column) -> Column:
@@ -246,23 +263,50 @@ def similar(both: Column, na: Column, nb: Column) -> Column:
     return 100 * both >= 80 * (na + nb - both)
 
 
+def possible(pairs: DataFrame, one: DataFrame) -> DataFrame:
+    """Pairs (a, b) with ``possible``: false where the parities of their elements by hash differ in more places than their sets may."""
+    for side in ("a", "b"):
+        own = one.select(F.col("name").alias(f"of_{side}"), F.col("n").alias(f"n_{side}"), F.col("parity").alias(f"parity_{side}"))
+        pairs = pairs.join(own, F.col(side) == F.col(f"of_{side}"))
+    differ = F.aggregate(F.zip_with("parity_a", "parity_b", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda s, n: s + n)
+    total = F.col("n_a") + F.col("n_b")
+    return pairs.withColumn("possible", 9 * (total - differ) >= 8 * total).drop("of_a", "of_b", "n_a", "n_b", "parity_a", "parity_b")
+
+
 def clusters(docs: DataFrame, one: DataFrame, folder: str) -> tuple[DataFrame, DataFrame]:
-    """Links found by equal keys, and every set of two or more linked ones with its root and the sizes of both differences."""
-    keyed = one.select("name", F.explode(F.array(*[F.struct(F.lit(k).alias("k"), F.col(f"key{k}").alias("key")) for k in range(KEYS)])).alias("x"))
-    keyed = keyed.select("name", "x.k", "x.key")
-    leaders = keyed.groupBy("k", "key").agg(F.min("name").alias("leader"), F.max("name").alias("last")).where("leader < last").drop("last")
-    leaders = stored(leaders, f"{folder}/leaders")
-    votes = keyed.join(leaders, ["k", "key"]).where("name <> leader").groupBy("name", "leader").agg(F.count("*").alias("n"))
+    """Links found by equal keys, and every set of two or more linked ones with its root and the sizes of both differences.
+
+    First every set meets the smallest name of the key group it is in most often;
+    then, in rounds, sets not yet connected meet one of about ``MET_TOGETHER``
+    sets of each of their key groups, others in every round. Pairs are in
+    proportion to sets, however large a group is.
+    """
+    keyed = one.select("name", F.posexplode("keys").alias("k", "key"))
+    sizes = stored(keyed.groupBy("k", "key").agg(F.min("name").alias("leader"), F.count("*").alias("n")).where("n > 1"), f"{folder}/key-groups")
+    votes = keyed.where(F.col("k") < KEYS).join(sizes, ["k", "key"]).where("name <> leader").groupBy("name", "leader").agg(F.count("*").alias("n"))
     chosen = votes.groupBy("name").agg(F.max_by("leader", F.struct(F.col("n"), -F.col("leader"))).alias("leader"))
-    chosen = stored(chosen, f"{folder}/chosen").select(F.col("name").alias("a"), F.col("leader").alias("b"))
-    wanted = chosen.select(F.col("a").alias("name")).unionAll(chosen.select("b")).distinct()
-    texts = stored(texts_of(docs, wanted, one), f"{folder}/texts-1")
-    links = stored(overlaps(chosen, texts).where(similar(F.col("both"), F.col("na"), F.col("nb"))), f"{folder}/links-1")
-    roots = stored(components(links, f"{folder}/components-1"), f"{folder}/roots")
+    pairs = chosen.select(F.col("name").alias("a"), F.col("leader").alias("b"))
+    links, roots = None, None
+    for turn in range(ROUNDS + 1):
+        pairs = stored(possible(pairs, one).where("possible").drop("possible"), f"{folder}/pairs-{turn}")
+        texts = stored(texts_of(docs, pairs.select(F.col("a").alias("name")).unionAll(pairs.select("b")).distinct(), one), f"{folder}/texts-{turn}")
+        found = stored(overlaps(pairs, texts).where(similar(F.col("both"), F.col("na"), F.col("nb"))), f"{folder}/links-{turn}")
+        if turn and found.isEmpty():
+            break
+        links = found if links is None else links.unionAll(found)
+        roots = stored(components(links, f"{folder}/components-1-{turn}"), f"{folder}/roots-{turn}")
+        own = roots.select(F.col("node").alias("of"), "root")
+        placed = keyed.join(sizes.select("k", "key", "n"), ["k", "key"]).withColumn("part", F.pmod(F.xxhash64("name", F.lit(turn)), F.ceil(F.col("n") / MET_TOGETHER)))
+        placed = placed.join(own, F.col("name") == F.col("of"), "left").select("k", "key", "part", "name", F.coalesce("root", "name").alias("root"))
+        placed = stored(placed, f"{folder}/placed-{turn}")
+        heads = placed.groupBy("k", "key", "part").agg(F.min(F.struct("name", "root")).alias("head"))
+        pairs = placed.join(stored(heads, f"{folder}/heads-{turn}"), ["k", "key", "part"]).where("root <> head.root")
+        pairs = pairs.select(F.greatest("name", "head.name").alias("a"), F.least("name", "head.name").alias("b")).distinct()
     members = roots.where("node <> root").select(F.col("node").alias("a"), F.col("root").alias("b"))
-    known = members.join(links, ["a", "b"])
-    rest = overlaps(members.join(links.select("a", "b"), ["a", "b"], "left_anti"), texts)
-    diffs = known.select("a", "b", "na", "nb", "both").unionAll(rest.select("a", "b", "na", "nb", "both"))
+    known = members.join(links.dropDuplicates(["a", "b"]), ["a", "b"])
+    rest = stored(members.join(links.select("a", "b"), ["a", "b"], "left_anti"), f"{folder}/far-members")
+    texts = stored(texts_of(docs, rest.select(F.col("a").alias("name")).unionAll(rest.select("b")).distinct(), one), f"{folder}/texts-far")
+    diffs = known.select("a", "b", "na", "nb", "both").unionAll(overlaps(rest, texts).select("a", "b", "na", "nb", "both"))
     diffs = diffs.select(F.col("a").alias("name"), F.col("b").alias("root"), F.col("na").alias("n"), (F.col("na") - F.col("both")).alias("extra"))
     return links, stored(diffs, f"{folder}/members")
 
@@ -348,12 +392,15 @@ def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
     folder = work_dir(docs.sparkSession, "ngram-join")
     described = stored(describe(docs, frequent(docs)), f"{folder}/sets")
     held = described.where("n > 0 AND doc_id IS NOT NULL")
-    columns = ["n", "prefix", *(f"key{k}" for k in range(KEYS))]
-    one = held.groupBy("name").agg(F.min(F.struct("doc_id", *columns)).alias("x")).select("name", "x.*")
+    one = held.groupBy("name").agg(F.min(F.struct("doc_id", "n", "prefix", "keys", "parity")).alias("x")).select("name", "x.*")
     one = stored(one, f"{folder}/one")
     links, members = clusters(docs, one, folder)
-    pairs = stored(candidates(one, members), f"{folder}/pairs")
-    texts = stored(texts_of(docs, pairs.select(F.col("a").alias("name")).unionAll(pairs.select("b")).distinct(), one), f"{folder}/texts-2")
+    pairs = possible(stored(candidates(one, members), f"{folder}/candidates"), one)
+    heads = members.select(F.col("root").alias("head")).distinct().withColumn("many", F.lit(True))
+    for side in ("a", "b"):  # of a cluster the root says nothing yet about the others
+        pairs = pairs.join(heads.select(F.col("head").alias("h"), F.col("many").alias(f"many_{side}")), F.col(side) == F.col("h"), "left").drop("h")
+    pairs = stored(pairs.where("possible OR many_a OR many_b").select("a", "b"), f"{folder}/pairs")
+    texts = stored(texts_of(docs, pairs.select(F.col("a").alias("name")).unionAll(pairs.select("b")).distinct(), one), f"{folder}/texts-met")
     met = stored(overlaps(pairs, texts), f"{folder}/met")
     linked = met.where(similar(F.col("both"), F.col("na"), F.col("nb"))).select("a", "b")
 
@@ -380,8 +427,9 @@ def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
         inner = inner.where(9 * bound >= 4 * (F.col("set_a.m") + F.col("set_b.m")))
         inner = inner.where((5 * F.col("set_a.m") >= 4 * F.col("set_b.m")) & (5 * F.col("set_b.m") >= 4 * F.col("set_a.m")))
         inner = inner.select(F.col("set_a.x").alias("p"), F.col("set_b.x").alias("q"), "a", "b").where("p <> a OR q <> b")
-        inner = stored(inner.select(F.col("p").alias("a"), F.col("q").alias("b")).distinct(), f"{folder}/inner")
-        texts = stored(texts_of(docs, inner.select(F.col("a").alias("name")).unionAll(inner.select("b")).distinct(), one), f"{folder}/texts-3")
+        inner = inner.select(F.greatest("p", "q").alias("a"), F.least("p", "q").alias("b")).distinct()
+        inner = stored(possible(inner, one).where("possible").drop("possible"), f"{folder}/inner")
+        texts = stored(texts_of(docs, inner.select(F.col("a").alias("name")).unionAll(inner.select("b")).distinct(), one), f"{folder}/texts-inner")
         met = stored(overlaps(inner, texts), f"{folder}/met-inner")
         linked = linked.unionAll(met.where(similar(F.col("both"), F.col("na"), F.col("nb"))).select("a", "b"))
 

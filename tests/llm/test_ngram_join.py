@@ -82,6 +82,7 @@ def test_equals_all_pairs(spark, seed):
 
 def test_equals_all_pairs_without_leaders_or_frequent_list(spark, monkeypatch):
     monkeypatch.setattr(ngram_join, "HASHES_PER_KEY", 12)
+    monkeypatch.setattr(ngram_join, "ROUNDS", 0)
     monkeypatch.setattr(ngram_join, "LIST_LENGTH", 3)
     monkeypatch.setattr(ngram_join, "MEMBERS_PER_TASK", 3)
     rows = near_copies(3)
