@@ -424,6 +424,18 @@ def rejected_records(spark, sf):
     return survivorship.rejected_records(claimed, "location_id", nation, ["zone"])
 
 
+@entry(
+    "steward_flags",
+    """SELECT s_suppkey, n_name, CAST(COUNT(*) OVER (PARTITION BY n_name) AS BIGINT) AS keys
+FROM supplier JOIN nation ON s_nationkey = n_nationkey QUALIFY COUNT(*) OVER (PARTITION BY n_name) > 1""",
+)
+def steward_flags(spark, sf):
+    """Suppliers of one nation, told apart by nothing but their key."""
+    nation = table(spark, sf, "nation").select("n_nationkey", "n_name")
+    rows = table(spark, sf, "supplier").join(nation, F.col("s_nationkey") == F.col("n_nationkey")).select("s_suppkey", "n_name")
+    return survivorship.steward_flags(rows, "s_suppkey", ["n_name"])
+
+
 # -- code sets ----------------------------------------------------------------------
 
 # Fixed labels of the payment codes.

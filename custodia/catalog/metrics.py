@@ -10,7 +10,7 @@ from custodia.catalog.roles import (
 )
 from custodia.functions import duration_minutes
 from custodia.operators import enrich, metrics, quality, star
-from custodia.operators.keys import surrogate_keys
+from custodia.operators.keys import extend_keys, surrogate_keys
 from custodia.plans.jobs import TripLayout, curated, star_job
 from custodia.session import clock, work_dir
 
@@ -416,6 +416,27 @@ def surrogate_keys_check(spark, sf):
     )
 
 
+@entry(
+    "surrogate_keys_extended",
+    """SELECT c_custkey, TRUE AS key_kept, TRUE AS key_new FROM customer""",
+)
+def surrogate_keys_extended(spark, sf):
+    """Keys of two thirds of the customers, then of all: whether old members keep theirs and new ones get others."""
+    customers = table(spark, sf, "customer").select("c_custkey")
+    path = work_dir(spark, "keys")
+    surrogate_keys(customers.filter("c_custkey % 3 <> 0"), ["c_custkey"], "customer_sk").write.parquet(path)
+    old = spark.read.parquet(path)
+    before = old.select("c_custkey", F.col("customer_sk").alias("old_sk"))
+    keyed = extend_keys(customers, ["c_custkey"], "customer_sk", old).join(before, "c_custkey", "left")
+    used = before.select(F.col("old_sk").alias("customer_sk"), F.lit(True).alias("used"))
+    keyed = keyed.join(used, "customer_sk", "left")
+    return keyed.select(
+        "c_custkey",
+        F.coalesce(F.col("customer_sk") == F.col("old_sk"), F.lit(True)).alias("key_kept"),
+        (F.col("old_sk").isNotNull() | F.col("used").isNull()).alias("key_new"),
+    )
+
+
 @entry(
     "master_lifecycle_join",
     with_ctes(LIFECYCLE, body="""

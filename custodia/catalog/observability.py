@@ -69,7 +69,7 @@ def stream_run_state(spark, sf):
     """The run log filled by a stream, one folder per batch, then reduced to its state."""
     base = work_dir(spark, "runlog")
     schema = table(spark, sf, "events").schema
-    log = event_stream(spark, sf, schema, "events.parquet")
+    log = event_stream(spark, f"{sf}/events.parquet", schema)
     run_log_stream(log, f"{base}/log", f"{base}/checkpoint")
     kind = F.col("event_type")
     stored = spark.read.parquet(f"{base}/log").select(
@@ -195,7 +195,7 @@ WHERE period_start + INTERVAL 5 MINUTE <= (SELECT date_trunc('milliseconds', MAX
 def stream_metric_series(spark, sf):
     """The series as a stream in append mode: windows the watermark has not passed are still open."""
     base = work_dir(spark, "series")
-    events = event_stream(spark, sf, table(spark, sf, "events").schema, "events.parquet")
+    events = event_stream(spark, f"{sf}/events.parquet", table(spark, sf, "events").schema)
     write_available(series_stream(events, "ts", "event_type", money()), f"{base}/out", f"{base}/checkpoint")
     return show_series(spark.read.parquet(f"{base}/out"))
 
@@ -225,7 +225,7 @@ def delete_event_count(spark, sf):
 )
 def stream_delete_count(spark, sf):
     base = work_dir(spark, "deletes")
-    events = event_stream(spark, sf, table(spark, sf, "events").schema, "events.parquet")
+    events = event_stream(spark, f"{sf}/events.parquet", table(spark, sf, "events").schema)
     write_available(series_stream(deletes(events), "ts", "event_type", F.lit(1)), f"{base}/out", f"{base}/checkpoint")
     return spark.read.parquet(f"{base}/out").select(
         F.date_format("period_start", "yyyy-MM-dd HH:mm:ss").alias("period_start"), F.col("total").alias("n")

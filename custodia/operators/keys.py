@@ -24,6 +24,12 @@ def surrogate_keys(
     return df.withColumn("_b", bucket).withColumn(name, key).drop("_b")
 
 
-def hashed_keys(df: DataFrame, columns: Sequence[str], name: str) -> DataFrame:
-    """Key of a fact row from its own columns: no shuffle, same value on every run."""
-    return df.withColumn(name, F.xxhash64(*columns))
+def extend_keys(df: DataFrame, natural_key: Sequence[str], name: str, existing: DataFrame) -> DataFrame:
+    """Rows of ``df`` with the keys that ``existing`` gives their members; only new members get new keys, above all old ones.
+
+    A key given once is never given to another member, also when its member is gone.
+    """
+    old = existing.select(*natural_key, name)
+    top = old.agg(F.coalesce(F.max(name), F.lit(0)).alias("top")).first()["top"]
+    fresh = surrogate_keys(df.join(old, list(natural_key), "left_anti"), natural_key, name, start=top)
+    return df.join(old, list(natural_key)).unionByName(fresh)

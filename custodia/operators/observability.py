@@ -210,15 +210,16 @@ def alarm_states(series: DataFrame, alarm: Alarm) -> DataFrame:
         F.lit(0).alias("listed"),
     )
     spans = series.groupBy("metric").agg(F.min("period_start").alias("lo"), F.max("period_start").alias("hi"))
-    # one row per metric and day first, so a long span is cut before its windows are listed
-    days = spans.select(
-        "metric", "lo", "hi", F.explode(F.sequence(F.to_date("lo"), F.to_date("hi"))).alias("day")
-    )
-    day_start = F.col("day").cast("timestamp_ntz")
-    windows = F.sequence(day_start, day_start + F.expr("INTERVAL 1 DAY") - step, step)
+    # one row per metric and day first, so a long span is cut before its windows are listed; windows follow
+    # one another from the first sample on, whether or not the period divides a day
+    days = spans.select("metric", "lo", "hi", F.explode(F.sequence(F.to_date("lo"), F.to_date("hi"))).alias("day"))
+    ahead = F.expr("timestampdiff(SECOND, lo, CAST(day AS TIMESTAMP_NTZ))")
+    first = F.greatest(F.lit(0).cast("long"), F.ceil(ahead / alarm.period_seconds))
+    last = F.least(F.expr("timestampdiff(SECOND, lo, hi)"), ahead + 86_399)
+    days = days.withColumn("first", first).withColumn("last", F.floor(last / alarm.period_seconds)).filter("first <= last")
     grid = (
-        days.select("metric", "lo", "hi", F.explode(windows).alias("period_start"))
-        .filter(F.col("period_start").between(F.col("lo"), F.col("hi")))
+        days.select("metric", "lo", F.explode(F.sequence("first", "last")).alias("n"))
+        .withColumn("period_start", F.col("lo") + F.col("n").cast("int") * step)
         .select("metric", "period_start", F.lit(0).alias("breach"), F.lit(0).alias("seen"), F.lit(0).alias("run"), F.lit(1).alias("listed"))
     )
     merged = reached.unionByName(grid).groupBy("metric", "period_start").agg(

@@ -51,7 +51,7 @@ class CompareColumns:
 
 @dataclass(frozen=True)
 class NumericRange:
-    """Value within [low, high]; NULL counts as ``null_as`` (None: NULL never violates)."""
+    """Value within [low, high], a strict bound itself left out; NULL counts as ``null_as`` (None: NULL never violates)."""
 
     name: str
     column: str
@@ -59,6 +59,8 @@ class NumericRange:
     high: float | None = None
     null_as: float | None = 0
     severity: str = "medium"
+    strict_low: bool = False
+    strict_high: bool = False
 
     def violation(self) -> Column:
         value = F.col(self.column)
@@ -66,9 +68,9 @@ class NumericRange:
             value = F.coalesce(value, F.lit(self.null_as))
         bad = F.lit(False)
         if self.low is not None:
-            bad = bad | (value < F.lit(self.low))
+            bad = bad | ((value <= F.lit(self.low)) if self.strict_low else (value < F.lit(self.low)))
         if self.high is not None:
-            bad = bad | (value > F.lit(self.high))
+            bad = bad | ((value >= F.lit(self.high)) if self.strict_high else (value > F.lit(self.high)))
         return F.coalesce(bad, F.lit(False))
 
     def passes(self) -> Column:
@@ -150,7 +152,8 @@ def rules_from_expectations(text: str) -> list:
         if kind == "expect_column_values_to_not_be_null":
             rules.append(NotNull(name, kw["column"]))
         elif kind == "expect_column_values_to_be_between":
-            rules.append(NumericRange(name, kw["column"], kw.get("min_value"), kw.get("max_value"), None))
+            strict = bool(kw.get("strict_min")), bool(kw.get("strict_max"))
+            rules.append(NumericRange(name, kw["column"], kw.get("min_value"), kw.get("max_value"), None, "medium", *strict))
         else:
             raise ValueError(f"unknown expectation {kind!r}")
     return rules

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from custodia.functions import date_attributes, pass_fail
-from custodia.operators.keys import surrogate_keys
+from custodia.operators.keys import extend_keys, surrogate_keys
 from custodia.session import clock
 
 
@@ -31,8 +31,11 @@ def active_dimension(master: DataFrame, lifecycle: DataFrame, id_col: str) -> Da
     return master.join(active, id_col)
 
 
-def keyed(dim: DataFrame, natural_key: str, name: str, start: int = 0) -> DataFrame:
-    return surrogate_keys(dim, [natural_key], name, start)
+def keyed(dim: DataFrame, natural_key: str, name: str, existing: DataFrame | None = None) -> DataFrame:
+    """The dimension with surrogate keys; members of an ``existing`` one keep theirs."""
+    if existing is not None:
+        return extend_keys(dim, [natural_key], name, existing)
+    return surrogate_keys(dim, [natural_key], name)
 
 
 def resolve_keys(fact: DataFrame, roles: Mapping[str, tuple[DataFrame, str, str, str]]) -> DataFrame:

@@ -58,13 +58,21 @@ def golden_records(
 
 
 def rejected_records(records: DataFrame, key: str, reference: DataFrame, attributes: Sequence[str]) -> DataFrame:
-    """Records without a key, or whose attributes belong to another key of the reference."""
-    known = reference.select(F.col(key).alias("_known"), *attributes)
-    joined = records.join(known, list(attributes), "left")
-    conflict = F.col("_known").isNotNull() & (F.col("_known") != F.col(key))
-    return (
-        joined.filter(F.col(key).isNull() | conflict)
-        .withColumn("reject_reason", F.when(F.col(key).isNull(), "missing_key").otherwise("key_conflict"))
-        .select(*records.columns, "reject_reason")
-        .distinct()
-    )
+    """Records without a key, or with a key that is none of those the reference has for their attributes.
+
+    Equal records stay apart; attributes under several keys are for ``steward_flags``.
+    """
+    by = list(attributes)
+    known = reference.select(*by).dropna().distinct().withColumn("_known", F.lit(True))
+    same = reference.select(key, *by).dropna().distinct().withColumn("_same", F.lit(True))
+    joined = records.join(known, by, "left").join(same, [key, *by], "left")
+    conflict = F.col("_known").isNotNull() & F.col("_same").isNull()
+    reason = F.when(F.col(key).isNull(), "missing_key").otherwise("key_conflict")
+    return joined.filter(F.col(key).isNull() | conflict).withColumn("reject_reason", reason).select(*records.columns, "reject_reason")
+
+
+def steward_flags(records: DataFrame, key: str, attributes: Sequence[str]) -> DataFrame:
+    """Records whose attributes also stand under another key, with the number of keys; they are kept, a steward decides."""
+    by = list(attributes)
+    twins = records.dropna(subset=[key, *by]).groupBy(*by).agg(F.count_distinct(key).alias("keys")).filter("keys > 1")
+    return records.join(twins, by).select(*records.columns, "keys")

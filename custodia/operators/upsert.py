@@ -10,6 +10,17 @@ from pyspark.sql import functions as F
 from custodia.session import clock
 
 
+def one_row_per_key(df: DataFrame, key: Sequence[str]) -> DataFrame:
+    """Of rows with an equal key the one whose other columns are largest, compared in their order.
+
+    The choice depends on the rows alone. The aggregate is partitioned by the key, as is the join behind it.
+    """
+    rest = [c for c in df.columns if c not in key]
+    if not rest:
+        return df.distinct()
+    return df.groupBy(*key).agg(F.max(F.struct(*rest)).alias("_row")).select(*[F.col(c) if c in key else F.col(f"_row.{c}").alias(c) for c in df.columns])
+
+
 def _sides(old: DataFrame, new: DataFrame, key: Sequence[str]) -> DataFrame:
     """Full outer join of two keyed tables as structs ``o`` and ``n``."""
     left = old.select(*[F.col(k).alias(f"_o{i}") for i, k in enumerate(key)], F.struct(*old.columns).alias("o"))
@@ -33,10 +44,10 @@ def upsert_type1(
     """Insert new keys at version 1; overwrite matched keys and raise their version.
 
     ``created_*`` survive. A match without any difference raises the version too
-    unless ``only_if_changed``.
+    unless ``only_if_changed``. Of several incoming rows of a key one counts (``one_row_per_key``).
     """
     now = clock(as_of)
-    both = _sides(target, incoming, key)
+    both = _sides(target, one_row_per_key(incoming, key), key)
     o, n = F.col("o"), F.col("n")
     update = o.isNotNull() & n.isNotNull()
     if only_if_changed:
@@ -67,7 +78,8 @@ def upsert_type1(
 
 
 def insert_if_absent(target: DataFrame, incoming: DataFrame, key: Sequence[str]) -> DataFrame:
-    fresh = incoming.join(target.select(*key), list(key), "left_anti")
+    """Rows with new keys are added, one for each key."""
+    fresh = one_row_per_key(incoming, key).join(target.select(*key), list(key), "left_anti")
     return target.unionByName(fresh, allowMissingColumns=True)
 
 

@@ -186,15 +186,19 @@ def vendor_dedup_job(
 
 def star_job(
     fact: DataFrame, zones: DataFrame, vendors: DataFrame, vendor_states: DataFrame, layout: TripLayout, out: str,
-    vendor_key: str = "vendor_id",
+    vendor_key: str = "vendor_id", existing: Mapping[str, DataFrame] | None = None,
 ) -> dict[str, DataFrame]:
-    """Dimensions with surrogate keys, written once below ``out``, and the fact with all of them resolved."""
-    spark = fact.sparkSession
+    """Dimensions with surrogate keys, written once below ``out``, and the fact with all of them resolved.
+
+    ``existing`` are the dimensions of the last run, by name: their members keep their keys.
+    """
+    spark, old = fact.sparkSession, existing or {}
     dims = {
-        "dim_date": star.keyed(star.date_dimension(fact, layout.pickup), "full_date", "date_sk"),
-        "dim_zone": star.keyed(zones, layout.lookup_key, "zone_sk"),
-        "dim_vendor": star.keyed(star.active_dimension(vendors, vendor_states, vendor_key), vendor_key, "vendor_sk"),
+        "dim_date": (star.date_dimension(fact, layout.pickup), "full_date", "date_sk"),
+        "dim_zone": (zones, layout.lookup_key, "zone_sk"),
+        "dim_vendor": (star.active_dimension(vendors, vendor_states, vendor_key), vendor_key, "vendor_sk"),
     }
+    dims = {name: star.keyed(dim, key, sk, old.get(name)) for name, (dim, key, sk) in dims.items()}
     for name, dim in dims.items():
         files.write_flat(dim, f"{out}/{name}")
         dims[name] = spark.read.parquet(f"{out}/{name}")
@@ -246,7 +250,11 @@ def governed_run(
     except Exception:
         record(status="FAILED", warning="PIPELINE_FAILED")
         raise
-    failed = gate(result).filter("status = 'FAIL'").limit(1).count()
+    try:
+        failed = gate(result).filter("status = 'FAIL'").limit(1).count()
+    except Exception:
+        record(status="FAILED", dq="FAILED", warning="PIPELINE_FAILED")
+        raise
     record(dq="FAILED" if failed else "SUCCEEDED")
     status = "FAILED" if failed else "SUCCEEDED"
     record(status=status, **({"warning": "DQ_FAILED"} if failed else {}))

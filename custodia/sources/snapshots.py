@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -17,8 +18,13 @@ def publish_snapshot(df: DataFrame, base: str, stamp: str) -> str:
 
 
 def snapshot_inventory(spark: SparkSession, base: str) -> DataFrame:
-    """One row per published snapshot: (snapshot_key, published_at, rows)."""
-    stamps = spark.read.option("basePath", base).parquet(base)
+    """One row per published snapshot: (snapshot_key, published_at, rows); none where nothing was published."""
+    try:
+        stamps = spark.read.option("basePath", base).parquet(base)
+    except AnalysisException as missing:  # nothing was ever published
+        if missing.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            raise
+        return spark.createDataFrame([], "snapshot_key string, rows long, published_at timestamp_ntz")
     return (
         stamps.groupBy(F.col("snapshot_ts").cast("string").alias("snapshot_key"))
         .agg(F.count("*").alias("rows"))

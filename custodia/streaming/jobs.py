@@ -13,14 +13,13 @@ from custodia.operators.scd2 import Scd2
 from custodia.sources.versions import VersionedTable
 
 
-def event_stream(spark: SparkSession, folder: str, schema, files: str = "*.parquet", max_files: int = 1000) -> DataFrame:
-    """File-source stream of parquet events."""
-    return (
-        spark.readStream.schema(schema)
-        .option("pathGlobFilter", files)
-        .option("maxFilesPerTrigger", max_files)
-        .parquet(folder)
-    )
+def event_stream(spark: SparkSession, path: str, schema, max_files: int = 1000) -> DataFrame:
+    """File-source stream of a parquet table: a folder of part files, or one file.
+
+    The path goes in as a glob that matches nothing else, which the source takes for a file as well.
+    """
+    path = path.rstrip("/")
+    return spark.readStream.schema(schema).option("maxFilesPerTrigger", max_files).parquet(f"{path[:-1]}[{path[-1]}]")
 
 
 def series_stream(

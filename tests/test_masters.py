@@ -188,3 +188,16 @@ def test_duplicate_members_of_a_hot_group(spark):
     df = spark.range(3000).select("id", F.when(F.col("id") < 1000, "hot").otherwise(F.col("id").cast("string")).alias("n"))
     found = matching.duplicate_members(df, "id", [F.col("n")])
     assert found.agg(F.count("*"), F.min("group_size"), F.max("first_id")).first()[:] == (1000, 1000, 0)
+
+
+def test_twins_are_flagged_not_rejected(spark, rows):
+    ref = spark.createDataFrame([(56, "Corona"), (57, "Corona"), (1, "a")], "id int, zone string")
+    got = spark.createDataFrame([(56, "Corona"), (57, "Corona"), (9, "Corona"), (9, "Corona"), (2, "new")], "id int, zone string")
+    assert rows(survivorship.rejected_records(got, "id", ref, ["zone"])) == [(9, "Corona", "key_conflict")] * 2
+    assert rows(survivorship.steward_flags(ref, "id", ["zone"])) == [(56, "Corona", 2), (57, "Corona", 2)]
+
+
+def test_a_new_key_given_twice_is_one_row(spark, rows):
+    old = spark.createDataFrame([(1, "a")], "id int, v string")
+    new = spark.createDataFrame([(2, "x"), (2, "y"), (1, "z"), (3, None)], "id int, v string")
+    assert rows(upsert.insert_if_absent(old, new, ["id"])) == [(1, "a"), (2, "y"), (3, None)]

@@ -264,3 +264,39 @@ def test_governed_run(spark, tmp_path):
     with pytest.raises(ZeroDivisionError):
         governed(spark, broken, lambda: 1 / 0, 1.0, "id > 0")
     assert run_log_state(spark, broken).first()["status"] == "FAILED"
+
+
+def test_extended_keys_keep_old_members(spark):
+    path_old = keys.surrogate_keys(spark.range(3000).toDF("nk"), ["nk"], "sk", buckets=16)
+    new = keys.extend_keys(spark.range(500, 4000).toDF("nk"), ["nk"], "sk", path_old)
+    top = path_old.agg(F.max("sk")).first()[0]
+    assert new.join(path_old, ["nk", "sk"]).count() == 2500
+    assert new.filter("nk >= 3000").agg(F.min("sk") > top, F.count_distinct("sk")).first()[:] == (True, 1000)
+
+
+@pytest.mark.parametrize("minutes", [7, 11, 1440, 2000])
+def test_alarm_windows_of_any_period(spark, minutes):
+    start = "TIMESTAMP_NTZ'2024-03-01 00:05:00'"
+    series = spark.range(40).selectExpr("'m' AS metric", f"{start} + make_dt_interval(0, 0, CAST(id AS INT) * {minutes}, 0) AS period_start", "10 AS total")
+    out = observability.alarm_states(series, Alarm("a", "total", ">=", 5, 1, period_seconds=60 * minutes))
+    assert out.agg(F.count("*"), F.sum("seen"), F.count_if(F.col("state") == "ALARM")).first()[:] == (40, 40, 40)
+
+
+def test_a_raising_gate_ends_the_run_as_failed(spark, tmp_path):
+    log = str(tmp_path / "log")
+    with pytest.raises(ZeroDivisionError):
+        latest = spark.createDataFrame([("k", 1.0)], "latest_key string, age_hours double").selectExpr("*", "TIMESTAMP_NTZ'2024-03-01 00:00:00' AS last_modified")
+        clock = iter(f"2024-03-01 00:00:{k:02d}" for k in range(20))
+        governed_run(spark, "r", log, latest, lambda: spark.range(1), lambda df: 1 / 0, lambda: next(clock))
+    state = run_log_state(spark, log).first()
+    assert (state["status"], state["dq"], state["transform_run"]) == ("FAILED", "FAILED", "SUCCEEDED")
+
+
+def test_strict_bounds_and_no_snapshot(spark, tmp_path):
+    suite = '{"expectations": [{"expectation_type": "expect_column_values_to_be_between", "kwargs": {"column": "v", "min_value": 0, "max_value": 5, "strict_min": true}}]}'
+    rule = quality.rules_from_expectations(suite)[0]
+    assert spark.createDataFrame([(0,), (1,), (5,), (6,), (None,)], "v int").filter(rule.violation()).count() == 2
+    from custodia.sources import latest_snapshot, snapshot_inventory
+
+    row = latest_snapshot(snapshot_inventory(spark, str(tmp_path / "none")), "2024-03-01 00:00:00").first()
+    assert row["latest_key"] is None and row["age_hours"] is None
