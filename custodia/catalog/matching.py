@@ -181,10 +181,14 @@ def fuzzy_duplicates(spark, sf):
 SELECT left_id AS left_vendor_id, right_id AS right_vendor_id, ROUND(0.55 * jw + 0.45 * ratio, 6) AS confidence,
        CASE WHEN 0.55 * jw + 0.45 * ratio >= 0.95 THEN 'AUTO_MERGE' ELSE 'STEWARD_REVIEW' END AS recommendation,
        'OPEN' AS status, ROUND(ratio, 6) AS lev_ratio, ROUND(jw, 6) AS jaro_winkler
-FROM rated WHERE 0.55 * jw + 0.45 * ratio >= 0.80""")),
+FROM rated WHERE 0.55 * jw + 0.45 * ratio >= 0.80
+UNION ALL
+SELECT first_id, p_partkey, 1.0, 'AUTO_MERGE', 'OPEN', 1.0, 1.0
+FROM (SELECT p_partkey, MIN(p_partkey) OVER (PARTITION BY p_name) AS first_id FROM part) WHERE p_partkey <> first_id""")),
 )
 def dedup_candidates(spark, sf):
-    pairs = matching.similar_pairs(part_names(spark, sf), "blended", 0.80)
+    """Every part with an equal or a similar name."""
+    pairs = matching.scored_pairs(table(spark, sf, "part"), "p_partkey", normalize_party("p_name"), 0.80)
     queue = matching.review_candidates(pairs, 0.95, 0.80, "vendor_id", ts(AS_OF), "data_engineer")
     signal = F.from_json("rationale", "lev_ratio double, jaro_winkler double")
     return queue.select(

@@ -328,8 +328,22 @@ def review_candidates(
     )
 
 
-def same_name_pairs(df: DataFrame, id_col: str, name: Column) -> DataFrame:
+def same_name_pairs(df: DataFrame, id_col: str, name: Column, block: Sequence[str] = ()) -> DataFrame:
     """(first_id, other_id) for rows that share a normalized name: n - 1 rows per group, all naming its smallest id."""
-    keyed = df.select(F.col(id_col).alias("other_id"), name.alias("name")).filter(F.col("name") != "")
-    first = keyed.groupBy("name").agg(F.min("other_id").alias("first_id"), F.count("*").alias("n")).filter("n > 1")
-    return keyed.join(first, "name").filter("other_id <> first_id").select("first_id", "other_id", "name")
+    keyed = df.select(*block, F.col(id_col).alias("other_id"), name.alias("name")).filter(F.col("name") != "")
+    first = keyed.groupBy(*block, "name").agg(F.min("other_id").alias("first_id"), F.count("*").alias("n")).filter("n > 1")
+    return keyed.join(first, [*block, "name"]).filter("other_id <> first_id").select("first_id", "other_id", "name")
+
+
+def scored_pairs(df: DataFrame, id_col: str, name: Column, review: float, block: Sequence[str] = ()) -> DataFrame:
+    """All that a queue needs to merge duplicates of every row: equal names with score 1, and similar names.
+
+    Rows of an equal name are each paired with the smallest id of that name, which
+    also stands for them in the pairs of similar names.
+    """
+    equal = same_name_pairs(df, id_col, name, block).select(
+        F.col("first_id").alias("left_id"), F.col("other_id").alias("right_id"), F.col("name").alias("left_name"),
+        F.col("name").alias("right_name"), F.lit(1.0).alias("score"),
+    )
+    similar = similar_pairs(distinct_names(df, id_col, name, block), "blended", review, block)
+    return similar.select(*equal.columns).unionByName(equal)

@@ -160,10 +160,9 @@ def vendor_dedup_job(
     master: DataFrame, lifecycle: DataFrame, id_col: str, name: str, as_of: str, out: str,
     auto: float = 0.95, review: float = 0.80, block: Sequence[str] = (),
 ) -> dict[str, DataFrame]:
-    """Score pairs, store the queue, merge the automatic ones; the queue is written once and read back."""
+    """Score pairs, equal names among them, store the queue, merge the automatic ones; the queue is written once and read back."""
     spark = master.sparkSession
-    names = matching.distinct_names(master, id_col, normalize_party(name), block)
-    pairs = matching.similar_pairs(names, "blended", review, block)
+    pairs = matching.scored_pairs(master, id_col, normalize_party(name), review, block)
     queue = matching.review_candidates(pairs, auto, review, id_col, ts(as_of), "data_engineer").withColumns(
         {
             "reviewed_at": F.lit(None).cast("timestamp_ntz"),

@@ -124,9 +124,25 @@ def test_vendor_dedup_job(spark, tmp_path, rows):
     life = master.select("vendor_id", F.lit("ACTIVE").alias("lifecycle_state"), F.lit(None).cast("string").alias("state_reason"),
                          "updated_at", "updated_by", "approved_at", "approved_by")
     out = vendor_dedup_job(master, life, "vendor_id", "vendor_name", "2024-03-01 00:00:00", str(tmp_path))
-    # equal normalized names count as one name; 1 and 7 are similar
-    assert rows(out["queue"], "left_vendor_id", "right_vendor_id", "status", "recommendation") == [(1, 7, "MERGED", "AUTO_MERGE")]
-    assert ("Creative Mobile Technologies, LLC", 2) in rows(out["master"].filter("vendor_id = 1"), "vendor_name", "version")
-    assert rows(out["lifecycle"].filter("lifecycle_state = 'DEPRECATED'"), "vendor_id") == [(7,)]
+    # 1 and 2, 3 and 4 have equal normalized names; 1 and 7 are similar
+    merged = [(a, b, "MERGED", "AUTO_MERGE") for a, b in ((1, 2), (1, 7), (3, 4))]
+    assert rows(out["queue"], "left_vendor_id", "right_vendor_id", "status", "recommendation") == merged
+    assert ("Creative Mobile Technologies, LLC", 3) in rows(out["master"].filter("vendor_id = 1"), "vendor_name", "version")
+    assert rows(out["lifecycle"].filter("lifecycle_state = 'DEPRECATED'"), "vendor_id") == [(2,), (4,), (7,)]
     pairs = matching.same_name_pairs(master, "vendor_id", normalize_party("vendor_name"))
-    assert (3, 4) in rows(pairs, "first_id", "other_id") or rows(pairs, "first_id", "other_id") == [(1, 2)]
+    assert rows(pairs, "first_id", "other_id") == [(1, 2), (3, 4)]
+
+
+def test_equal_names_are_queued_and_merged(spark, tmp_path, rows):
+    names = [(3, "VeriFone Inc"), (4, "Verifone Inc."), (5, "VeriFone Incs"), (9, "Other"), (10, ""), (11, "")]
+    master = spark.createDataFrame([(k, n, 1, None, None, None, None) for k, n in names], MASTER)
+    life = master.selectExpr("vendor_id", "'ACTIVE' AS lifecycle_state", "CAST(NULL AS STRING) AS state_reason", "updated_at", "updated_by", "approved_at", "approved_by")
+    out = vendor_dedup_job(master, life, "vendor_id", "vendor_name", "2024-03-01 00:00:00", str(tmp_path))
+    queued = {(r["left_vendor_id"], r["right_vendor_id"]): r for r in spark.read.parquet(f"{tmp_path}/queue").collect()}
+    assert set(queued) == {(3, 4), (3, 5)}
+    assert (queued[3, 4]["confidence"], queued[3, 4]["recommendation"]) == (1.0, "AUTO_MERGE")
+    states = dict(rows(out["lifecycle"], "vendor_id", "lifecycle_state"))
+    assert states[4] == "DEPRECATED" and states[3] == states[9] == "ACTIVE"
+
+
+MASTER = "vendor_id int, vendor_name string, version int, updated_at timestamp_ntz, updated_by string, approved_at timestamp_ntz, approved_by string"
