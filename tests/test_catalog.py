@@ -11,6 +11,8 @@ sys.path[:0] = [str(ROOT), str(ROOT / "tools")]
 import __spark_entry__ as contract  # noqa: E402
 import compare  # noqa: E402
 
+from custodia.catalog import ENTRIES  # noqa: E402
+
 SF = "/root/testdata/sf0.001"
 
 
@@ -19,10 +21,12 @@ def con():
     return compare.connect(SF)
 
 
-@pytest.mark.parametrize("name", sorted(contract.queries()))
+@pytest.mark.parametrize("name", sorted(ENTRIES))
 def test_query_equals_sql(spark, con, name):
-    verdict, _ = compare.compare(spark, con, SF, name, contract.queries()[name], contract.oracle_sql().get(name))
-    assert verdict.startswith(("ok", "rows-only", "EMPTY")), verdict
+    """Equal rows; some queries are empty at this scale, and one without SQL can only be run."""
+    sql = contract.oracle_sql().get(name)
+    verdict, _ = compare.compare(spark, con, SF, name, contract.queries()[name], sql)
+    assert verdict.startswith(("ok", "EMPTY") if sql else "rows-only"), verdict
 
 
 def test_flagship(spark):
