@@ -22,7 +22,10 @@ _MIX2 = np.uint64(0x94D049BB133111EB)
 
 
 def slices(batches: Iterator[pa.RecordBatch], column: int, limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
-    """Cut batches so that ``column`` holds about ``limit`` bytes at most; a longer text comes alone, whole."""
+    """Cut batches so that ``column`` holds about ``limit`` bytes at most; a longer text comes alone, whole.
+
+    When a task has had its last slice, its memory is given back.
+    """
     for batch in batches:
         if not batch.num_rows:
             continue
@@ -33,6 +36,7 @@ def slices(batches: Iterator[pa.RecordBatch], column: int, limit: int = SLICE_BY
             stop = max(start + 1, int(np.searchsorted(ends, base + limit, side="right")))
             yield batch.slice(start, stop - start)
             start = stop
+    release()
 
 
 def offsets(column: pa.Array) -> np.ndarray:
