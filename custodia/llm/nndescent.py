@@ -8,10 +8,13 @@ neighbours and reverse neighbours of every node meet in groups of at most about
 best, until few lists change. Neighbours of cosine below ``FLOOR`` are not kept.
 
 Edges at the threshold make components. A list that is full of links is saturated:
-lists are enlarged to whole components, whose pairs are all compared, block by
-block, so counts are exact there. An audit compares ``AUDIT`` random nodes with all
-nodes of their label; while it finds less than ``LEAST_RECALL`` of the links, more
-hyperplanes and rounds follow.
+further links of its node may be missing. Saturated nodes of a component are cut into
+pieces of near nodes, and two pieces of different components of a label are compared
+with each other unless the angles of their centres and the reach around them rule a
+link out: this is exact, and components with a link between them are merged. Then
+all pairs of a component are compared, block by block, so counts are exact there. An
+audit compares ``AUDIT`` random nodes with all nodes of their label; while it finds
+less than ``LEAST_RECALL`` of the links, more hyperplanes and rounds follow.
 
 Cosines are of double precision. A vector that is null, empty, zero or has null or
 non-finite components, and one without label, links with nothing. Repeated ids and
@@ -128,39 +131,43 @@ def lists(edges: DataFrame) -> DataFrame:
     return edges.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= LIST_LENGTH).drop("rank")
 
 
-def cells(nodes: DataFrame, folder: str, turn: int) -> DataFrame:
-    """Nearest neighbours inside cells of random hyperplanes, from several tables of hyperplanes."""
-    sizes = nodes.groupBy("space").agg(F.count("*").alias("n"))
-    bits = F.least(F.lit(CODE_BITS), F.greatest(F.lit(0), F.ceil(F.log2(F.col("n") / CELL)))).cast("int")
+def cut(nodes: DataFrame, by: list[str], size: int, tables: int, turn: int) -> DataFrame:
+    """``by``, turn, cell, part, node, unit: the nodes of each group in cells of random hyperplanes, of at most about 2 * ``size``."""
+    sizes = nodes.groupBy(*by).agg(F.count("*").alias("n"))
+    bits = F.least(F.lit(CODE_BITS), F.greatest(F.lit(0), F.ceil(F.log2(F.col("n") / size)))).cast("int")
+    given = nodes.select("node", "unit", *by)
 
     def code(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         planes: dict[int, np.ndarray] = {}
         for part in batches:
-            units = part.column(2).to_pylist()
+            units = part.column(1).to_pylist()
             sizes = np.array([len(u) for u in units])
             for size in np.unique(sizes):
                 some = np.flatnonzero(sizes == size)
                 d = int(size) // 8
                 if d not in planes:
-                    planes[d] = np.random.default_rng([turn, d]).standard_normal((d, TABLES * CODE_BITS))
+                    planes[d] = np.random.default_rng([turn, d]).standard_normal((d, tables * CODE_BITS))
                 x = np.frombuffer(b"".join(units[k] for k in some), np.float64).reshape(len(some), d)
-                sign = (x @ planes[d] > 0).reshape(len(some), TABLES, CODE_BITS)
+                sign = (x @ planes[d] > 0).reshape(len(some), tables, CODE_BITS)
                 value = (sign << np.arange(CODE_BITS - 1, -1, -1)).sum(axis=2)
                 take = pa.array(some)
-                for t in range(TABLES):
+                for t in range(tables):
                     yield pa.RecordBatch.from_arrays(
-                        [*(part.column(k).take(take) for k in range(3)), pa.array(np.full(len(some), t)), pa.array(value[:, t])],
-                        ["node", "space", "unit", "turn", "code"],
+                        [*(part.column(k).take(take) for k in range(2 + len(by))), pa.array(np.full(len(some), t)), pa.array(value[:, t])],
+                        ["node", "unit", *by, "turn", "code"],
                     )
 
-    coded = nodes.select("node", "space", "unit").mapInArrow(code, "node long, space string, unit binary, turn long, code long")
-    coded = coded.join(sizes.select(F.col("space").alias("of"), bits.alias("bits")), F.col("space") == F.col("of")).drop("of")
+    kinds = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in given.schema.fields)
+    coded = given.mapInArrow(code, f"{kinds}, turn long, code long").join(sizes.select(*by, bits.alias("bits")), by)
     coded = coded.withColumn("cell", F.floor(F.col("code") / F.pow(F.lit(2.0), CODE_BITS - F.col("bits"))).cast("long"))
-    full = coded.groupBy("space", "turn", "cell").agg(F.ceil(F.count("*") / (2 * CELL)).alias("parts"))
-    full = full.select(F.col("space").alias("s"), F.col("turn").alias("t"), F.col("cell").alias("c"), "parts")
-    coded = coded.join(full, (F.col("space") == F.col("s")) & (F.col("turn") == F.col("t")) & (F.col("cell") == F.col("c")))
-    coded = coded.withColumn("part", F.pmod(F.xxhash64("node", "turn"), F.col("parts")))
-    return grouped(coded.select("space", "turn", "cell", "part", "node", "unit"), ["space", "turn", "cell", "part"], best, EDGES)
+    full = coded.groupBy(*by, "turn", "cell").agg(F.ceil(F.count("*") / (2 * size)).alias("parts"))
+    coded = coded.join(full, [*by, "turn", "cell"]).withColumn("part", F.pmod(F.xxhash64("node", "turn"), F.col("parts")))
+    return coded.select(*by, "turn", "cell", "part", "node", "unit")
+
+
+def cells(nodes: DataFrame, folder: str, turn: int) -> DataFrame:
+    """Nearest neighbours inside cells of random hyperplanes, from several tables of hyperplanes."""
+    return grouped(cut(nodes, ["space"], CELL, TABLES, turn), ["space", "turn", "cell", "part"], best, EDGES)
 
 
 def descend(graph: DataFrame, nodes: DataFrame, folder: str, tag: str) -> DataFrame:
@@ -212,6 +219,56 @@ def audit(nodes: DataFrame, roots: DataFrame) -> float:
     return good / links if links else 1.0
 
 
+def across(nodes: DataFrame, graph: DataFrame, roots: DataFrame, folder: str) -> DataFrame:
+    """Edges that connect all components with a link between saturated nodes of theirs; lists that are full hold no such link."""
+    full = graph.where(F.col("cosine") >= THRESHOLD).groupBy(F.col("a").alias("node")).agg(F.count("*").alias("n")).where(F.col("n") >= LIST_LENGTH)
+    own = nodes.select("node", "space", "unit").join(full.select("node"), "node", "left_semi").join(roots, "node")
+    own = cut(own, ["space", "root"], BLOCK // 2, 1, 0).withColumn("piece", F.xxhash64("space", "root", "cell", "part"))
+    own = stored(own.select("space", "root", "piece", "node", "unit"), f"{folder}-pieces")
+
+    def middle(table: pa.Table) -> Iterator[pa.RecordBatch]:
+        x = matrix(table)
+        centre = x.sum(axis=0)
+        size = np.sqrt((centre * centre).sum())
+        centre = centre / size if size > 1e-9 else x[0]
+        reach = np.arccos(np.clip((x @ centre).min(), -1.0, 1.0))
+        yield pa.RecordBatch.from_arrays(
+            [*(table.column(c).combine_chunks().slice(0, 1) for c in ("space", "root", "piece")), pa.array([centre.tobytes()], pa.binary()), pa.array([reach])],
+            ["space", "root", "piece", "centre", "reach"],
+        )
+
+    balls = stored(grouped(own, ["piece"], middle, "space string, root long, piece long, centre binary, reach double"), f"{folder}-balls")
+    sizes = balls.groupBy("space").agg(F.ceil(F.count("*") / BLOCK).alias("blocks"))
+    rows = balls.join(sizes, "space").withColumn("block", F.pmod(F.xxhash64("piece"), F.col("blocks")))
+    others = F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)
+    rows = rows.select("space", "root", "piece", "centre", "reach", "block", F.explode(others).alias("other"))
+    rows = rows.select("space", F.least("block", "other").alias("x"), F.greatest("block", "other").alias("y"), "root", "piece", "centre", "reach", "block")
+
+    def meet(table: pa.Table) -> Iterator[pa.RecordBatch]:
+        x, y = table.column("x")[0].as_py(), table.column("y")[0].as_py()
+        block, root, piece, reach = (table.column(c).to_numpy() for c in ("block", "root", "piece", "reach"))
+        centre = matrix(table, "centre")
+        left, right = np.flatnonzero(block == x), np.flatnonzero(block == y)
+        angle = np.arccos(np.clip(centre[left] @ centre[right].T, -1.0, 1.0))
+        may = (angle <= reach[left][:, None] + reach[right][None] + np.arccos(THRESHOLD) + 1e-6) & (root[left][:, None] != root[right][None])
+        i, j = np.nonzero(np.triu(may) if x == y else may)
+        yield pa.RecordBatch.from_arrays([pa.array(piece[left[i]]), pa.array(piece[right[j]])], ["p", "q"])
+
+    pairs = stored(grouped(rows, ["space", "x", "y"], meet, "p long, q long"), f"{folder}-pairs")
+    sides = pairs.select("p", "q", F.explode(F.array("p", "q")).alias("piece"))
+    met = sides.join(own.select("piece", "node", "unit"), "piece")
+
+    def compare(table: pa.Table) -> Iterator[pa.RecordBatch]:
+        node, first = table.column("node").to_numpy(), table.column("piece").to_numpy() == table.column("p").to_numpy()
+        unit = matrix(table)
+        cosine = unit[first] @ unit[~first].T
+        i, j = np.unravel_index(cosine.argmax(), cosine.shape)
+        if cosine[i, j] >= THRESHOLD:
+            yield pa.RecordBatch.from_arrays([pa.array(node[first][[i]]), pa.array(node[~first][[j]])], ["a", "b"])
+
+    return stored(grouped(met, ["p", "q"], compare, "a long, b long"), f"{folder}-edges")
+
+
 def count_links(nodes: DataFrame, roots: DataFrame) -> DataFrame:
     """node and links (by weight) of all nodes in components, every pair of a component compared in blocks."""
     sizes = roots.groupBy(F.col("root").alias("r")).agg(F.ceil(F.count("*") / BLOCK).alias("blocks"))
@@ -250,7 +307,11 @@ def link(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embeddin
         new = cells(nodes, folder, turn)
         graph = stored(lists(new if graph is None else graph.unionAll(new)), f"{folder}/cells-{turn}")
         graph = descend(graph, nodes, folder, str(turn))
-        roots = stored(components(graph.where(F.col("cosine") >= THRESHOLD).select("a", "b"), f"{folder}/components-{turn}"), f"{folder}/roots-{turn}")
+        edges = graph.where(F.col("cosine") >= THRESHOLD).select("a", "b")
+        roots = stored(components(edges, f"{folder}/components-{turn}"), f"{folder}/roots-{turn}")
+        more = across(nodes, graph, roots, f"{folder}/across-{turn}")
+        if not more.isEmpty():
+            roots = stored(components(edges.unionAll(more), f"{folder}/merged-{turn}"), f"{folder}/merged-roots-{turn}")
         if audit(nodes, roots) >= LEAST_RECALL:
             break
     links = stored(count_links(nodes, roots), f"{folder}/links")

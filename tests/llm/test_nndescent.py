@@ -60,6 +60,25 @@ def test_equals_all_pairs(spark, monkeypatch):
     assert sum(g == w for g, w in zip(got, want, strict=True)) / len(want) >= 0.99
 
 
+def turned(rng, angle, n, size=16):
+    """``n`` distinct vectors close to one at ``angle`` degrees from the first axis."""
+    centre = np.zeros(size)
+    centre[:2] = np.cos(np.radians(angle)), np.sin(np.radians(angle))
+    return [(centre + 0.008 * rng.standard_normal(size)).tolist() for _ in range(n)]
+
+
+def test_links_between_groups_larger_than_lists(spark, monkeypatch):
+    rng = np.random.default_rng(3)
+    # groups in a row, each with links to the next only; one apart; a label of its own
+    vectors = [(v, 1) for angle, n in ((0, 30), (20, 40), (40, 25), (90, 30), (160, 20), (180, 20)) for v in turned(rng, angle, n)]
+    vectors += [(v, 2) for v in turned(rng, 20, 30)]
+    rows = [(k, v, label) for k, (v, label) in enumerate(vectors)]
+    want = plain(rows)
+    assert len({w[2] for w in want}) == 4
+    monkeypatch.setattr(nndescent, "BLOCK", 16)
+    assert linked(spark, rows) == want
+
+
 def test_odd_tables(spark):
     assert linked(spark, []) == []
     rows = [(1, None, 1), (2, [0.0, 0.0], 1), (3, [1.0, 0.0], None)]
