@@ -5,7 +5,7 @@ label to cells of about ``CELL`` (large cells are split at random), and a task
 compares all of a cell: the first neighbour lists. Then rounds of NN-descent: the
 neighbours and reverse neighbours of every node meet in groups of at most about
 ``CELL`` and are compared with each other, and every node keeps its ``LIST_LENGTH``
-best, until few lists change. Neighbours of cosine below ``FLOOR`` are not kept.
+best, however far, until few lists change.
 
 Edges at the threshold make components. A list that is full of links is saturated:
 further links of its node may be missing. Saturated nodes of a component are cut into
@@ -13,8 +13,11 @@ pieces of near nodes, and two pieces of different components of a label are comp
 with each other unless the angles of their centres and the reach around them rule a
 link out: this is exact, and components with a link between them are merged. Then
 all pairs of a component are compared, block by block, so counts are exact there. An
-audit compares ``AUDIT`` random nodes with all nodes of their label; while it finds
-less than ``LEAST_RECALL`` of the links, more hyperplanes and rounds follow.
+audit compares ``AUDIT`` random nodes with all nodes of their label, and more of them
+(up to ``AUDIT_MOST``) until ``AUDIT_LINKED`` with few links are among them. Each node
+counts alike, those with few links and with many apart; while either kind finds less
+than ``LEAST_RECALL`` of its links, more hyperplanes and rounds follow, and after
+``TURNS`` of them the run fails with the recall reached.
 
 Cosines are of double precision. A vector that is null, empty, zero or has null or
 non-finite components, and one without label, links with nothing. Repeated ids and
@@ -28,6 +31,7 @@ import hashlib
 from collections.abc import Callable, Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -37,14 +41,14 @@ from custodia.llm.components import components, stored
 from custodia.session import work_dir
 
 THRESHOLD = 0.93
-FLOOR = 0.6
 LIST_LENGTH = 12
 CELL = 128
 TABLES = 3
 ROUNDS = 4
 STILL = 0.005
 BLOCK = 512
-AUDIT, LEAST_RECALL = 256, 0.97
+AUDIT, AUDIT_MOST, AUDIT_LINKED, LEAST_RECALL = 256, 8192, 64, 0.97
+TURNS = 12
 CODE_BITS = 24
 
 
@@ -116,9 +120,7 @@ def best(table: pa.Table) -> Iterator[pa.RecordBatch]:
     near = np.argpartition(-cosine, k - 1, axis=1)[:, :k]
     a = np.repeat(np.arange(len(node)), k)
     value = cosine[a, near.ravel()]
-    keep = value >= FLOOR
-    if keep.any():
-        yield pa.RecordBatch.from_arrays([pa.array(node[a[keep]]), pa.array(node[near.ravel()[keep]]), pa.array(value[keep])], ["a", "b", "cosine"])
+    yield pa.RecordBatch.from_arrays([pa.array(node[a]), pa.array(node[near.ravel()]), pa.array(value)], ["a", "b", "cosine"])
 
 
 EDGES = "a long, b long, cosine double"
@@ -195,13 +197,27 @@ def descend(graph: DataFrame, nodes: DataFrame, folder: str, tag: str) -> DataFr
 
 
 def audit(nodes: DataFrame, roots: DataFrame) -> float:
-    """The share of a sample's links whose ends are in one component, against all nodes."""
-    sample = nodes.orderBy(F.xxhash64("node")).limit(AUDIT).join(roots, "node", "left").select("node", "space", "unit", F.coalesce("root", "node").alias("root")).toPandas()
+    """The share of its links whose ends are in one component, as a mean over sampled nodes: the lower of nodes with few links and with many."""
+    every = nodes.join(roots, "node", "left").select("node", "space", "unit", F.coalesce("root", "node").alias("root"))
+    size, total = AUDIT, nodes.count()
+    while True:
+        found = _sampled_links(every, size)
+        few = found[found["links"] <= LIST_LENGTH]
+        if len(few) >= AUDIT_LINKED or size >= min(total, AUDIT_MOST):
+            break
+        size = min(size * 8, AUDIT_MOST)
+    many = found[found["links"] > LIST_LENGTH]
+    return min([float((kind["good"] / kind["links"]).mean()) for kind in (few, many) if len(kind)], default=1.0)
+
+
+def _sampled_links(every: DataFrame, size: int) -> pd.DataFrame:
+    """node, links, and good ones inside its component, of the nodes with links among ``size`` random ones."""
+    sample = every.orderBy(F.xxhash64("node")).limit(size).toPandas()
     held = {s: (p["node"].to_numpy(), p["root"].to_numpy(), np.stack([np.frombuffer(bytes(u)) for u in p["unit"]])) for s, p in sample.groupby("space")}
-    shared = nodes.sparkSession.sparkContext.broadcast(held)
+    shared = every.sparkSession.sparkContext.broadcast(held)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        links = good = 0
+        sums = {s: np.zeros((2, len(own)), np.int64) for s, (own, _, _) in shared.value.items()}
         for part in batches:
             spaces = np.array(part.column(1).to_pylist(), object)
             node, root = part.column(0).to_numpy(), part.column(3).to_numpy()
@@ -209,14 +225,17 @@ def audit(nodes: DataFrame, roots: DataFrame) -> float:
                 some = np.flatnonzero(spaces == space)
                 if len(some):
                     y = matrix(pa.Table.from_batches([part]).take(some))
-                    near = (x @ y.T >= THRESHOLD) & (own[:, None] != node[some][None])
-                    links += int(near.sum())
-                    good += int((near & (own_root[:, None] == root[some][None])).sum())
-        yield pa.RecordBatch.from_pydict({"links": [links], "good": [good]})
+                    for k in range(0, len(own), BLOCK):
+                        at = slice(k, k + BLOCK)
+                        near = (x[at] @ y.T >= THRESHOLD) & (own[at, None] != node[some][None])
+                        sums[space][0, at] += near.sum(axis=1)
+                        sums[space][1, at] += (near & (own_root[at, None] == root[some][None])).sum(axis=1)
+        for space, (links, good) in sums.items():
+            met = links > 0
+            yield pa.RecordBatch.from_arrays([pa.array(shared.value[space][0][met]), pa.array(links[met]), pa.array(good[met])], ["node", "links", "good"])
 
-    every = nodes.join(roots, "node", "left").select("node", "space", "unit", F.coalesce("root", "node").alias("root"))
-    links, good = every.mapInArrow(run, "links long, good long").agg(F.sum("links"), F.sum("good")).first()
-    return good / links if links else 1.0
+    found = every.mapInArrow(run, "node long, links long, good long")
+    return found.groupBy("node").agg(F.sum("links").alias("links"), F.sum("good").alias("good")).toPandas()
 
 
 def across(nodes: DataFrame, graph: DataFrame, roots: DataFrame, folder: str) -> DataFrame:
@@ -303,7 +322,7 @@ def link(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embeddin
     nodes = every.where("node IS NOT NULL").groupBy("node").agg(F.first("space").alias("space"), F.first("unit").alias("unit"), F.count("*").alias("weight"))
     nodes = stored(nodes, f"{folder}/nodes")
     graph = None
-    for turn in range(4):
+    for turn in range(TURNS):
         new = cells(nodes, folder, turn)
         graph = stored(lists(new if graph is None else graph.unionAll(new)), f"{folder}/cells-{turn}")
         graph = descend(graph, nodes, folder, str(turn))
@@ -312,8 +331,11 @@ def link(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embeddin
         more = across(nodes, graph, roots, f"{folder}/across-{turn}")
         if not more.isEmpty():
             roots = stored(components(edges.unionAll(more), f"{folder}/merged-{turn}"), f"{folder}/merged-roots-{turn}")
-        if audit(nodes, roots) >= LEAST_RECALL:
+        recall = audit(nodes, roots)
+        if recall >= LEAST_RECALL:
             break
+    else:
+        raise RuntimeError(f"links found after {TURNS} turns: recall {recall:.4f}, less than {LEAST_RECALL}")
     links = stored(count_links(nodes, roots), f"{folder}/links")
     placed = nodes.join(roots, "node", "left").join(links, "node", "left").select("node", "weight", F.coalesce("root", "node").alias("root"), F.coalesce("links", F.lit(0)).alias("links"))
     placed = stored(placed, f"{folder}/placed")

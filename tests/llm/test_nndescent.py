@@ -1,6 +1,7 @@
 """Links and components against all cosines of a label."""
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from custodia.llm import catalog, nndescent
 
@@ -95,6 +96,26 @@ def test_audit_counts_lost_links(spark):
     assert nndescent.audit(nodes, nodes.selectExpr("node", "1L AS root")) == 1.0
 
 
+def test_audit_counts_lost_pairs_beside_a_large_group(spark):
+    rng = np.random.default_rng(5)
+    vectors = turned(rng, 0, 300) + [v for c in rng.standard_normal((100, 16)) for v in ((10 * c).tolist(), (10 * c + 0.1).tolist())]
+    rows = [(k, v, "1") for k, v in enumerate(vectors)]
+    nodes = nndescent.nodes_of(spark.createDataFrame(rows, "vec_id long, vector array<double>, label string").select("vec_id", "label", "vector"))
+    assert nndescent.audit(nodes, nodes.where("vec_id < 300").selectExpr("node", "1L AS root")) < 0.1
+
+
+def test_failed_audit_is_not_accepted(spark, monkeypatch):
+    monkeypatch.setattr(nndescent, "audit", lambda nodes, roots: 0.5)
+    monkeypatch.setattr(nndescent, "TURNS", 1, raising=False)
+    with pytest.raises(RuntimeError, match="0.5"):
+        linked(spark, [(1, [1.0, 0.1], 4), (2, [1.0, 0.2], 4)])
+
+
+def test_far_neighbours_stay_in_lists():
+    table = pa.table({"node": pa.array([1, 2], pa.int64()), "unit": [np.array([1.0, 0.0]).tobytes(), np.array([0.0, 1.0]).tobytes()]})
+    assert [b.num_rows for b in nndescent.best(table)] == [2]
+
+
 def test_query(spark):
     sf = "/root/testdata/sf0.01"
     rows = [tuple(r) for r in spark.read.parquet(f"{sf}/embeddings.parquet").select("vec_id", "embedding", "label").collect()]
