@@ -36,9 +36,10 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from custodia.llm import kernels as K
-from custodia.llm.common import binary, pick
+from custodia.llm.common import annotate, binary, pick
 from custodia.llm.components import components, stored
 from custodia.session import work_dir
 
@@ -202,21 +203,33 @@ def representatives(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """The rows of one document of each group: that with the smallest id; equal rows of one id once.
 
     Rows with a null id or without shingles stay. Only rows that may go are
-    shuffled.
+    shuffled. Of an id that stands on several texts only the rows of those go that
+    have a smaller id.
     """
-    joined = stored(join(docs, id_col, text_col), f"{work_dir(docs.sparkSession, 'groups')}/components")
-    gone = joined.where("doc_id <> component_id").select("doc_id")
+    joined = stored(_joined(docs, id_col, text_col), f"{work_dir(docs.sparkSession, 'groups')}/components")
+    gone = joined.where("doc_id <> component_id").select("doc_id", F.col("name").alias("gone_name")).distinct()
     again = joined.groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1 AND doc_id IS NOT NULL").select("doc_id")
     odd = f"_{len(docs.columns)}"
     flat = docs.toDF(*[f"_{k}" for k in range(len(docs.columns))])
     own = F.col(f"_{docs.columns.index(id_col)}")
     text = F.col(f"_{docs.columns.index(text_col)}")
-    flat = flat.withColumn(odd, own.isNotNull() & maybe_among(gone.unionAll(again), own))
-    checked = flat.where(F.col(odd)).join(gone.distinct(), own == F.col("doc_id"), "left_anti")
+    flat = flat.withColumn(odd, own.isNotNull() & maybe_among(gone.select("doc_id").unionAll(again), own))
+    checked = flat.where(F.col(odd)).join(again.select(F.col("doc_id").alias("again")), own == F.col("again"), "left")
+    checked = annotate(checked.withColumn("named", F.when(F.col("again").isNotNull(), text.cast("string"))), "named", _names, NAME)
+    mine = F.col("again").isNull() | (F.col("name") == F.col("gone_name"))
+    checked = checked.join(gone, (own == F.col("doc_id")) & mine, "left_anti").drop("again", "named", "name")
     checked = checked.withColumn(odd, F.sha2(F.coalesce(text, F.lit("")), 256)).dropDuplicates([f"_{docs.columns.index(id_col)}", odd])
     return flat.where(~F.col(odd)).drop(odd).unionAll(checked.drop(odd)).toDF(*docs.columns)
 
 
+NAME = T.StructType([T.StructField("name", T.LongType())])
+
+
+def _names(batches: Iterator[pa.RecordBatch], place: int) -> Iterator[tuple[pa.RecordBatch, list]]:
+    for part in K.slices(batches, place):
+        yield part, [pa.array(set_names(*sets(part.column(place))))]
+
+
 def texts_of(docs: DataFrame, wanted: DataFrame, one: DataFrame) -> DataFrame:
     """name and text of the wanted sets, from the document that stands for each."""
     ids = one.join(wanted, "name", "left_semi").select("name", F.col("doc_id").alias("of"))
@@ -388,6 +401,11 @@ def _pairs(value: np.ndarray, root: np.ndarray, least: np.ndarray, most: np.ndar
 
 def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per document: doc_id, n_shingles, component_id (smallest id reachable by links)."""
+    return _joined(docs, id_col, text_col).drop("name")
+
+
+def _joined(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """``join`` with the name of each document's set."""
     docs = pick(docs, doc_id=(id_col, "long"), text=(text_col, "string"))
     folder = work_dir(docs.sparkSession, "ngram-join")
     described = stored(describe(docs, frequent(docs)), f"{folder}/sets")
@@ -443,4 +461,4 @@ def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
     by_name = placed.withColumn("group", F.coalesce("root", "name")).join(first, "group").select(F.col("name").alias("of"), "component_id")
     by_name = stored(by_name, f"{folder}/by-name")
     out = described.select("doc_id", "n", "name").join(by_name, (F.col("name") == F.col("of")) & F.col("doc_id").isNotNull() & (F.col("n") > 0), "left")
-    return out.select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"))
+    return out.select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"), "name")

@@ -94,6 +94,14 @@ def test_empty_tables(spark):
     assert joined(spark, [(1, None), (2, ""), (None, "a b c d e f")]) == plain([(1, None), (2, ""), (None, "a b c d e f")])
 
 
+def test_representatives_of_ids_on_several_texts(spark):
+    copy, own = "a b c d e f g", "of its own this one is"
+    rows = [(1, copy), (2, copy), (2, own), (2, own), (3, "A b c d e f g"), (4, None), (None, copy), (5, own), (2, "")]
+    out = ngram_join.representatives(spark.createDataFrame(rows, "doc_id long, text string"))
+    want = [(1, copy), (2, own), (4, None), (None, copy), (2, "")]
+    assert sorted(map(tuple, out.collect()), key=str) == sorted(want, key=str)
+
+
 def test_components(spark):
     rng = random.Random(4)
     edges = [(rng.randrange(300), rng.randrange(300)) for _ in range(170)] + [(k, k + 1) for k in range(1000, 1060)] + [(5, 5)] + [(2000, k) for k in range(2001, 2300)]
