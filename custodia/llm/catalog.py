@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from custodia.llm import article, bpe, imatch, langid, mixing, ngram_join, nndescent, ppm, repair, warc
+from custodia.llm import article, bpe, imatch, langid, mixing, ngram_join, nndescent, ppm, repair, skipchain, warc
 from custodia.llm.common import read
 from custodia.session import work_dir
 
@@ -103,6 +103,22 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.taken(mixing.mix(read(spark, sf_dir, "documents")))
 
 
+def op13_skipchain(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    found = skipchain.label(docs, skipchain.fit(docs))
+
+    def joined(column: str) -> Column:
+        return F.array_join(F.transform(column, lambda x: F.concat_ws(":", x["kind"], x["start"], x["end"])), ",")
+
+    def count(kind: str) -> Column:
+        return F.size(F.filter("base", lambda x: x["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    return found.select(
+        "doc_id", *[count(k) for k in skipchain.KINDS], F.sha2(joined("base"), 256).alias("base_sha256"), joined("spans").alias("spans"),
+        F.size(F.filter("spans", lambda x: x["added"])).cast("long").alias("n_added"),
+    )
+
+
 ENTRIES = {
     "op1_bpe": (op1_bpe, None),
     "op2_langid": (op2_langid, None),
@@ -114,4 +130,5 @@ ENTRIES = {
     "op8_repair": (op8_repair, None),
     "op9_ngram_join": (op9_ngram_join, OP9_SQL),
     "op10_mixing": (op10_mixing, None),
+    "op13_skipchain": (op13_skipchain, None),
 }
