@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from custodia.llm import article, bpe, imatch, langid, mixing, ngram_join, nndescent, ppm, repair, skipchain, warc
+from custodia.llm import article, bpe, imatch, langid, mixing, ngram_join, nndescent, ppm, repair, skipchain, trie, warc
 from custodia.llm.common import read
 from custodia.session import work_dir
 
@@ -103,6 +103,43 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.taken(mixing.mix(read(spark, sf_dir, "documents")))
 
 
+def op12_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = read(spark, sf_dir, "conversations")
+    return trie.conversations(turns, lambda c: c - c % 100, lambda c: F.crc32(c.cast("string")) % 6)
+
+
+OP12_SQL = """
+WITH RECURSIVE bits(conv_id, s, k, c) AS (
+  SELECT DISTINCT conv_id, CAST(conv_id AS VARCHAR), 0, CAST(4294967295 AS BIGINT) FROM conversations WHERE conv_id IS NOT NULL
+  UNION ALL
+  SELECT conv_id, s, k + 1, CASE WHEN t % 2 = 1 THEN xor(t // 2, CAST(3988292384 AS BIGINT)) ELSE t // 2 END
+  FROM (SELECT conv_id, s, k, CASE WHEN k % 8 = 0 THEN xor(c, CAST(ascii(substr(s, k // 8 + 1, 1)) AS BIGINT)) ELSE c END AS t
+        FROM bits WHERE k < 8 * length(s))),
+heads AS (SELECT conv_id, xor(c, CAST(4294967295 AS BIGINT)) % 6 AS h FROM bits WHERE k = 8 * length(s)),
+lists AS (
+  SELECT conv_id, list(struct_pack(r := coalesce(role, ''), t := coalesce(text, '')) ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS turns
+  FROM conversations WHERE conv_id IS NOT NULL GROUP BY conv_id),
+whole AS (
+  SELECT a.conv_id, list_concat(CASE WHEN b.conv_id IS NULL THEN a.turns[1:0] ELSE b.turns[1:h] END, a.turns[h + 1:]) AS turns
+  FROM lists a JOIN heads USING (conv_id) LEFT JOIN lists b ON b.conv_id = a.conv_id - a.conv_id % 100),
+steps AS (SELECT conv_id, turns, unnest(range(0, len(turns) + 1)) AS depth FROM whole),
+nodes AS (
+  SELECT depth, turns[1:depth] AS prefix, min(conv_id) AS conv_id, count(*) AS n_convs,
+    sha256(coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (WHERE depth = len(turns)), '')) AS ends_sha256
+  FROM steps GROUP BY 1, 2),
+children AS (SELECT depth - 1 AS depth, prefix[1:depth - 1] AS prefix, count(*) AS n FROM nodes WHERE depth > 0 GROUP BY 1, 2),
+counted AS (
+  SELECT x.*, coalesce(c.n, 0) AS n_children, CASE WHEN depth = 0 THEN 0 ELSE (n_convs - 1) * length(prefix[depth].t) END AS saved
+  FROM nodes x LEFT JOIN children c USING (depth, prefix)),
+above AS (SELECT unnest(range(0, depth + 1)) AS top, prefix, n_children, saved FROM counted),
+sums AS (
+  SELECT top AS depth, prefix[1:top] AS prefix, count(*) FILTER (WHERE n_children = 0) AS n_leaves, sum(saved) AS saved_tokens FROM above GROUP BY 1, 2)
+SELECT x.conv_id, x.depth, p.conv_id AS parent_conv_id, x.n_convs, x.n_children, n_leaves, CAST(saved_tokens AS BIGINT) AS saved_tokens, x.ends_sha256
+FROM counted x JOIN sums s ON s.depth = x.depth AND s.prefix = x.prefix
+LEFT JOIN nodes p ON p.depth = x.depth - 1 AND p.prefix = x.prefix[1:x.depth - 1]
+"""
+
+
 def op13_skipchain(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
     found = skipchain.label(docs, skipchain.fit(docs))
@@ -130,5 +167,6 @@ ENTRIES = {
     "op8_repair": (op8_repair, None),
     "op9_ngram_join": (op9_ngram_join, OP9_SQL),
     "op10_mixing": (op10_mixing, None),
+    "op12_trie": (op12_trie, OP12_SQL),
     "op13_skipchain": (op13_skipchain, None),
 }
