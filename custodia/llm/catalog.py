@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from custodia.llm import article, bpe, imatch, langid, mixing, ngram_join, nndescent, ppm, repair, skipchain, trie, warc
+from custodia.llm import article, bitslice, bpe, imatch, langid, mixing, ngram_join, nndescent, ppm, repair, skipchain, trie, warc
 from custodia.llm.common import read
 from custodia.session import work_dir
 
@@ -103,6 +103,33 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.taken(mixing.mix(read(spark, sf_dir, "documents")))
 
 
+def op11_bitslice(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bitslice.search(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
+OP11_SQL = r"""
+WITH words AS (
+  SELECT doc_id, unnest(regexp_extract_all(
+    translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+  FROM documents),
+counts AS (SELECT doc_id, term, count(*) AS tf FROM words GROUP BY 1, 2),
+sizes AS (SELECT doc_id, count(*) AS n FROM words GROUP BY 1),
+whole AS (SELECT count(*) AS n_docs, CAST(sum(n) AS BIGINT) AS n_words FROM sizes),
+wanted AS (
+  SELECT DISTINCT item_id, unnest(regexp_extract_all(
+    translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+  FROM benchmark),
+weights AS (
+  SELECT term, CAST(floor(1000.0 * ln(CAST(2 * any_value(n_docs) + 2 AS DOUBLE) / CAST(2 * count(*) + 1 AS DOUBLE))) AS BIGINT) AS w
+  FROM counts, whole WHERE term IN (SELECT term FROM wanted) GROUP BY term),
+scores AS (
+  SELECT item_id, doc_id, CAST(sum(w * ((1000000000 * tf) // (1000 * tf + 20 * (50 + (50 * n * n_docs) // n_words)))) AS BIGINT) AS score
+  FROM wanted JOIN weights USING (term) JOIN counts USING (term) JOIN sizes USING (doc_id), whole GROUP BY 1, 2),
+ranked AS (SELECT *, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id NULLS FIRST) AS INTEGER) AS rank FROM scores WHERE score > 0)
+SELECT item_id, rank, doc_id, score FROM ranked WHERE rank <= 50
+"""
+
+
 def op12_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     turns = read(spark, sf_dir, "conversations")
     return trie.conversations(turns, lambda c: c - c % 100, lambda c: F.crc32(c.cast("string")) % 6)
@@ -167,6 +194,7 @@ ENTRIES = {
     "op8_repair": (op8_repair, None),
     "op9_ngram_join": (op9_ngram_join, OP9_SQL),
     "op10_mixing": (op10_mixing, None),
+    "op11_bitslice": (op11_bitslice, OP11_SQL),
     "op12_trie": (op12_trie, OP12_SQL),
     "op13_skipchain": (op13_skipchain, None),
 }
