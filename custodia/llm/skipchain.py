@@ -14,8 +14,8 @@ definition, so it cuts the chain and needs no message.
   the occurrence before and behind it, so k copies have k - 1 edges.
 
 All potentials are learned together by pseudo-likelihood from the base spans of a
-bounded sample of whole documents (``SAMPLE_DOCUMENTS``, those with the least
-hashes among the documents with a token); an example counts once a document, so
+bounded sample of whole documents (about ``SAMPLE_DOCUMENTS`` of the documents with
+a token, chosen by the hash of the text); an example counts once a document, so
 that no long table outweighs the rest. Loopy belief propagation runs over all
 tokens of a document. Tokens that are not OTHER with ``least`` probability and
 have the form of their kind become added spans; base spans always stay.
@@ -347,9 +347,11 @@ def _with_token(df: DataFrame, column: str) -> DataFrame:
 
 
 def fit(docs: DataFrame, text: str = "text", sample: int = SAMPLE_DOCUMENTS) -> Field:
-    """The field learned from the base spans of at most ``sample`` whole documents; without any token it adds nothing."""
-    some = _with_token(pick(docs, text=(text, "string")), "text").distinct()
-    some = some.withColumn("h", F.xxhash64("text")).orderBy("h", "text").limit(sample).select("text")
+    """The field learned from the base spans of about ``sample`` whole documents; without any token it adds nothing."""
+    some = _with_token(pick(docs, text=(text, "string")), "text").withColumn("h", F.xxhash64("text"))
+    # every n-th hash, so no task gathers the sample
+    rows = some.count()
+    some = some.where(F.pmod("h", F.lit(max(1, rows))) < sample).select("text").distinct()
     names = ["form", "label", "before", "behind", *[f"near_{k}" for k in range(LABELS)]]
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
