@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from custodia.catalog.matching import LCS, NAMES, recursive, vendors
+from custodia.catalog.matching import GROUPS, LCS, NAMES, all_active, all_vendors, recursive
 from custodia.catalog.roles import (
     AS_OF, CHANGES, CUSTOMERS, LAYOUT, PASSES, SHOW_VERSIONS, SOME_ZONES, STAGE, TRIPS, VERSIONS, ZONES, number,
     show_versions, some_zones, stage, trips, versions, with_ctes, zones,
@@ -83,25 +83,19 @@ def lookup_gate_query(spark, sf):
     "dedup_merge_job",
     recursive(with_ctes(NAMES, LCS, """m AS (
   SELECT left_id AS s, right_id AS t, ROUND(0.55 * jw + 0.45 * ratio, 9) AS confidence FROM rated
-  WHERE 0.55 * jw + 0.45 * ratio >= 0.86),
-best AS (SELECT s, COUNT(*) AS merges, MAX(length(name)) AS longest FROM m JOIN names ON t = id GROUP BY 1)""", body="""
-SELECT id AS vendor_id, greatest(length(name), COALESCE(longest, 0)) AS name_length, 1 + COALESCE(merges, 0) AS version,
-       CASE WHEN id IN (SELECT t FROM m) THEN 'DEPRECATED' ELSE 'ACTIVE' END AS lifecycle_state
-FROM names LEFT JOIN best ON id = s""")),
+  WHERE 0.55 * jw + 0.45 * ratio >= 0.86)""", GROUPS, body="""
+SELECT vendor_id, CASE WHEN g.root IS NULL OR length(vendor_name) >= length(partner) THEN vendor_name ELSE partner END AS vendor_name,
+       1 + COALESCE(merges, 0) AS version,
+       CASE WHEN vendor_id IN (SELECT vendor_id FROM grouped WHERE vendor_id <> root) THEN 'DEPRECATED' ELSE 'ACTIVE' END AS lifecycle_state
+FROM spelled LEFT JOIN gains g ON vendor_id = g.root""")),
 )
 def dedup_merge_job(spark, sf):
-    """Score, queue, merge; the merged masters with their lifecycle state."""
-    master = vendors(spark, sf)
-    states = master.select(
-        "vendor_id", F.lit("ACTIVE").alias("lifecycle_state"), F.lit(None).cast("string").alias("state_reason"),
-        "updated_at", "updated_by", "approved_at", "approved_by",
-    )
+    """Score, queue, merge all parts as vendors; the merged masters with their lifecycle state."""
     out = vendor_dedup_job(
-        master, states, "vendor_id", "vendor_name", AS_OF, work_dir(spark, "dedup"), auto=0.86, review=0.80
+        all_vendors(spark, sf), all_active(spark, sf), "vendor_id", "vendor_name", AS_OF, work_dir(spark, "dedup"), auto=0.86, review=0.80
     )
     return out["master"].join(out["lifecycle"].select("vendor_id", "lifecycle_state"), "vendor_id").select(
-        "vendor_id", F.length("vendor_name").alias("name_length"), F.col("version").cast("long").alias("version"),
-        "lifecycle_state",
+        "vendor_id", "vendor_name", F.col("version").cast("long").alias("version"), "lifecycle_state",
     )
 
 

@@ -11,7 +11,7 @@ from custodia.functions import code_label, normalize_party, normalize_place, sco
 from custodia.operators import lifecycle as states
 from custodia.operators import matching, merging, metrics, survivorship, upsert
 from custodia.operators.survivorship import FieldRule
-from custodia.session import ts
+from custodia.session import ts, work_dir
 
 ENTRIES = {}
 
@@ -287,67 +287,127 @@ def steward_decisions(spark, sf):
 
 MERGES = """
 m AS (SELECT review_id, confidence, left_vendor_id AS s, right_vendor_id AS t FROM queue
-      WHERE status = 'OPEN' AND recommendation = 'AUTO_MERGE' AND confidence >= 0.7),
-best AS (
-  SELECT s, COUNT(*) AS merges, arg_max(name, (length(name), confidence, -t)) AS partner
-  FROM m JOIN names ON t = id GROUP BY 1)
+      WHERE status = 'OPEN' AND recommendation = 'AUTO_MERGE' AND confidence >= 0.7)
 """
 
+# Every part is a vendor; spellings of a name differ in case and punctuation.
+SPELLED = "CASE p_partkey % 3 WHEN 1 THEN upper(p_name) || '.' WHEN 2 THEN p_name || '..' ELSE p_name END"
+GROUPS = f"""
+spelled AS (SELECT p_partkey AS vendor_id, p_name AS name, {SPELLED} AS vendor_name, MIN(p_partkey) OVER (PARTITION BY p_name) AS first_id FROM part),
+pairs_of AS (SELECT s, t, confidence FROM m UNION ALL SELECT first_id, vendor_id, 1.0 FROM spelled WHERE vendor_id <> first_id),
+links AS (SELECT s AS a, t AS b FROM m UNION ALL SELECT t, s FROM m),
+reached(id, other) AS (SELECT id, id FROM names UNION SELECT r.id, l.b FROM reached r JOIN links l ON l.a = r.other),
+roots AS (SELECT id, MIN(other) AS root FROM reached GROUP BY 1),
+marks AS (SELECT v, MAX(confidence) AS best, MIN(confidence) AS worst FROM (
+  SELECT s AS v, confidence FROM pairs_of UNION ALL SELECT t, confidence FROM pairs_of) GROUP BY 1),
+grouped AS (SELECT vendor_id, vendor_name, root, best, worst FROM spelled JOIN roots ON first_id = id LEFT JOIN marks ON v = vendor_id),
+gains AS (
+  SELECT root, COUNT(*) AS merges, arg_max(vendor_name, (length(vendor_name), best, -vendor_id)) AS partner
+  FROM grouped WHERE vendor_id <> root GROUP BY 1)
+"""
+GROUPED = recursive(with_ctes(NAMES, QUEUE, MERGES, GROUPS, body="{body}"))
+
+
+def all_vendors(spark, sf):
+    """Every part as a vendor, spelled in three ways."""
+    spelled = F.expr("CASE p_partkey % 3 WHEN 1 THEN concat(upper(p_name), '.') WHEN 2 THEN concat(p_name, '..') ELSE p_name END")
+    return table(spark, sf, "part").select(
+        F.col("p_partkey").alias("vendor_id"), spelled.alias("vendor_name"), F.lit(1).alias("version"),
+        ts("2024-01-01 00:00:00").alias("updated_at"), F.lit("loader").alias("updated_by"),
+        F.lit(None).cast("timestamp_ntz").alias("approved_at"), F.lit(None).cast("string").alias("approved_by"),
+    )
+
+
+def whole_queue(spark, sf):
+    """The queue of similar names with the pairs of equal names, written once."""
+    similar = queue(spark, sf)
+    equal = matching.same_name_pairs(all_vendors(spark, sf), "vendor_id", normalize_party("vendor_name"))
+    known = {
+        "review_id": F.col("first_id") * 1000000000 + F.col("other_id"), "left_vendor_id": F.col("first_id"), "right_vendor_id": F.col("other_id"),
+        "confidence": F.lit(1.0), "recommendation": F.lit("AUTO_MERGE"), "status": F.lit("OPEN"), "created_at": ts("2024-02-27 00:00:00"),
+    }
+    both = similar.unionByName(equal.select(*[known.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in similar.schema]))
+    path = work_dir(spark, "queue")
+    both.write.parquet(path)
+    return spark.read.parquet(path)
+
+
+def pairwise(spark, sf):
+    return merging.AutoMerge(queue(spark, sf), AS_OF, 0.7, closure=False)
+
 
 def merge(spark, sf):
-    return merging.AutoMerge(queue(spark, sf), AS_OF, 0.7)
+    return merging.AutoMerge(whole_queue(spark, sf), AS_OF, 0.7)
 
 
 @entry(
     "auto_merge",
-    with_ctes(NAMES, QUEUE, MERGES, body="""
-SELECT id AS vendor_id,
-       CASE WHEN s IS NULL OR length(name) >= length(partner) THEN name ELSE partner END AS vendor_name,
+    GROUPED.format(body="""
+SELECT vendor_id,
+       CASE WHEN g.root IS NULL OR length(vendor_name) >= length(partner) THEN vendor_name ELSE partner END AS vendor_name,
        1 + COALESCE(merges, 0) AS version,
-       CASE WHEN s IS NULL THEN 'loader' ELSE 'auto_merge' END AS updated_by,
-       CASE WHEN s IS NOT NULL THEN 'auto_merge_bot' END AS approved_by
-FROM names LEFT JOIN best ON id = s"""),
+       CASE WHEN g.root IS NULL THEN 'loader' ELSE 'auto_merge' END AS updated_by,
+       CASE WHEN g.root IS NOT NULL THEN 'auto_merge_bot' END AS approved_by
+FROM spelled LEFT JOIN gains g ON vendor_id = g.root"""),
 )
 def auto_merge(spark, sf):
-    out = merge(spark, sf).master(vendors(spark, sf), "vendor_name")
+    out = merge(spark, sf).master(all_vendors(spark, sf), "vendor_name")
     return out.select("vendor_id", "vendor_name", F.col("version").cast("long").alias("version"), "updated_by", "approved_by")
 
 
+def all_active(spark, sf):
+    return all_vendors(spark, sf).select(
+        "vendor_id", F.lit("ACTIVE").alias("lifecycle_state"), F.lit(None).cast("string").alias("state_reason"),
+        "updated_at", "updated_by", "approved_at", "approved_by",
+    )
+
+
 @entry(
     "auto_merge_lifecycle",
-    with_ctes(NAMES, QUEUE, MERGES, body="""
-, d AS (SELECT t, arg_max(s, (-confidence, review_id)) AS survivor FROM m GROUP BY 1)
-SELECT id AS vendor_id, CASE WHEN t IS NULL THEN 'ACTIVE' ELSE 'DEPRECATED' END AS lifecycle_state,
-       CASE WHEN t IS NOT NULL THEN CAST(survivor AS VARCHAR) END AS merged_into
-FROM names LEFT JOIN d ON id = t"""),
+    GROUPED.format(body="""
+SELECT vendor_id, CASE WHEN vendor_id = root THEN 'ACTIVE' ELSE 'DEPRECATED' END AS lifecycle_state,
+       CASE WHEN vendor_id <> root THEN CAST(root AS VARCHAR) END AS merged_into,
+       CASE WHEN vendor_id <> root THEN ROUND(worst, 4) END AS confidence
+FROM grouped"""),
 )
 def auto_merge_lifecycle(spark, sf):
-    active = vendors(spark, sf).select(
-        "vendor_id", F.lit("ACTIVE").alias("lifecycle_state"), F.lit(None).cast("string").alias("state_reason"),
-        "updated_at", "updated_by", "approved_at", "approved_by",
+    out = merge(spark, sf).lifecycle(all_active(spark, sf))
+    why = F.col("state_reason").isNotNull()
+    return out.select(
+        "vendor_id", "lifecycle_state", F.when(why, F.regexp_extract("state_reason", r"vendor_id=(\d+)", 1)).alias("merged_into"),
+        F.when(why, F.regexp_extract("state_reason", r"conf=([0-9.]+)", 1).try_cast("double")).alias("confidence"),
     )
-    out = merge(spark, sf).lifecycle(active)
-    into = F.regexp_extract("state_reason", r"vendor_id=(\d+)", 1)
-    return out.select("vendor_id", "lifecycle_state", F.when(F.col("state_reason").isNotNull(), into).alias("merged_into"))
 
 
 @entry(
     "auto_merge_queue",
-    with_ctes(NAMES, QUEUE, body="""
+    GROUPED.format(body="""
+, closed AS (
+  SELECT review_id, status, left_vendor_id AS l, right_vendor_id AS r, status = 'OPEN' AND recommendation = 'AUTO_MERGE' AND confidence >= 0.7 AS hit FROM queue
+  UNION ALL SELECT first_id * 1000000000 + vendor_id, 'OPEN', first_id, vendor_id, TRUE FROM spelled WHERE vendor_id <> first_id)
 SELECT review_id, CASE WHEN hit THEN 'MERGED' ELSE status END AS status,
-       CASE WHEN hit THEN 'Survivor=' || left_vendor_id || ', Deprecated=' || right_vendor_id END AS decision_notes
-FROM (SELECT *, status = 'OPEN' AND recommendation = 'AUTO_MERGE' AND confidence >= 0.7 AS hit FROM queue)"""),
+       CASE WHEN hit THEN 'Survivor=' || root || ', Deprecated=' || CASE WHEN root = l THEN '' ELSE l || ', ' END || r END AS decision_notes
+FROM closed JOIN grouped ON vendor_id = l"""),
 )
 def auto_merge_queue(spark, sf):
     return merge(spark, sf).merged_queue().select("review_id", "status", "decision_notes")
 
 
+@entry(
+    "merge_groups",
+    GROUPED.format(body="SELECT vendor_id AS node, root, best, worst FROM grouped WHERE best IS NOT NULL"),
+)
+def merge_groups(spark, sf):
+    """The survivor of every vendor that any merge touches."""
+    return merge(spark, sf).groups().select("node", "root", "best", "worst")
+
+
 @entry(
     "chained_merges",
     with_ctes(NAMES, QUEUE, MERGES, body="SELECT DISTINCT s AS vendor_id FROM m WHERE s IN (SELECT t FROM m)"),
 )
 def chained_merges(spark, sf):
-    return merge(spark, sf).chained()
+    return pairwise(spark, sf).chained()
 
 
 @entry(
@@ -358,7 +418,7 @@ SELECT review_id, a.name AS survivor_name, b.name AS retired_name,
 FROM m JOIN names a ON s = a.id JOIN names b ON t = b.id"""),
 )
 def survivor_names(spark, sf):
-    named = merge(spark, sf).named_pairs(vendors(spark, sf), F.col("vendor_name"))
+    named = pairwise(spark, sf).named_pairs(vendors(spark, sf), F.col("vendor_name"))
     return named.select("review_id", "survivor_name", "retired_name", "new_name")
 
 

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from custodia.session import clock
+from custodia.operators.components import connected
+from custodia.session import clock, work_dir
 
 
 def open_items(queue: DataFrame) -> DataFrame:
@@ -49,16 +50,24 @@ def escalations(queue: DataFrame, as_of: str, hours: int = 48) -> DataFrame:
 class AutoMerge:
     """Merges of OPEN, AUTO_MERGE pairs at or above the threshold.
 
-    The smaller id survives. Its name becomes the longest of its own and its
-    partners' names (ties: its own, then higher confidence, then smaller id), and its
-    version rises by the number of merges. Equal to merging one pair after the
-    other when no id is both survivor and retired; ``chained`` lists those.
+    Pairs that share ids form a group, also over several pairs and over pairs that
+    an earlier run has MERGED. Its smallest id survives and every other id is retired
+    into it, so a retired id always names a survivor that is not retired itself. The
+    survivor's name becomes the longest of its own and the newly retired names
+    (ties: its own, then higher confidence, then smaller id), and its version rises
+    by the number of newly retired ids. Groups that earlier runs had merged apart are
+    retired into the survivor of both.
+
+    The queue is read several times, so it should be a stored table.
+
+    Without ``closure`` the pairs are merged one by one, as if no id were in two
+    groups: an id can then survive one pair and be retired by another (``chained``).
     """
 
     def __init__(self, queue: DataFrame, as_of: str, threshold: float = 0.95, approver: str = "auto_merge_bot",
-                 left: str = "left_vendor_id", right: str = "right_vendor_id", id_name: str = "vendor_id"):
+                 left: str = "left_vendor_id", right: str = "right_vendor_id", id_name: str = "vendor_id", closure: bool = True):
         self.queue, self.as_of, self.approver = queue, as_of, approver
-        self.id_name = id_name
+        self.id_name, self.closure = id_name, closure
         self.eligible = (
             (F.col("status") == "OPEN")
             & (F.col("recommendation") == "AUTO_MERGE")
@@ -69,6 +78,45 @@ class AutoMerge:
         self.pairs = queue.filter(self.eligible).select(
             "review_id", "confidence", self.survivor.alias("survivor"), self.retired.alias("retired")
         )
+        self._groups: DataFrame | None = None
+
+    def groups(self) -> DataFrame:
+        """``node``, its ``root``, the root it had before these merges (``former``) and the extreme confidences of its pairs.
+
+        One row for every id of an eligible pair or of an earlier merge; written once.
+        """
+        if self._groups is None:
+            spark = self.queue.sparkSession
+            folder = work_dir(spark, "groups")
+            merged = self.queue.filter("status = 'MERGED'").select(self.survivor.alias("survivor"), self.retired.alias("retired"))
+            earlier = merged.select(F.col("survivor").alias("node"), F.col("retired").alias("root")).limit(0)
+            if not merged.isEmpty():
+                earlier = connected(merged, "survivor", "retired", f"{folder}/earlier")
+            ends = self.pairs.select(F.col("survivor").alias("node"), "confidence").unionAll(self.pairs.select(F.col("retired").alias("node"), "confidence"))
+            seen = ends.groupBy("node").agg(F.max("confidence").alias("best"), F.min("confidence").alias("worst"))
+            nodes = seen.join(earlier, "node", "full").withColumn("former", F.coalesce("root", "node")).drop("root")
+            nodes.write.parquet(f"{folder}/nodes")
+            nodes = spark.read.parquet(f"{folder}/nodes")
+            ends = self.pairs.select("survivor", "retired")
+            for side in ("survivor", "retired"):
+                known = nodes.select(F.col("node").alias(side), F.col("former").alias("_former"))
+                ends = ends.join(known, side).drop(side).withColumnRenamed("_former", side)
+            now = connected(ends, "survivor", "retired", f"{folder}/now").withColumnRenamed("node", "former")
+            self._groups = nodes.join(now, "former", "left").select("node", F.coalesce("root", "former").alias("root"), "former", "best", "worst")
+            self._groups.write.parquet(f"{folder}/groups")
+            self._groups = spark.read.parquet(f"{folder}/groups")
+        return self._groups
+
+    def _retirements(self) -> DataFrame:
+        """One row per retired id: ``survivor``, ``retired``, best and worst confidence, whether it is ``fresh``."""
+        if not self.closure:
+            each = self.pairs.select("survivor", "retired", F.col("confidence").alias("best"), F.col("confidence").alias("worst"), "review_id")
+            return each.withColumn("fresh", F.lit(True))
+        moved = self.groups().filter("root <> former")
+        return moved.select(
+            F.col("root").alias("survivor"), F.col("node").alias("retired"), "best", "worst", F.lit(0).cast("long").alias("review_id"),
+            (F.col("node") == F.col("former")).alias("fresh"),
+        )
 
     def named_pairs(self, master: DataFrame, name: str) -> DataFrame:
         """Pairs with both names and the name to keep."""
@@ -80,11 +128,12 @@ class AutoMerge:
         return self.pairs.join(s, "survivor").join(r, "retired").withColumn("new_name", keep)
 
     def master(self, master: DataFrame, name: str) -> DataFrame:
-        partner = F.struct(
-            F.length("retired_name"), F.col("confidence"), -F.col("retired")
-        )
+        partner = F.struct(F.length("retired_name"), F.coalesce("best", F.lit(0.0)), -F.col("retired"))
+        names = master.select(F.col(self.id_name).alias("retired"), F.coalesce(name, F.lit("")).alias("retired_name"))
         best = (
-            self.named_pairs(master, name)
+            self._retirements()
+            .filter("fresh")
+            .join(names, "retired")
             .groupBy(F.col("survivor").alias("_sid"))
             .agg(F.max_by("retired_name", partner).alias("_partner"), F.count("*").alias("_merges"))
         )
@@ -107,16 +156,11 @@ class AutoMerge:
         )
 
     def lifecycle(self, lifecycle: DataFrame) -> DataFrame:
-        """Retired ids become DEPRECATED, with the last merge (lowest confidence) as reason."""
-        last = F.struct(-F.col("confidence"), F.col("review_id"))
-        text = F.concat(
-            F.lit(f"Auto-merged into {self.id_name}="),
-            F.col("survivor").cast("string"),
-            F.lit(" (conf="),
-            F.round("confidence", 4).cast("string"),
-            F.lit(")"),
-        )
-        retired = self.pairs.groupBy(F.col("retired").alias("_rid")).agg(F.max_by(text, last).alias("_why"))
+        """Retired ids become DEPRECATED; the reason names the survivor and the lowest confidence of their merges."""
+        last = F.struct(-F.col("worst"), F.col("review_id"))
+        conf = F.when(F.col("worst").isNotNull(), F.concat(F.lit(" (conf="), F.round("worst", 4).cast("string"), F.lit(")"))).otherwise("")
+        text = F.concat(F.lit(f"Auto-merged into {self.id_name}="), F.col("survivor").cast("string"), conf)
+        retired = self._retirements().groupBy(F.col("retired").alias("_rid")).agg(F.max_by(text, last).alias("_why"))
         joined = lifecycle.join(retired, F.col(self.id_name) == F.col("_rid"), "full")
         hit = F.col("_rid").isNotNull()
         new = {
@@ -131,18 +175,25 @@ class AutoMerge:
         return joined.select(*[new.get(c, F.col(c)).alias(c) for c in lifecycle.columns])
 
     def merged_queue(self) -> DataFrame:
-        notes = F.concat(
-            F.lit("Survivor="), self.survivor.cast("string"), F.lit(", Deprecated="), self.retired.cast("string")
+        """The queue with merged pairs closed; notes name the survivor of the group and the ids of the pair it replaces."""
+        queue = self.queue.withColumn("_hit", F.coalesce(self.eligible, F.lit(False)))
+        root = self.survivor
+        if self.closure:
+            known = self.groups().select(F.col("node").alias("_node"), F.col("root").alias("_root"))
+            queue = queue.join(known, F.col("_hit") & (self.survivor == F.col("_node")), "left")
+            root = F.col("_root")
+        gone = F.when(root == self.survivor, self.retired.cast("string")).otherwise(
+            F.concat_ws(", ", self.survivor.cast("string"), F.when(root != self.retired, self.retired.cast("string")))
         )
-        hit = F.coalesce(self.eligible, F.lit(False))
-        return self.queue.withColumn("_hit", hit).withColumns(
+        notes = F.concat(F.lit("Survivor="), root.cast("string"), F.lit(", Deprecated="), gone)
+        return queue.withColumns(
             {
                 "status": F.when(F.col("_hit"), F.lit("MERGED")).otherwise(F.col("status")),
                 "reviewed_at": F.when(F.col("_hit"), clock(self.as_of)).otherwise(F.col("reviewed_at")),
                 "reviewed_by": F.when(F.col("_hit"), F.lit(self.approver)).otherwise(F.col("reviewed_by")),
                 "decision_notes": F.when(F.col("_hit"), notes).otherwise(F.col("decision_notes")),
             }
-        ).drop("_hit")
+        ).select(*self.queue.columns)
 
     def chained(self) -> DataFrame:
         """Ids that survive one pair and are retired by another."""
