@@ -285,6 +285,24 @@ def steward_decisions(spark, sf):
     return out.select("review_id", "status", "reviewed_by", text("reviewed_at").alias("reviewed_at"))
 
 
+@entry(
+    "steward_decisions_fold",
+    with_ctes(NAMES, QUEUE, body="""
+SELECT review_id, CASE WHEN status = 'OPEN' THEN CASE WHEN left_vendor_id % 2 = 0 THEN 'APPROVED' ELSE 'REJECTED' END ELSE status END AS status,
+       CASE WHEN status = 'OPEN' THEN 'first' END AS reviewed_by FROM queue"""),
+)
+def steward_decisions_fold(spark, sf):
+    """Three decisions for each review: the first one closes it, its row stays one."""
+    q = queue(spark, sf)
+    turn = F.explode(F.array(*[F.lit(k) for k in (2, 1, 3)])).alias("turn")
+    first = F.when(F.col("left_vendor_id") % 2 == 0, "APPROVED").otherwise("REJECTED")
+    decisions = q.select("review_id", "left_vendor_id", turn).select(
+        "review_id", F.when(F.col("turn") == 1, first).otherwise("ESCALATED").alias("decision"),
+        F.when(F.col("turn") == 1, "first").otherwise("later").alias("reviewer"), F.lit("batch review").alias("notes"), "turn",
+    )
+    return merging.decide(q, decisions, AS_OF, order=["turn"]).select("review_id", "status", "reviewed_by")
+
+
 MERGES = """
 m AS (SELECT review_id, confidence, left_vendor_id AS s, right_vendor_id AS t FROM queue
       WHERE status = 'OPEN' AND recommendation = 'AUTO_MERGE' AND confidence >= 0.7)

@@ -10,7 +10,7 @@ from custodia.catalog.roles import (
 )
 from custodia.functions import duration_minutes
 from custodia.operators import enrich, metrics, quality, star
-from custodia.operators.keys import extend_keys, surrogate_keys
+from custodia.operators.keys import KeyRegistry, extend_keys, surrogate_keys
 from custodia.plans.jobs import TripLayout, curated, star_job
 from custodia.session import clock, work_dir
 
@@ -437,6 +437,35 @@ def surrogate_keys_extended(spark, sf):
     )
 
 
+@entry(
+    "key_registry",
+    """
+SELECT c_custkey, CASE WHEN c_custkey % 3 <> 0 THEN 1 WHEN c_custkey % 2 = 0 THEN 2 ELSE 3 END AS first_build,
+       CASE WHEN c_custkey % 3 <> 0 AND c_custkey % 2 <> 0 THEN 3 WHEN c_custkey % 3 <> 0 THEN 1 WHEN c_custkey % 2 = 0 THEN 2 ELSE 3 END AS last_build, TRUE AS present,
+       1 AS keys, 1 AS owners, TRUE AS above_earlier FROM customer""",
+)
+def key_registry(spark, sf):
+    """Three builds: two thirds of the customers, the even ones, all. Whether every member kept one key and every key one member."""
+    customers = table(spark, sf, "customer").select("c_custkey")
+    registry = KeyRegistry(spark, work_dir(spark, "registry"), {"c_custkey": "long"}, "customer_sk")
+    given = None
+    for build, chosen in enumerate(("c_custkey % 3 <> 0", "c_custkey % 2 = 0", "true"), 1):
+        path = work_dir(spark, "build")
+        registry.register(customers.filter(chosen), build).withColumn("build", F.lit(build)).write.parquet(path)
+        one = spark.read.parquet(path)
+        given = one if given is None else given.unionByName(one)
+    keys = given.groupBy("c_custkey").agg(F.count_distinct("customer_sk").alias("keys"), F.min("build").alias("since"))
+    owners = given.groupBy("customer_sk").agg(F.count_distinct("c_custkey").alias("owners"))
+    members = registry.members().join(keys, "c_custkey").join(owners, "customer_sk")
+    # keys of later builds lie above all keys of earlier ones: the highest key of each build, three rows
+    highest = members.groupBy((F.col("first_build") + 1).alias("b")).agg(F.max("customer_sk").alias("below"))
+    below = members.join(highest, F.col("first_build") == F.col("b"), "left")
+    return below.select(
+        "c_custkey", "first_build", "last_build", "present", F.col("keys").cast("int").alias("keys"), F.col("owners").cast("int").alias("owners"),
+        (F.col("customer_sk") > F.coalesce("below", F.lit(0))).alias("above_earlier"),
+    )
+
+
 @entry(
     "master_lifecycle_join",
     with_ctes(LIFECYCLE, body="""

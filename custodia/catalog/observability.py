@@ -10,6 +10,7 @@ from custodia.catalog.roles import (
 )
 from custodia.catalog.versions import stored_daily
 from custodia.operators import metrics, observability, quality, star
+from custodia.operators.incremental import DailyState, read_monthly, refresh_monthly, signed, write_monthly
 from custodia.operators.observability import Alarm
 from custodia.plans.jobs import curated, governed_run, metrics_workflow, run_log_state
 from custodia.session import ts, work_dir
@@ -280,6 +281,39 @@ def mv_refresh(spark, sf):
     return result["monthly"].select(text("month").alias("month"), "PU_borough", number("revenue").alias("revenue"))
 
 
+HIT = "pickup_ts >= TIMESTAMP '1997-03-01' AND pickup_ts < TIMESTAMP '1997-05-01'"
+
+
+@entry(
+    "mv_incremental",
+    with_ctes(TRIPS, ZONES, f"""
+kept AS (
+  SELECT pickup_ts, pu_zone_id, total_amount FROM trips WHERE order_id % 5 <> 0 AND NOT ({HIT} AND order_id % 11 IN (1, 2)) AND NOT (pickup_ts >= TIMESTAMP '1998-01-01' AND pickup_ts < TIMESTAMP '1998-02-01')
+  UNION ALL SELECT pickup_ts, pu_zone_id, total_amount FROM trips WHERE order_id % 5 = 0 AND {HIT}
+  UNION ALL SELECT pickup_ts, do_zone_id, 2 * total_amount FROM trips WHERE order_id % 5 <> 0 AND {HIT} AND order_id % 11 = 2)""", body="""
+SELECT strftime(pickup_ts, '%Y-%m') AS month, borough, COUNT(*) AS trips, CAST(SUM(COALESCE(total_amount, 0)) AS DOUBLE) AS revenue
+FROM kept LEFT JOIN zones ON pu_zone_id = location_id GROUP BY 1, 2"""),
+)
+def mv_incremental(spark, sf):
+    """Stored monthly revenue brought up to date by inserts, deletes, updates that move trips, and a month that becomes empty."""
+    path = work_dir(spark, "trips")
+    trips(spark, sf).write.parquet(path)
+    fact = spark.read.parquet(path)
+    lookup = zones(spark, sf)
+    base = work_dir(spark, "state")
+    state = DailyState(spark, f"{base}/daily", "pickup_ts", "pu_zone_id", {"revenue": F.coalesce("total_amount", F.lit(0))})
+    first = fact.where("order_id % 5 <> 0")
+    state.build(first)
+    write_monthly(state.monthly(lookup, "location_id", "borough", "revenue"), f"{base}/monthly")
+    hit = fact.where(HIT.replace("TIMESTAMP '", "TIMESTAMP_NTZ '"))
+    old = hit.where("order_id % 5 <> 0 AND order_id % 11 = 2")
+    moved = old.withColumns({"pu_zone_id": F.col("do_zone_id"), "total_amount": (F.col("total_amount") * 2).cast("decimal(18,4)")})
+    gone = hit.where("order_id % 5 <> 0 AND order_id % 11 = 1").unionByName(first.where("pickup_ts >= TIMESTAMP_NTZ '1998-01-01' AND pickup_ts < TIMESTAMP_NTZ '1998-02-01'"))
+    changes = signed(inserted=hit.where("order_id % 5 = 0").unionByName(moved), deleted=gone.unionByName(old))
+    refresh_monthly(state, changes, lookup, "location_id", "borough", "revenue", f"{base}/monthly")
+    return read_monthly(spark, f"{base}/monthly").select("month", "borough", "trips", number("revenue").alias("revenue"))
+
+
 @entry(
     "governed_run",
     with_ctes(TRIPS, body=f"""

@@ -220,23 +220,19 @@ def scorecard(spark, sf):
     fact = trips(spark, sf)
     ok = (F.coalesce("trip_distance", F.lit(0)) >= 0) & (F.coalesce("total_amount", F.lit(0)) >= 0)
     last = F.timestamp_diff("MICROSECOND", F.max("dropoff_ts"), F.lit("2001-11-05 00:00:00").cast("timestamp_ntz"))
-    # one scan for all measures that need no lookup
-    one = fact.agg(
-        (F.lit(100.0) * F.count("total_amount") / F.count("*")).alias("completeness"),
-        (F.lit(100.0) * F.count_if(ok) / F.count("*")).alias("validity"),
-        (last / F.lit(3.6e9)).alias("lag"),
-    )
-    orphan = quality.quality_report(fact, rules(spark, sf)[3:4]).select(
-        (F.lit(100.0) * F.col("bad_count") / F.col("row_count")).alias("orphan")
-    )
+    # one scan for all measures, the lookup one by its grouping set
+    totals, named = quality.rule_totals(fact, rules(spark, sf)[3:4], {
+        "completeness": F.lit(100.0) * F.count("total_amount") / F.count("*"),
+        "validity": F.lit(100.0) * F.count_if(ok) / F.count("*"),
+        "lag": last / F.lit(3.6e9),
+    })
+    one = totals.withColumn("orphan", F.lit(100.0) * F.col(named[0][1]) / F.col("_n"))
     card = quality.scorecard(
         [
             (one, [
                 ("completeness", "Completeness", ">=", 99.9, "Data Steward (Ops)", "Block promotion to validated; create ticket"),
                 ("validity", "Validity", ">=", 100.0, "Data Owner (Finance)", "Quarantine bad rows; alert owner"),
                 ("lag", "Timeliness", "<=", 24.0, "Data Custodian (DE)", "On-call alert; rerun job"),
-            ]),
-            (orphan, [
                 ("orphan", "Consistency", "<=", 0.1, "Data Steward (Ops)", "Manual review; steward approval required"),
             ]),
         ]

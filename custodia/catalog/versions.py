@@ -14,6 +14,8 @@ from custodia.catalog.roles import (
 )
 from custodia.functions import json_number
 from custodia.operators import metrics, scd2, upsert
+from custodia.operators.intervals import overlap_join
+from custodia.operators.ordered import as_of_join
 from custodia.session import ts, work_dir
 from custodia.sources import VersionedTable, latest_snapshot, publish_snapshot, snapshot_inventory
 
@@ -459,3 +461,199 @@ def freshness(spark, sf):
         row = check(latest, limit).select(F.lit(limit).alias("max_age_hours"), "fresh", "age_hours", "latest_key", "reason")
         out = row if out is None else out.unionByName(row)
     return out
+
+
+# -- several requests for a key ------------------------------------------------------
+
+
+def order_stage(spark, sf):
+    """Every order changes the segment of its customer, in the order of dates and order keys."""
+    orders, customer, nation = (table(spark, sf, t) for t in ("orders", "customer", "nation"))
+    named = customer.join(nation, F.col("c_nationkey") == F.col("n_nationkey"))
+    return orders.join(named, F.col("o_custkey") == F.col("c_custkey")).select(
+        F.col("c_custkey").alias("customer_id"), F.col("c_name").alias("name"),
+        F.when(F.col("o_orderstatus") != "P", F.substring("o_orderpriority", 1, 1)).alias("segment"), F.col("n_name").alias("nation"),
+        F.lit(None).cast("string").alias("change_reason"), F.lit("CRM").alias("change_source"), F.lit("B3").alias("change_batch_id"),
+        (F.col("o_orderdate") + F.make_dt_interval(F.lit(12000))).alias("changed_at"), F.col("o_orderkey").alias("event_id"),
+    )
+
+
+FOLDED = """
+incoming AS (
+  SELECT c_custkey AS customer_id, c_name AS name, CASE WHEN o_orderstatus <> 'P' THEN substr(o_orderpriority, 1, 1) END AS segment, n_name AS nation,
+         o_orderdate + INTERVAL 12000 DAY AS changed_at, o_orderkey AS event_id
+  FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey),
+cur AS (SELECT * FROM versions WHERE is_current),
+lagged AS (
+  SELECT i.*, c.version_number AS base, c.customer_id IS NOT NULL AS known, row_number() OVER w AS place,
+         lag(i.name) OVER w AS p_name, lag(i.segment) OVER w AS p_segment, lag(i.nation) OVER w AS p_nation,
+         c.name AS c_name, c.segment AS c_segment, c.nation AS c_nation
+  FROM incoming i LEFT JOIN cur c USING (customer_id) WINDOW w AS (PARTITION BY i.customer_id ORDER BY changed_at, event_id)),
+kept AS (
+  SELECT *, row_number() OVER v AS n, lead(changed_at) OVER v AS until FROM lagged
+  WHERE CASE WHEN place > 1 THEN name IS DISTINCT FROM p_name OR segment IS DISTINCT FROM p_segment OR nation IS DISTINCT FROM p_nation
+             ELSE NOT known OR name IS DISTINCT FROM c_name OR segment IS DISTINCT FROM c_segment OR nation IS DISTINCT FROM c_nation END
+  WINDOW v AS (PARTITION BY customer_id ORDER BY changed_at, event_id)),
+folded AS (
+  SELECT v.* REPLACE (CASE WHEN v.is_current AND k.customer_id IS NOT NULL THEN k.changed_at ELSE v.effective_to END AS effective_to,
+                      v.is_current AND k.customer_id IS NULL AS is_current)
+  FROM versions v LEFT JOIN (SELECT * FROM kept WHERE n = 1) k ON v.customer_id = k.customer_id
+  UNION ALL
+  SELECT customer_id, name, segment, nation, CAST(COALESCE(base, 0) + n AS INTEGER), changed_at, until, until IS NULL, TIMESTAMP '2024-03-01', 'loader',
+         NULL, NULL, 'PENDING', 'monthly load', 'CRM', 'B3', FALSE, NULL FROM kept)
+"""
+
+
+def folded(spark, sf, layout=CUSTOMERS):
+    return layout.fold(
+        versions(spark, sf), order_stage(spark, sf), ["changed_at", "event_id"], AS_OF, "loader", "monthly load", "CRM", at="changed_at"
+    )
+
+
+@entry("scd2_fold", with_ctes(VERSIONS, FOLDED, body=f"SELECT {SHOW_VERSIONS} FROM folded"))
+def scd2_fold(spark, sf):
+    """Many changes of a customer in one stage: versions n+1 .. n+k, runs of equal states collapsed."""
+    return show_versions(folded(spark, sf))
+
+
+@entry("scd2_hash_fold", with_ctes(VERSIONS, FOLDED, body=f"SELECT {SHOW_VERSIONS} FROM folded"))
+def scd2_hash_fold(spark, sf):
+    return show_versions(folded(spark, sf, replace(CUSTOMERS, by_hash=True)))
+
+
+@entry(
+    "scd2_fold_invariants",
+    with_ctes(VERSIONS, FOLDED, body="""
+SELECT COUNT(*) AS versions, COUNT(DISTINCT customer_id) AS customers, COUNT(*) FILTER (WHERE is_current) AS current_rows, 0 AS keys_with_more FROM folded"""),
+)
+def scd2_fold_invariants(spark, sf):
+    """One current version per key, checked on the folded table."""
+    per_key = folded(spark, sf).groupBy("customer_id").agg(F.count("*").alias("n"), F.count_if("is_current").alias("current"))
+    return per_key.agg(
+        F.sum("n").alias("versions"), F.count("*").alias("customers"), F.sum("current").alias("current_rows"),
+        F.count_if(F.col("current") > 1).cast("int").alias("keys_with_more"),
+    )
+
+
+@entry(
+    "scd2_fold_audit",
+    with_ctes(VERSIONS, FOLDED, body="""
+SELECT CAST(customer_id AS VARCHAR) AS natural_key, 'UPSERT' AS action, 'loader' AS action_by,
+       CASE WHEN COALESCE(base, 0) + n = 1 THEN '{"type":"insert_new_key","version":1,"batch":"B3"}'
+            ELSE '{"type":"attribute_change","from_version":' || (COALESCE(base, 0) + n - 1) || ',"to_version":' || (COALESCE(base, 0) + n) || ',"batch":"B3"}' END AS details
+FROM kept"""),
+)
+def scd2_fold_audit(spark, sf):
+    steps = CUSTOMERS.steps(versions(spark, sf), order_stage(spark, sf), ["changed_at", "event_id"], AS_OF, at="changed_at")
+    return CUSTOMERS.fold_audit(steps, AS_OF, "loader").select("natural_key", "action", "action_by", "details")
+
+
+@entry(
+    "scd2_repeats",
+    with_ctes(VERSIONS, FOLDED, body="""
+SELECT customer_id, COUNT(*) AS rows, 'repeated_key' AS error FROM incoming GROUP BY 1
+HAVING COUNT(DISTINCT COALESCE(segment, '-')) > 1"""),
+)
+def scd2_repeats(spark, sf):
+    """Without an order there is one row per key: keys with different rows are reported."""
+    return CUSTOMERS.stage_errors(order_stage(spark, sf).drop("changed_at", "event_id"))
+
+
+def many_approvals(spark, sf):
+    """Every order approves its customer, by its priority; urgent orders give no reason."""
+    return table(spark, sf, "orders").select(
+        F.col("o_custkey").alias("customer_id"), F.concat(F.lit("owner-"), F.substring("o_orderpriority", 1, 1)).alias("approver"),
+        F.when(~F.col("o_orderpriority").startswith("1"), F.concat(F.lit("order "), F.col("o_orderkey").cast("string"))).alias("reason"), "o_orderdate", "o_orderkey",
+    )
+
+
+@entry(
+    "scd2_approve_fold",
+    with_ctes(VERSIONS, """
+a AS (
+  SELECT o_custkey AS k, arg_max('owner-' || substr(o_orderpriority, 1, 1), (o_orderdate, o_orderkey)) AS who,
+         arg_min('order ' || o_orderkey, (o_orderdate, o_orderkey)) FILTER (WHERE o_orderpriority NOT LIKE '1%') AS why
+  FROM orders GROUP BY 1)""", body=f"""
+SELECT {SHOW_VERSIONS} FROM (
+  SELECT v.* REPLACE (
+    CASE WHEN is_current AND k IS NOT NULL THEN who ELSE approved_by END AS approved_by,
+    CASE WHEN is_current AND k IS NOT NULL THEN TIMESTAMP '2024-03-01' ELSE approved_at END AS approved_at,
+    CASE WHEN is_current AND k IS NOT NULL THEN 'APPROVED' ELSE approval_status END AS approval_status,
+    CASE WHEN is_current AND k IS NOT NULL THEN COALESCE(change_reason, why) ELSE change_reason END AS change_reason)
+  FROM versions v LEFT JOIN a ON customer_id = k)"""),
+)
+def scd2_approve_fold(spark, sf):
+    """Several approvals of a key: the last approver and the first reason count, its row stays one."""
+    return show_versions(CUSTOMERS.approve(versions(spark, sf), many_approvals(spark, sf), AS_OF, order=["o_orderdate", "o_orderkey"]))
+
+
+@entry(
+    "scd2_rollback_fold",
+    with_ctes(VERSIONS, """
+r AS (
+  SELECT o_custkey AS k, o_orderkey AS event_id, CAST(1 + o_orderkey % 3 AS INTEGER) AS target, o_orderdate FROM orders WHERE o_orderstatus = 'P'),
+done AS (
+  SELECT r.*, t.name, t.segment, t.nation, c.version_number AS base, row_number() OVER w AS n, lead(1) OVER w IS NULL AS last
+  FROM r JOIN versions t ON t.customer_id = k AND t.version_number = target JOIN versions c ON c.customer_id = k AND c.is_current
+  WINDOW w AS (PARTITION BY k ORDER BY o_orderdate, event_id))""", body=f"""
+SELECT {SHOW_VERSIONS} FROM (
+  SELECT v.* REPLACE (CASE WHEN v.is_current AND d.k IS NOT NULL THEN TIMESTAMP '2024-03-01' ELSE v.effective_to END AS effective_to,
+                      v.is_current AND d.k IS NULL AS is_current)
+  FROM versions v LEFT JOIN (SELECT k FROM done WHERE n = 1) d ON v.customer_id = d.k
+  UNION ALL
+  SELECT k, name, segment, nation, CAST(base + n AS INTEGER), TIMESTAMP '2024-03-01', CASE WHEN NOT last THEN TIMESTAMP '2024-03-01' END, last,
+         TIMESTAMP '2024-03-01', 'steward', TIMESTAMP '2024-03-01', 'steward', 'APPROVED', 'order', 'ROLLBACK', NULL, TRUE, target FROM done)"""),
+)
+def scd2_rollback_fold(spark, sf):
+    """Several rollbacks of a key, done in turn."""
+    requests = table(spark, sf, "orders").where("o_orderstatus = 'P'").select(
+        F.col("o_custkey").alias("customer_id"), (F.col("o_orderkey") % 3 + 1).cast("int").alias("target_version"),
+        F.lit("steward").alias("actor"), F.lit("order").alias("reason"), "o_orderdate", "o_orderkey",
+    )
+    return show_versions(CUSTOMERS.rollback(versions(spark, sf), requests, AS_OF, order=["o_orderdate", "o_orderkey"]))
+
+
+# -- intervals and times -------------------------------------------------------------
+
+
+@entry(
+    "interval_join",
+    """
+WITH spans AS (SELECT o_orderkey, o_orderdate AS a, CASE WHEN o_orderkey % 50 <> 0 THEN o_orderdate + to_days(CAST(o_orderkey % 40 AS INTEGER)) END AS b FROM orders),
+asked AS (
+  SELECT s_suppkey, TIMESTAMP '1995-01-01' + to_days(CAST(s_suppkey * 23 % 2400 AS INTEGER)) AS a,
+         TIMESTAMP '1995-01-01' + to_days(CAST(s_suppkey * 23 % 2400 + CASE WHEN s_suppkey % 10 = 0 THEN 700 ELSE s_suppkey % 7 END AS INTEGER)) AS b FROM supplier)
+SELECT s_suppkey, COUNT(*) AS orders, CAST(SUM(o_orderkey) AS BIGINT) AS keys FROM asked q JOIN spans o ON o.a <= q.b AND (o.b IS NULL OR o.b >= q.a) GROUP BY 1""",
+)
+def interval_join(spark, sf):
+    """Orders whose span meets a supplier's interval; the tables share no key."""
+    key = F.col("o_orderkey")
+    spans = table(spark, sf, "orders").select(
+        key, F.col("o_orderdate").alias("a"), F.when(key % 50 != 0, F.col("o_orderdate") + F.make_dt_interval((key % 40).cast("int"))).alias("b")
+    )
+    at = (F.col("s_suppkey") * 23 % 2400).cast("int")
+    days = F.when(F.col("s_suppkey") % 10 == 0, 700).otherwise((F.col("s_suppkey") % 7).cast("int"))
+    asked = table(spark, sf, "supplier").select(
+        "s_suppkey", (ts("1995-01-01 00:00:00") + F.make_dt_interval(at)).alias("a"), (ts("1995-01-01 00:00:00") + F.make_dt_interval(at + days)).alias("b")
+    )
+    pairs = overlap_join(spans, asked, ("a", "b"), ("a", "b"), finest=36)
+    return pairs.groupBy(F.col("r.s_suppkey").alias("s_suppkey")).agg(F.count("*").alias("orders"), F.sum("l.o_orderkey").alias("keys"))
+
+
+@entry(
+    "as_of_versions",
+    with_ctes(VERSIONS, FOLDED, """
+facts AS (SELECT o_orderkey, o_custkey, o_orderdate + INTERVAL 12001 DAY AS placed_at FROM orders)""", body="""
+SELECT o_orderkey, CAST(version_number AS VARCHAR) AS version_number, segment
+FROM facts LEFT JOIN folded v ON customer_id = o_custkey AND effective_from <= placed_at AND (effective_to IS NULL OR placed_at < effective_to)"""),
+)
+def as_of_versions(spark, sf):
+    """Every order with the version of its customer that was valid a day after it."""
+    path = work_dir(spark, "dimension")
+    folded(spark, sf).write.parquet(path)
+    dim = spark.read.parquet(path).where("effective_to IS NULL OR effective_from < effective_to")
+    facts = table(spark, sf, "orders").select("o_orderkey", "o_custkey", (F.col("o_orderdate") + F.make_dt_interval(F.lit(12001))).alias("placed_at"))
+    found = as_of_join(
+        facts, dim, ("o_custkey", "customer_id"), ("placed_at", "effective_from"), "effective_to", ["version_number", "segment"], work_dir(spark, "as-of")
+    )
+    return found.select("o_orderkey", text("version_number").alias("version_number"), "segment")

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 
@@ -24,12 +25,62 @@ def surrogate_keys(
     return df.withColumn("_b", bucket).withColumn(name, key).drop("_b")
 
 
-def extend_keys(df: DataFrame, natural_key: Sequence[str], name: str, existing: DataFrame) -> DataFrame:
-    """Rows of ``df`` with the keys that ``existing`` gives their members; only new members get new keys, above all old ones.
+def extend_keys(df: DataFrame, natural_key: Sequence[str], name: str, existing: DataFrame, above: int = 0) -> DataFrame:
+    """Rows of ``df`` with the keys that ``existing`` gives their members; new members get keys above all of these and ``above``.
 
-    A key given once is never given to another member, also when its member is gone.
+    ``existing`` knows the members it holds only: one that has left it can lose its
+    key to a new one. ``KeyRegistry`` remembers every member; ``above`` is its highest key.
     """
     old = existing.select(*natural_key, name)
-    top = old.agg(F.coalesce(F.max(name), F.lit(0)).alias("top")).first()["top"]
+    top = max(old.agg(F.coalesce(F.max(name), F.lit(0)).alias("top")).first()["top"], above)
     fresh = surrogate_keys(df.join(old, list(natural_key), "left_anti"), natural_key, name, start=top)
     return df.join(old, list(natural_key)).unionByName(fresh)
+
+
+class KeyRegistry:
+    """Every key ever given, as an append-only table of (natural key, surrogate key, build, present).
+
+    A build appends a row for each member that is new (with a key above the highest
+    one ever given), gone (a tombstone) or back (with its old key), and nothing for the
+    others. Keys are so never given twice, whoever leaves in between. A build that is
+    repeated after a failure finds its members present and appends what is missing.
+    Members with a NULL in the natural key get no key.
+    """
+
+    def __init__(self, spark: SparkSession, path: str, natural_key: Mapping[str, str], name: str):
+        self.spark, self.path, self.name = spark, path, name
+        self.natural_key = list(natural_key)
+        self.schema = ", ".join([*[f"{c} {t}" for c, t in natural_key.items()], f"{name} long", "build int", "present boolean"])
+
+    def log(self) -> DataFrame:
+        """All rows, from the first build on."""
+        try:
+            return self.spark.read.schema(self.schema).parquet(self.path)
+        except AnalysisException as missing:
+            if missing.getCondition() != "PATH_NOT_FOUND":
+                raise
+            return self.spark.createDataFrame([], self.schema)
+
+    def members(self) -> DataFrame:
+        """The last state of every member: key, first and last build with a change, whether it is present."""
+        return self.log().groupBy(*self.natural_key).agg(
+            F.max(self.name).alias(self.name), F.min("build").alias("first_build"), F.max("build").alias("last_build"),
+            F.max_by("present", "build").alias("present"),
+        )
+
+    def highest(self) -> int:
+        return self.log().agg(F.max(self.name)).first()[0] or 0
+
+    def register(self, members: DataFrame, build: int) -> DataFrame:
+        """Record the members of a build; gives them back with their keys, those without a key left out."""
+        key = self.natural_key
+        # equal repeats of a member count once; written to the log before it is read again
+        now = members.select(*key).dropna().distinct()
+        known = self.members().select(*key, self.name, "present")
+        fresh = surrogate_keys(now.join(known, key, "left_anti"), key, self.name, start=self.highest())
+        back = now.join(known.where("NOT present"), key).select(*key, self.name)
+        gone = known.where("present").join(now, key, "left_anti").select(*key, self.name)
+        events = fresh.select(*key, self.name).unionByName(back).withColumn("present", F.lit(True))
+        events = events.unionByName(gone.withColumn("present", F.lit(False))).withColumn("build", F.lit(build).cast("int"))
+        events.write.mode("append").parquet(self.path)
+        return members.join(self.members().select(*key, self.name), key)

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from custodia.operators.components import connected
+from custodia.operators.scd2 import one_request_per_key, repeated_requests
 from custodia.session import clock, work_dir
 
 
@@ -13,8 +16,22 @@ def open_items(queue: DataFrame) -> DataFrame:
     return queue.filter("status = 'OPEN'").orderBy(F.desc("confidence"), "review_id")
 
 
-def decide(queue: DataFrame, decisions: DataFrame, as_of: str) -> DataFrame:
-    """Apply steward decisions (review_id, decision, reviewer, notes) to OPEN rows."""
+DECISION = ("review_id", "decision", "reviewer", "notes")
+
+
+def decide(queue: DataFrame, decisions: DataFrame, as_of: str, order: Sequence[str] | None = None) -> DataFrame:
+    """Apply steward decisions (review_id, decision, reviewer, notes) to OPEN rows.
+
+    Of several decisions for a review the first in ``order`` counts, as it closes the
+    review. Without an order there is one decision per review: equal repeats count
+    once, different ones leave the review open (``decision_errors``).
+    """
+    if order is None:
+        decisions = one_request_per_key(decisions.select(*DECISION), "review_id")
+    else:
+        turn = F.struct(*order, *DECISION[1:])
+        first = decisions.groupBy("review_id").agg(F.min_by(F.struct(*DECISION[1:]), turn).alias("d"))
+        decisions = first.select("review_id", "d.*")
     d = decisions.select(
         F.col("review_id").alias("_rid"),
         F.col("decision").alias("_decision"),
@@ -36,6 +53,11 @@ def decide(queue: DataFrame, decisions: DataFrame, as_of: str) -> DataFrame:
     )
 
 
+def decision_errors(decisions: DataFrame) -> DataFrame:
+    """Reviews with different decisions and no order between them."""
+    return repeated_requests(decisions.select(*DECISION), "review_id")
+
+
 def escalations(queue: DataFrame, as_of: str, hours: int = 48) -> DataFrame:
     """OPEN items older than ``hours``: they go from the steward to the owner."""
     waited = F.timestamp_diff("MICROSECOND", F.col("created_at"), clock(as_of)) / F.lit(3.6e9)

@@ -11,8 +11,9 @@ import json
 import operator
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
+from urllib.parse import quote
 
-from pyspark.sql import Column, DataFrame, Observation, Window
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
 from custodia.functions import pass_fail, pct
@@ -121,8 +122,13 @@ class Membership:
     severity: str = "high"
 
 
-def rules_from_spec(spec: Sequence[Mapping], lookups: Mapping[str, DataFrame] | None = None) -> list:
-    """Rule objects from parsed rule files (a list of mappings with a ``type``)."""
+def rules_from_spec(spec: Sequence[Mapping], lookups: Mapping[str, DataFrame] | None = None, spark: SparkSession | None = None, folder: str = "") -> list:
+    """Rule objects from parsed rule files (a list of mappings with a ``type``).
+
+    A membership rule names a table of ``lookups``, or as ``lookup_csv`` a CSV file with
+    header below ``folder``, which ``spark`` reads. Its keys are taken as ``lookup_type``
+    (a whole number, if not given); others than that are no keys.
+    """
     rules = []
     for r in spec:
         kind, severity = r["type"], r.get("severity", "medium")
@@ -135,9 +141,13 @@ def rules_from_spec(spec: Sequence[Mapping], lookups: Mapping[str, DataFrame] |
         elif kind == "allowed_values":
             rules.append(AllowedValues(r["name"], r["column"], tuple(r["values"]), True, severity))
         elif kind == "fk_membership":
-            rules.append(
-                Membership(r["name"], r["column"], (lookups or {})[r["lookup"]], r["lookup_key"], severity)
-            )
+            key = r["lookup_key"]
+            if "lookup_csv" in r:
+                raw = spark.read.option("header", True).csv(f"{folder.rstrip('/')}/{r['lookup_csv']}" if folder else r["lookup_csv"])
+                lookup = raw.select(F.col(key).try_cast(r.get("lookup_type", "long")).alias(key))
+            else:
+                lookup = (lookups or {})[r["lookup"]]
+            rules.append(Membership(r["name"], r["column"], lookup, key, severity))
         else:
             raise ValueError(f"unknown rule type {kind!r}")
     return rules
@@ -182,31 +192,57 @@ def flag_violations(df: DataFrame, rules: Sequence) -> DataFrame:
     )
 
 
-def quality_report(df: DataFrame, rules: Sequence) -> DataFrame:
-    """One row per rule: bad_count, bad_pct (6 digits), status, over one scan of ``df``."""
+def partial_counts(df: DataFrame, rules: Sequence, measures: Mapping[str, Column] | None = None) -> DataFrame:
+    """Rows per value of each membership column, and one row over all: counts, violations, measures.
+
+    Grouping sets over one scan: each row is expanded once per membership column, so
+    the result has as many rows as these columns have values in sum, not in product.
+    ``_set`` is the grouping id: the greatest one marks the row over all.
+    """
     column_rules, key_rules = _split(rules)
     keys = list(dict.fromkeys(r.column for r in key_rules))
-    counts = [F.count("*").alias("_n")]
-    counts += [F.count_if(r.violation()).alias(f"_c{i}") for i, r in enumerate(column_rules)]
-    partial = df.groupBy(*keys).agg(*counts) if keys else df.agg(*counts)
-    sums = [F.coalesce(F.sum("_n"), F.lit(0)).alias("_n")]
-    sums += [F.coalesce(F.sum(f"_c{i}"), F.lit(0)).alias(f"_c{i}") for i in range(len(column_rules))]
+    # violations are computed before the expansion
+    flagged = df.withColumns({f"_v{i}": r.violation() for i, r in enumerate(column_rules)})
+    counts = [F.count("*").alias("_n"), *[F.count_if(F.col(f"_v{i}")).alias(f"_c{i}") for i in range(len(column_rules))]]
+    counts += [value.alias(name) for name, value in (measures or {}).items()]
+    if not keys:
+        return flagged.agg(*counts).withColumn("_set", F.lit(0).cast("long"))
+    flagged = flagged.withColumns({f"_key{j}": F.col(k) for j, k in enumerate(keys)})
+    groups = [F.col(f"_key{j}") for j in range(len(keys))]
+    return flagged.groupingSets([[g] for g in groups] + [[]], *groups).agg(F.grouping_id().alias("_set"), *counts)
+
+
+def rule_totals(df: DataFrame, rules: Sequence, measures: Mapping[str, Column] | None = None) -> tuple[DataFrame, list[tuple]]:
+    """One row with ``_n``, the violations of every rule and the measures; and each rule with its column there."""
+    column_rules, key_rules = _split(rules)
+    keys = list(dict.fromkeys(r.column for r in key_rules))
+    partial = partial_counts(df, rules, measures)
+    whole = F.col("_set") == (1 << len(keys)) - 1
+    none = F.lit(0)
+    sums = [F.coalesce(F.sum(F.when(whole, F.col("_n"))), none).alias("_n")]
+    sums += [F.coalesce(F.sum(F.when(whole, F.col(f"_c{i}"))), none).alias(f"_c{i}") for i in range(len(column_rules))]
+    sums += [F.max(F.when(whole, F.col(name))).alias(name) for name in measures or {}]
     for i, rule in enumerate(key_rules):
-        flag = f"_known_{i}"
-        partial = partial.join(_known_keys(rule, flag), F.col(rule.column) == F.col(f"{flag}_key"), "left")
-        missing = F.col(rule.column).isNotNull() & F.col(flag).isNull()
-        sums.append(F.coalesce(F.sum(F.when(missing, F.col("_n"))), F.lit(0)).alias(f"_k{i}"))
-    totals = partial.agg(*sums)
-    named = [(r, F.col(f"_c{i}")) for i, r in enumerate(column_rules)]
-    named += [(r, F.col(f"_k{i}")) for i, r in enumerate(key_rules)]
+        flag, j = f"_known_{i}", keys.index(rule.column)
+        mine = F.col("_set") == (1 << len(keys)) - 1 - (1 << (len(keys) - 1 - j))
+        partial = partial.join(_known_keys(rule, flag), mine & (F.col(f"_key{j}") == F.col(f"{flag}_key")), "left")
+        missing = mine & F.col(f"_key{j}").isNotNull() & F.col(flag).isNull()
+        sums.append(F.coalesce(F.sum(F.when(missing, F.col("_n"))), none).alias(f"_k{i}"))
+    named = [(r, f"_c{i}") for i, r in enumerate(column_rules)] + [(r, f"_k{i}") for i, r in enumerate(key_rules)]
+    return partial.agg(*sums), named
+
+
+def quality_report(df: DataFrame, rules: Sequence) -> DataFrame:
+    """One row per rule: bad_count, bad_pct (6 digits), status, over one scan of ``df``."""
+    totals, named = rule_totals(df, rules)
     rows = [
         F.struct(
             F.lit(r.name).alias("check_name"),
             F.lit(r.severity).alias("severity"),
             F.col("_n").alias("row_count"),
-            bad.alias("bad_count"),
-            pct(bad, F.col("_n")).alias("bad_pct"),
-            pass_fail(bad == 0).alias("status"),
+            F.col(bad).alias("bad_count"),
+            pct(F.col(bad), F.col("_n")).alias("bad_pct"),
+            pass_fail(F.col(bad) == 0).alias("status"),
         )
         for r, bad in named
     ]
@@ -333,6 +369,22 @@ def zero_row_conditions(
     return df.agg(*counts).select(F.inline(F.array(*rows)))
 
 
+def log_tests(results: DataFrame, path: str, run_id: str) -> DataFrame:
+    """Add a run's test results to the log below ``path``; results of an earlier attempt of the run are replaced, other runs stay.
+
+    The log has one folder per run. Gives the results of this run as stored.
+    """
+    spark = results.sparkSession
+    one = f"{path.rstrip('/')}/run_id={quote(run_id, safe='')}"
+    results.drop("run_id").coalesce(1).write.mode("overwrite").parquet(one)
+    return spark.read.parquet(one).withColumn("run_id", F.lit(run_id)).select(*results.columns)
+
+
+def test_log(spark: SparkSession, path: str) -> DataFrame:
+    """The results of all runs."""
+    return spark.read.option("basePath", path).parquet(path).withColumn("run_id", F.col("run_id").cast("string"))
+
+
 def raise_on_failure(results: DataFrame) -> None:
     """Raise after all tests were logged; one row per test reaches the driver."""
     failed = results.filter("status = 'FAIL'").select("test_name", "failing_rows").collect()

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from custodia.functions import date_attributes, pass_fail
-from custodia.operators.keys import extend_keys, surrogate_keys
+from custodia.operators.keys import KeyRegistry, extend_keys, surrogate_keys
 from custodia.session import clock
 
 
@@ -31,11 +31,22 @@ def active_dimension(master: DataFrame, lifecycle: DataFrame, id_col: str) -> Da
     return master.join(active, id_col)
 
 
-def keyed(dim: DataFrame, natural_key: str, name: str, existing: DataFrame | None = None) -> DataFrame:
-    """The dimension with surrogate keys; members of an ``existing`` one keep theirs."""
-    if existing is not None:
-        return extend_keys(dim, [natural_key], name, existing)
-    return surrogate_keys(dim, [natural_key], name)
+def keyed(dim: DataFrame, natural_key: str, name: str, existing: DataFrame | None = None, registry: KeyRegistry | None = None, build: int = 1) -> DataFrame:
+    """The dimension with surrogate keys; members of an ``existing`` one keep theirs and stay, also when ``dim`` lacks them.
+
+    With a ``registry`` the keys come from there, so that a member keeps its key even
+    if it was gone from the dimension in between.
+    """
+    if registry is not None:
+        rows = registry.register(dim, build)
+    elif existing is not None:
+        rows = extend_keys(dim, [natural_key], name, existing)
+    else:
+        rows = surrogate_keys(dim, [natural_key], name)
+    if existing is None:
+        return rows
+    gone = existing.join(dim.select(natural_key), natural_key, "left_anti")
+    return rows.unionByName(gone.select(*[c for c in gone.columns if c in rows.columns]), allowMissingColumns=True)
 
 
 def resolve_keys(fact: DataFrame, roles: Mapping[str, tuple[DataFrame, str, str, str]]) -> DataFrame:

@@ -86,8 +86,8 @@ def insert_if_absent(target: DataFrame, incoming: DataFrame, key: Sequence[str])
 def upsert_measures(
     target: DataFrame, incoming: DataFrame, key: Sequence[str], as_of: str, actor: str = "sql_transform_v1"
 ) -> DataFrame:
-    """Overwrite the measures of matched keys, insert new ones; ``created_*`` survive."""
-    both = _sides(target, incoming, key)
+    """Overwrite the measures of matched keys, insert new ones; ``created_*`` survive. Of several incoming rows of a key one counts."""
+    both = _sides(target, one_row_per_key(incoming, key), key)
     missing = {"created_at": clock(as_of), "created_by": F.lit(actor)}
     have = set(incoming.columns)
     out = []

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from custodia.functions import duration_minutes, normalize_party, normalize_place
 from custodia.operators import align, enrich, matching, merging, metrics, observability, quality, star, upsert
+from custodia.operators.keys import KeyRegistry
 from custodia.session import ts
 from custodia.sources import files
 
@@ -135,8 +136,7 @@ def metrics_workflow(
         "test_no_negative_revenue": (F.col("total_revenue") < 0, "total_revenue >= 0"),
         "test_not_null_keys": (F.col("trip_date").isNull() | F.col(key).isNull(), "PK columns not null"),
     }
-    files.write_flat(quality.zero_row_conditions(stored, tests, run_id, as_of), f"{out}/tests")
-    results = spark.read.parquet(f"{out}/tests")
+    results = quality.log_tests(quality.zero_row_conditions(stored, tests, run_id, as_of), f"{out}/tests", run_id)
     if strict:
         quality.raise_on_failure(results)
     return {"daily": stored, "monthly": spark.read.parquet(f"{out}/monthly"), "tests": results}
@@ -185,11 +185,13 @@ def vendor_dedup_job(
 
 def star_job(
     fact: DataFrame, zones: DataFrame, vendors: DataFrame, vendor_states: DataFrame, layout: TripLayout, out: str,
-    vendor_key: str = "vendor_id", existing: Mapping[str, DataFrame] | None = None,
+    vendor_key: str = "vendor_id", existing: Mapping[str, DataFrame] | None = None, registry: str | None = None, build: int = 1,
 ) -> dict[str, DataFrame]:
     """Dimensions with surrogate keys, written once below ``out``, and the fact with all of them resolved.
 
-    ``existing`` are the dimensions of the last run, by name: their members keep their keys.
+    ``existing`` are the dimensions of the last run, by name: their members keep their
+    keys and stay in the dimensions. ``registry`` is a folder with the registry of
+    each dimension's keys over all builds.
     """
     spark, old = fact.sparkSession, existing or {}
     dims = {
@@ -197,7 +199,9 @@ def star_job(
         "dim_zone": (zones, layout.lookup_key, "zone_sk"),
         "dim_vendor": (star.active_dimension(vendors, vendor_states, vendor_key), vendor_key, "vendor_sk"),
     }
-    dims = {name: star.keyed(dim, key, sk, old.get(name)) for name, (dim, key, sk) in dims.items()}
+    for name, (dim, key, sk) in dims.items():
+        known = registry and KeyRegistry(spark, f"{registry}/{name}", {key: dim.schema[key].dataType.simpleString()}, sk)
+        dims[name] = star.keyed(dim, key, sk, old.get(name), known, build)
     for name, dim in dims.items():
         files.write_flat(dim, f"{out}/{name}")
         dims[name] = spark.read.parquet(f"{out}/{name}")
