@@ -3,11 +3,13 @@
 Documents are range-partitioned by id, so shards follow one another in ascending
 order. A task tokenizes its texts, appends the end id to each document and
 closes a shard after ``shard_ids`` ids. In a shard, rounds of Re-Pair replace
-frequent neighbouring ids by nonterminals: each round counts all pairs, takes
-the most frequent ones as rules and replaces their occurrences, the more
-frequent of two overlapping ones first. A pair never crosses the end of a
-document, so any document, or any of its ids by the expansion lengths, can be
-decoded alone.
+frequent neighbouring ids by nonterminals: a round counts pairs in hash bins, takes
+a pair of each of the fullest bins as a rule and replaces its occurrences, the more
+frequent of two overlapping ones first; the next round hashes anew, so a pair
+behind another one of its bin gets its own. When the bins give few rules, the pairs of
+all bins that are full enough are counted exactly. Rounds end when no pair is left ``LEAST_COUNT`` times or the numbers
+up to 65,535 are used up. A pair never crosses the end of a document, so any
+document, or any of its ids by the expansion lengths, can be decoded alone.
 
 Shard file, little-endian: ``RPG1``, five uint32 (first nonterminal, rules,
 symbols, documents, ids), then arrays: document ids int64, their null flags
@@ -24,6 +26,7 @@ from __future__ import annotations
 
 import functools
 import itertools
+import json
 import os
 from collections.abc import Iterator
 
@@ -38,13 +41,19 @@ from custodia.llm.files import attempt_name, get, put, spread
 
 MAGIC = b"RPG1"
 SHARD_IDS = 2_000_000
-ROUNDS = 6
 RULES_PER_ROUND = 2_500
 LEAST_COUNT = 12
 BINS_LOG = 19
 CACHE_WORDS = 400_000
 
 
+def _byte_letters() -> dict[int, int]:
+    """The letter that stands for each byte in byte-level vocabularies: itself, if it is visible, else the next one from 256 on."""
+    visible = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    hidden = [b for b in range(256) if b not in visible]
+    return {**{b: b for b in visible}, **{b: 256 + k for k, b in enumerate(hidden)}}
+
+
 @functools.lru_cache(maxsize=1)
 def pieces_of(tokenizer_json: str) -> K.PieceIds:
     """The tokenizers library with the pre-tokens that this Python worker has met."""
@@ -54,8 +63,18 @@ def pieces_of(tokenizer_json: str) -> K.PieceIds:
     library = Tokenizer.from_str(tokenizer_json)
     library.encode_special_tokens = True
 
+    plan = json.loads(tokenizer_json)
+    before = plan.get("pre_tokenizer") or {}
+    # pre-tokens as they are go to the model, if nothing else of the library would touch them
+    direct = before.get("type") == "ByteLevel" and not before.get("add_prefix_space") and not plan.get("normalizer") and plan["model"]["type"] == "BPE"
+    direct = direct and all(t.get("special") for t in plan.get("added_tokens") or [])
+    letters, tokenize = _byte_letters(), library.model.tokenize
+
     def learn(pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        found = [x.ids for x in library.encode_batch_fast(pieces, add_special_tokens=False)]
+        if direct:
+            found = [[t.id for t in tokenize(p.encode().decode("latin-1").translate(letters))] for p in pieces]
+        else:
+            found = [x.ids for x in library.encode_batch_fast(pieces, add_special_tokens=False)]
         count = np.fromiter(map(len, found), np.int64, len(found))
         return np.fromiter(itertools.chain.from_iterable(found), np.uint16, int(count.sum())), count
 
@@ -64,43 +83,58 @@ def pieces_of(tokenizer_json: str) -> K.PieceIds:
 
 def compress(ids: np.ndarray, last: np.ndarray, first_rule: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Rules (n, 2), their expansion lengths and the symbols that remain; ``last`` marks the last id of a document."""
+    if first_rule > 1 << 16 or (len(ids) and int(ids.max()) >= first_rule):
+        raise ValueError("ids must be below the first rule, and that at most 65,536")
     seq, closed = ids.astype(np.uint32), last.copy()
     rules, sizes = np.zeros((0, 2), np.uint32), np.ones(first_rule, np.uint32)
-    chosen = np.empty(1 << BINS_LOG, np.int32)
-    for _ in range(ROUNDS):
+    chosen = np.empty((1 << BINS_LOG) + 1, np.int32)
+    exact, turn = False, 0
+    while True:
         room = min(RULES_PER_ROUND, (1 << 16) - first_rule - len(rules))
         if len(seq) < 2 or room < 1:
             break
-        bins = (seq[:-1] * np.uint32(0x9E3779B1) + seq[1:] * np.uint32(0x85EBCA6B)) >> np.uint32(32 - BINS_LOG)
-        bins[closed[:-1]] = 0
-        counts = np.bincount(bins, minlength=1 << BINS_LOG)
-        counts[0] = 0
-        top = np.argpartition(counts, -room)[-room:]
-        top = top[counts[top] >= LEAST_COUNT]
-        if not len(top):
-            break
-        chosen.fill(-1)
-        chosen[top] = np.arange(len(top))
-        at = np.flatnonzero(chosen[bins] >= 0)
-        which = chosen[bins[at]]
-        pair = (seq[at].astype(np.uint64) << np.uint64(32)) | seq[at + 1]
-        sample = np.zeros(len(top), np.uint64)
-        sample[which[::-1]] = pair[::-1]  # the first pair of each bin stands for it
-        real = pair == sample[which]
-        at, which = at[real], which[real]
+        turn += 1
+        factor = np.uint32((0x9E3779B1 + 2 * 0x3C6EF372 * turn) & 0xFFFFFFFF)
+        bins = (seq[:-1] * factor + seq[1:] * np.uint32(0x85EBCA6B)) >> np.uint32(32 - BINS_LOG)
+        bins[closed[:-1]] = 1 << BINS_LOG
+        counts = np.bincount(bins, minlength=(1 << BINS_LOG) + 1)
+        counts[-1] = 0
+        if exact:
+            at, which, sample = _frequent_pairs(seq, np.flatnonzero((counts >= LEAST_COUNT)[bins]), room)
+            if not len(at):
+                break
+        else:
+            top = np.argpartition(counts[:-1], -room)[-room:]
+            top = top[counts[top] >= LEAST_COUNT]
+            chosen.fill(-1)
+            chosen[top] = np.arange(len(top))
+            which = chosen[bins]
+            at = np.flatnonzero(which >= 0)
+            which = which[at]
+            pair = (seq[at].astype(np.uint64) << np.uint64(32)) | seq[at + 1]
+            sample = np.zeros(len(top), np.uint64)
+            sample[which[::-1]] = pair[::-1]  # the first pair of each bin stands for it
+            real = pair == sample[which]
+            at, which = at[real], which[real]
+            heavy = np.bincount(which, minlength=len(top))[which] >= LEAST_COUNT
+            at, which = at[heavy], which[heavy]
+            if not len(at):
+                exact = True
+                continue
+        top = sample
         weight = np.bincount(which, minlength=len(top))
-        heavy = weight[which] >= LEAST_COUNT
-        at, which = at[heavy], which[heavy]
-        if not len(at):
-            break
         order = weight[which]
-        left = np.append(True, (at[1:] != at[:-1] + 1) | (order[1:] > order[:-1]))
-        right = np.append((at[1:] != at[:-1] + 1) | (order[:-1] >= order[1:]), True)
-        take = left & right
+        # of occurrences that overlap the more frequent pair counts; of equally frequent ones every second
+        near, rise = at[1:] == at[:-1] + 1, np.sign(order[1:] - order[:-1])
+        head = np.append(True, ~near | (rise != 0))
+        begin = np.flatnonzero(head)
+        take = (np.arange(len(at)) - np.repeat(begin, np.diff(np.append(begin, len(at))))) % 2 == 0
+        take &= ~np.append(False, near & (rise < 0)) & ~np.append(near & (rise > 0), False)
         at, which = at[take], which[take]
         used = np.flatnonzero(np.bincount(which, minlength=len(top)))
         name = np.zeros(len(top), np.uint32)
         name[used] = np.arange(len(used))
+        exact = exact or 2 * len(used) < room
         new = np.stack([sample[used] >> np.uint64(32), sample[used] & np.uint64(0xFFFFFFFF)], axis=1).astype(np.uint32)
         seq[at] = first_rule + len(rules) + name[which]
         rules = np.concatenate([rules, new])
@@ -112,6 +146,18 @@ def compress(ids: np.ndarray, last: np.ndarray, first_rule: int) -> tuple[np.nda
     return rules, sizes[first_rule:], seq
 
 
+def _frequent_pairs(seq: np.ndarray, at: np.ndarray, room: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of the places ``at`` those of the ``room`` most frequent pairs that occur ``LEAST_COUNT`` times, their numbers, and the pairs, counted exactly."""
+    pair = (seq[at].astype(np.uint64) << np.uint64(32)) | seq[at + 1]
+    every, which, counts = np.unique(pair, return_inverse=True, return_counts=True)
+    often = np.flatnonzero(counts >= LEAST_COUNT)
+    often = often[np.argsort(-counts[often], kind="stable")[:room]]
+    number = np.full(len(every), -1)
+    number[often] = np.arange(len(often))
+    which = number[which]
+    return at[which >= 0], which[which >= 0], every[often]
+
+
 def expansions(rules: np.ndarray, sizes: np.ndarray, first_rule: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Where in one array the ids of each symbol stand, how many they are, and the array; a rule names earlier symbols only."""
     size = np.append(np.ones(first_rule, np.int64), sizes)

@@ -1,12 +1,15 @@
 """Shards against the tokenizers library, and grammar by round trip."""
 
 import zlib
+from collections import Counter
 from pathlib import Path
 
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
+import pytest
 from custodia.llm import catalog, repair
+from custodia.llm import kernels as K
 from custodia.session import work_dir
 from tokenizers import Tokenizer
 
@@ -64,3 +67,30 @@ def test_query(spark):
     rows = [tuple(r) for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text").collect()]
     out = [tuple(r) for r in catalog.op8_repair(spark, "/root/testdata/sf0.001").collect()]
     assert sorted(out, key=lambda r: r[1]) == library_rows(rows)
+
+
+def test_no_frequent_pair_is_left():
+    """Every pair that still occurs often enough would have been a rule, unless the numbers are used up."""
+    rng = np.random.default_rng(5)
+    ids = rng.zipf(1.3, 200_000).clip(max=3000).astype(np.uint16)
+    last = np.zeros(len(ids), bool)
+    last[49::50] = True
+    rules, sizes, symbols = repair.compress(ids, last, 60_000)
+    start, size, table = repair.expansions(rules, sizes, 60_000)
+    assert (table[K.ragged(start[symbols], size[symbols])] == ids).all()
+    ends = np.cumsum(size[symbols])
+    inner = ~np.isin(ends[:-1], np.flatnonzero(last) + 1)
+    pairs = Counter(zip(symbols[:-1][inner].tolist(), symbols[1:][inner].tolist(), strict=True))
+    apart = [p for p, n in pairs.items() if n >= repair.LEAST_COUNT and p[0] != p[1]]
+    assert not apart and 0 < len(rules) < 65_536 - 60_000
+
+
+def test_runs_and_wide_ids():
+    ids, last = np.zeros(100_000, np.uint16), np.zeros(100_000, bool)
+    last[-1] = True
+    rules, sizes, symbols = repair.compress(ids, last, 50_257)
+    assert len(symbols) < 200 and int(np.append(np.ones(50_257, np.int64), sizes)[symbols].sum()) == 100_000
+    with pytest.raises(ValueError, match="below the first rule"):
+        repair.compress(np.array([9, 70_000], np.uint32), np.array([False, True]), 65_000)
+    with pytest.raises(ValueError, match="below the first rule"):
+        repair.compress(np.array([9], np.uint32), np.array([True]), 100_000)
