@@ -148,6 +148,7 @@ def tables_of(vocabulary: bytes) -> Iterator[Tables]:
         yield tables
     finally:
         tables.con.close()
+        vars(tables).clear()  # the caller still holds the object while memory is given back
         K.release()
 
 

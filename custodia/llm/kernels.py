@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import ctypes
 import functools
+import gc
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -69,6 +70,9 @@ def flat(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 def release() -> None:
     """Give memory back that a task no longer needs: Python workers live on between tasks."""
+    _Powers.up = _Powers.down = np.ones(1, np.uint64)
+    _letters_of_hash.cache_clear()
+    gc.collect()
     pa.default_memory_pool().release_unused()
     trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
     if trim:

@@ -20,7 +20,8 @@ set. The join is exact for components: no link between different sets is lost.
 
 Before a comparison the parities of the two sets' elements, hashed to ``PARITY_BITS``
 places, bound the overlap from above. Texts are fetched again for sets that are
-compared; a bitmap of fixed size keeps the others out of the shuffle. Words are ``[^\\x20\\x09-\\x0D]+``
+compared; a bitmap of fixed size keeps the others out of the shuffle. Pairs of clusters
+that other links connect already are not compared any further. Words are ``[^\\x20\\x09-\\x0D]+``
 with A-Z lower-cased; a text of fewer words is one shingle. Null, empty and blank
 texts have no shingles, link with nothing and are their own component. Rows with
 a null id link with nothing and have no component; repeated ids are rows of
@@ -32,7 +33,6 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -179,24 +179,21 @@ def _lists(rows: np.ndarray) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(np.arange(len(rows) + 1, dtype=np.int32) * rows.shape[1]), pa.array(rows.ravel()))
 
 
-def maybe_among(ids: DataFrame, column: Column) -> Column:
-    """Whether ``column`` may be among ``ids`` (one column): false is certain. A bitmap of fixed size, however many ids there are."""
-    place = F.pmod(F.xxhash64(F.col(ids.columns[0]).cast("long")), F.lit(BITMAP_BITS)).alias("place")
-    bits = ids.select(place).groupBy(F.bitmap_bucket_number("place").alias("bucket"))
-    rows = bits.agg(F.bitmap_construct_agg(F.bitmap_bit_position("place")).alias("bits")).collect()
-    size = 4096
-    bitmap = np.zeros(BITMAP_BITS // 8 + 2 * size, np.uint8)
-    for r in rows:
-        bitmap[(r.bucket - 1) * size : r.bucket * size] = np.frombuffer(bytes(r.bits), np.uint8)
-    shared = ids.sparkSession.sparkContext.broadcast(bitmap)
-
-    @F.pandas_udf("boolean")
-    def maybe(bucket: pd.Series, position: pd.Series) -> pd.Series:
-        at = (bucket.to_numpy() - 1) * 8 * size + position.to_numpy()
-        return pd.Series((shared.value[at >> 3] >> (at & 7)) & 1 == 1)
+def maybe_among(df: DataFrame, column: Column, ids: DataFrame, name: str) -> DataFrame:
+    """``df`` with ``name``: whether ``column`` may be among ``ids`` (one column); false is certain.
 
+    A bitmap of fixed size, however many ids there are: ``BITMAP_BITS`` bits in rows of
+    4 KB, which every task gets whole, so nothing of ``df`` is shuffled.
+    """
+    place = F.pmod(F.xxhash64(F.col(ids.columns[0]).cast("long")), F.lit(BITMAP_BITS)).alias("place")
+    bits = ids.select(place).groupBy(F.bitmap_bucket_number("place").alias("_bucket"))
+    bits = bits.agg(F.bitmap_construct_agg(F.bitmap_bit_position("place")).alias("_bits"))
     hashed = F.pmod(F.xxhash64(F.coalesce(column.cast("long"), F.lit(0).cast("long"))), F.lit(BITMAP_BITS))
-    return maybe(F.bitmap_bucket_number(hashed), F.bitmap_bit_position(hashed))
+    held = df.withColumn("_place", hashed).join(F.broadcast(bits), F.bitmap_bucket_number("_place") == F.col("_bucket"), "left")
+    bit = F.bitmap_bit_position("_place")
+    byte = F.conv(F.hex(F.substring("_bits", (F.floor(bit / 8) + 1).cast("int"), F.lit(1))), 16, 10).cast("int")
+    mask = F.call_function("shiftleft", F.lit(1), (bit % 8).cast("int"))
+    return held.withColumn(name, F.coalesce(byte.bitwiseAND(mask) > 0, F.lit(False))).drop("_place", "_bucket", "_bits")
 
 
 def representatives(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -213,7 +210,7 @@ def representatives(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     flat = docs.toDF(*[f"_{k}" for k in range(len(docs.columns))])
     own = F.col(f"_{docs.columns.index(id_col)}")
     text = F.col(f"_{docs.columns.index(text_col)}")
-    flat = flat.withColumn(odd, own.isNotNull() & maybe_among(gone.select("doc_id").unionAll(again), own))
+    flat = maybe_among(flat, own, gone.select("doc_id").unionAll(again), odd).withColumn(odd, own.isNotNull() & F.col(odd))
     checked = flat.where(F.col(odd)).join(again.select(F.col("doc_id").alias("again")), own == F.col("again"), "left")
     checked = annotate(checked.withColumn("named", F.when(F.col("again").isNotNull(), text.cast("string"))), "named", _names, NAME)
     mine = F.col("again").isNull() | (F.col("name") == F.col("gone_name"))
@@ -230,40 +227,36 @@ def _names(batches: Iterator[pa.RecordBatch], place: int) -> Iterator[tuple[pa.R
         yield part, [pa.array(set_names(*sets(part.column(place))))]
 
 
-def texts_of(docs: DataFrame, wanted: DataFrame, one: DataFrame) -> DataFrame:
-    """name and text of the wanted sets, from the document that stands for each."""
-    ids = one.join(wanted, "name", "left_semi").select("name", F.col("doc_id").alias("of"))
-    held = docs.where("doc_id IS NOT NULL").where(maybe_among(ids.select("of"), F.col("doc_id")))
-    found = held.join(ids, F.col("doc_id") == F.col("of")).select("name", "text")
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in K.slices(batches, 1):
-            same = set_names(*sets(part.column(1))) == part.column(0).to_numpy()
-            yield part.filter(pa.array(same))  # an id may stand on several texts
-
-    return found.mapInArrow(run, "name long, text string")
-
+def overlaps(docs: DataFrame, pairs: DataFrame, one: DataFrame, folder: str) -> DataFrame:
+    """Sizes and overlap of each pair (a, b) of sets: the set of b meets those of all its a, of many a in several tasks.
 
-def overlaps(pairs: DataFrame, texts: DataFrame) -> DataFrame:
-    """Sizes and overlap of each pair (a, b): the set of b meets those of all its a, of many a in several tasks."""
+    The text of a set comes from the document that stands for it and is sent
+    straight to the tasks that compare it.
+    """
     many = pairs.groupBy(F.col("b").alias("of")).agg(F.ceil(F.count("*") / MEMBERS_PER_TASK).alias("tasks"))
     pairs = pairs.join(many, F.col("b") == F.col("of")).withColumn("task", F.pmod(F.xxhash64("a"), F.col("tasks")))
-    members = pairs.join(texts, F.col("a") == F.col("name")).select("b", "task", "a", "text")
-    heads = many.join(texts, F.col("of") == F.col("name")).select(
-        F.col("of").alias("b"), F.explode(F.sequence(F.lit(0).cast("long"), F.col("tasks") - 1)).alias("task"), F.lit(None).cast("long").alias("a"), "text"
+    heads = many.select(
+        F.col("of").alias("name"), F.col("of").alias("b"), F.explode(F.sequence(F.lit(0).cast("long"), F.col("tasks") - 1)).alias("task"), F.lit(None).cast("long").alias("a")
     )
-    rows = heads.unionAll(members).repartition("b", "task").sortWithinPartitions("b", "task", F.col("a").asc_nulls_first())
+    roles = heads.unionByName(pairs.select(F.col("a").alias("name"), "b", "task", "a")).join(one.select("name", F.col("doc_id").alias("of_doc")), "name")
+    roles = stored(roles, f"{folder}/roles")
+    held = maybe_among(docs.where("doc_id IS NOT NULL"), F.col("doc_id"), roles.select("of_doc"), "maybe").where("maybe")
+    rows = held.join(roles, F.col("doc_id") == F.col("of_doc")).select("b", "task", "a", "name", "text")
+    rows = rows.repartition("b", "task").sortWithinPartitions("b", "task", F.col("a").asc_nulls_first())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        name, task, head = None, None, np.zeros(0, np.uint64)
-        for part in K.slices(batches, 3):
-            value, first = sets(part.column(3))
+        met, head, seen = None, np.zeros(0, np.uint64), None
+        for part in K.slices(batches, 4):
+            value, first = sets(part.column(4))
+            same = set_names(value, first) == part.column(3).to_numpy()  # an id may stand on several texts
             out = []
             for k, (b, t, a) in enumerate(zip(*(part.column(c).to_pylist() for c in range(3)), strict=True)):
-                own = value[first[k] : first[k + 1]]
+                if not same[k] or (b, t, a) == seen:
+                    continue
+                seen, own = (b, t, a), value[first[k] : first[k + 1]]
                 if a is None:
-                    name, task, head = b, t, own
-                elif (b, t) == (name, task):
+                    met, head = (b, t), own
+                elif (b, t) == met:
                     at = np.minimum(np.searchsorted(head, own), max(len(head) - 1, 0))
                     out.append((a, b, len(own), len(head), int((head[at] == own).sum()) if len(head) else 0))
             if out:
@@ -302,8 +295,8 @@ def clusters(docs: DataFrame, one: DataFrame, folder: str) -> tuple[DataFrame, D
     links, roots = None, None
     for turn in range(ROUNDS + 1):
         pairs = stored(possible(pairs, one).where("possible").drop("possible"), f"{folder}/pairs-{turn}")
-        texts = stored(texts_of(docs, pairs.select(F.col("a").alias("name")).unionAll(pairs.select("b")).distinct(), one), f"{folder}/texts-{turn}")
-        found = stored(overlaps(pairs, texts).where(similar(F.col("both"), F.col("na"), F.col("nb"))), f"{folder}/links-{turn}")
+        found = overlaps(docs, pairs, one, f"{folder}/met-{turn}").where(similar(F.col("both"), F.col("na"), F.col("nb")))
+        found = stored(found, f"{folder}/links-{turn}")
         if turn and found.isEmpty():
             break
         links = found if links is None else links.unionAll(found)
@@ -318,8 +311,7 @@ def clusters(docs: DataFrame, one: DataFrame, folder: str) -> tuple[DataFrame, D
     members = roots.where("node <> root").select(F.col("node").alias("a"), F.col("root").alias("b"))
     known = members.join(links.dropDuplicates(["a", "b"]), ["a", "b"])
     rest = stored(members.join(links.select("a", "b"), ["a", "b"], "left_anti"), f"{folder}/far-members")
-    texts = stored(texts_of(docs, rest.select(F.col("a").alias("name")).unionAll(rest.select("b")).distinct(), one), f"{folder}/texts-far")
-    diffs = known.select("a", "b", "na", "nb", "both").unionAll(overlaps(rest, texts).select("a", "b", "na", "nb", "both"))
+    diffs = known.select("a", "b", "na", "nb", "both").unionAll(overlaps(docs, rest, one, f"{folder}/met-far").select("a", "b", "na", "nb", "both"))
     diffs = diffs.select(F.col("a").alias("name"), F.col("b").alias("root"), F.col("na").alias("n"), (F.col("na") - F.col("both")).alias("extra"))
     return links, stored(diffs, f"{folder}/members")
 
@@ -418,11 +410,11 @@ def _joined(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     for side in ("a", "b"):  # of a cluster the root says nothing yet about the others
         pairs = pairs.join(heads.select(F.col("head").alias("h"), F.col("many").alias(f"many_{side}")), F.col(side) == F.col("h"), "left").drop("h")
     pairs = stored(pairs.where("possible OR many_a OR many_b").select("a", "b"), f"{folder}/pairs")
-    texts = stored(texts_of(docs, pairs.select(F.col("a").alias("name")).unionAll(pairs.select("b")).distinct(), one), f"{folder}/texts-met")
-    met = stored(overlaps(pairs, texts), f"{folder}/met")
+    met = stored(overlaps(docs, pairs, one, f"{folder}/met-roots"), f"{folder}/met")
     linked = met.where(similar(F.col("both"), F.col("na"), F.col("nb"))).select("a", "b")
+    roots = stored(components(links.select("a", "b").unionAll(linked), f"{folder}/components-2"), f"{folder}/all-roots")
 
-    # pairs of clusters that the roots do not decide
+    # pairs of clusters that the roots do not decide, and that are not in one component anyway
     spans = members.groupBy(F.col("root").alias("of")).agg(F.min("n").alias("least"), F.max("n").alias("most"), F.max("extra").alias("extra"))
     spans = stored(spans, f"{folder}/spans")
     open_ = met.where(~similar(F.col("both"), F.col("na"), F.col("nb")))
@@ -432,6 +424,9 @@ def _joined(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
         open_ = open_.withColumn(f"least_{side}", F.least(F.col(f"n{side}"), f"least_{side}")).fillna(0, [f"extra_{side}"])
     total = F.col("least_a") + F.col("least_b")
     open_ = open_.where("of_a IS NOT NULL OR of_b IS NOT NULL").where(9 * (F.col("both") + F.col("extra_a") + F.col("extra_b")) >= 4 * total)
+    for side in ("a", "b"):
+        open_ = open_.join(roots.select(F.col("node").alias(f"in_{side}"), F.col("root").alias(f"root_{side}")), F.col(side) == F.col(f"in_{side}"), "left")
+    open_ = open_.where(F.coalesce("root_a", "a") != F.coalesce("root_b", "b"))
     open_ = stored(open_.select("a", "b", "na", "nb", "both"), f"{folder}/open")
     if not open_.isEmpty():
         sides = []
@@ -447,13 +442,12 @@ def _joined(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
         inner = inner.select(F.col("set_a.x").alias("p"), F.col("set_b.x").alias("q"), "a", "b").where("p <> a OR q <> b")
         inner = inner.select(F.greatest("p", "q").alias("a"), F.least("p", "q").alias("b")).distinct()
         inner = stored(possible(inner, one).where("possible").drop("possible"), f"{folder}/inner")
-        texts = stored(texts_of(docs, inner.select(F.col("a").alias("name")).unionAll(inner.select("b")).distinct(), one), f"{folder}/texts-inner")
-        met = stored(overlaps(inner, texts), f"{folder}/met-inner")
-        linked = linked.unionAll(met.where(similar(F.col("both"), F.col("na"), F.col("nb"))).select("a", "b"))
+        inner_met = stored(overlaps(docs, inner, one, f"{folder}/met-inner"), f"{folder}/inner-met")
+        more = inner_met.where(similar(F.col("both"), F.col("na"), F.col("nb"))).select("a", "b")
+        if not more.isEmpty():
+            stars = roots.where("node <> root").select(F.col("node").alias("a"), F.col("root").alias("b"))
+            roots = stored(components(stars.unionAll(more), f"{folder}/components-3"), f"{folder}/last-roots")
 
-    # one more round over the clusters as stars
-    edges = links.select("a", "b").unionAll(linked)
-    roots = stored(components(edges, f"{folder}/components-2"), f"{folder}/all-roots")
     of = roots.select(F.col("node").alias("of"), "root")
     placed = stored(one.select("name", "doc_id").join(of, F.col("name") == F.col("of"), "left"), f"{folder}/placed")
     first = placed.groupBy(F.coalesce("root", "name").alias("group")).agg(F.min("doc_id").alias("component_id"))
