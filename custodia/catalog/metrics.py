@@ -9,7 +9,7 @@ from custodia.catalog.roles import (
     lifecycle, number, some_zones, table, text, trips, versions, with_ctes, zones,
 )
 from custodia.functions import duration_minutes
-from custodia.operators import enrich, metrics, quality, star
+from custodia.operators import enrich, metrics, quality, sketches, star
 from custodia.operators.keys import KeyRegistry, extend_keys, surrogate_keys
 from custodia.plans.jobs import TripLayout, curated, star_job
 from custodia.session import clock, work_dir
@@ -251,6 +251,37 @@ def column_profile(spark, sf):
     )
 
 
+@entry(
+    "merged_profile",
+    """
+SELECT strftime(l_shipdate, '%Y') AS year, 'l_partkey' AS column_name, COUNT(*) AS rows, 0 AS nulls, COUNT(DISTINCT l_partkey) AS exact_distinct, TRUE AS distinct_ok, TRUE AS median_ok FROM lineitem GROUP BY 1
+UNION ALL SELECT strftime(l_shipdate, '%Y'), 'l_extendedprice', COUNT(*), 0, COUNT(DISTINCT l_extendedprice), TRUE, TRUE FROM lineitem GROUP BY 1
+UNION ALL SELECT 'all', 'l_partkey', COUNT(*), 0, COUNT(DISTINCT l_partkey), TRUE, TRUE FROM lineitem
+UNION ALL SELECT 'all', 'l_extendedprice', COUNT(*), 0, COUNT(DISTINCT l_extendedprice), TRUE, TRUE FROM lineitem""",
+)
+def merged_profile(spark, sf):
+    """Sketches stored per month, merged per year and for the table, next to exact values: whether each is within its stated error."""
+    columns = ["l_partkey", "l_extendedprice"]
+    lines = table(spark, sf, "lineitem").select(*columns, F.date_format("l_shipdate", "yyyy").alias("year"), F.date_format("l_shipdate", "yyyy-MM").alias("month"))
+    path = work_dir(spark, "profiles")
+    sketches.profile_parts(lines, columns, ["year", "month"]).write.parquet(path)
+    parts = spark.read.parquet(path)
+    merged = sketches.merge_profiles(parts, ["year"]).unionByName(sketches.merge_profiles(parts).withColumn("year", F.lit("all")))
+    found = sketches.read_profiles(merged)
+    values = lines.select(F.explode(F.array("year", F.lit("all"))).alias("y"), F.inline(F.array(*[F.struct(F.lit(c).alias("c"), F.col(c).cast("double").alias("v")) for c in columns])))
+    middle = values.join(found.select(F.col("year").alias("y"), F.col("column_name").alias("c"), "q50"), ["y", "c"])
+    exact = middle.groupBy("y", "c").agg(
+        F.count_distinct("v").alias("exact"), F.avg((F.col("v") < F.col("q50")).cast("double")).alias("below"), F.avg((F.col("v") <= F.col("q50")).cast("double")).alias("up_to")
+    )
+    both = found.join(exact, (F.col("year") == F.col("y")) & (F.col("column_name") == F.col("c")))
+    off = F.abs(F.col("distinct_values") - F.col("exact"))
+    return both.select(
+        "year", "column_name", "rows", F.col("nulls").cast("int").alias("nulls"), F.col("exact").alias("exact_distinct"),
+        (off <= F.greatest(F.lit(sketches.DISTINCT_ERROR) * F.col("exact"), F.lit(1))).alias("distinct_ok"),
+        ((F.col("below") <= 0.5 + sketches.RANK_ERROR) & (F.col("up_to") >= 0.5 - sketches.RANK_ERROR)).alias("median_ok"),
+    )
+
+
 @entry(
     "value_distribution",
     with_ctes(VERSIONS, body="SELECT COALESCE(segment, 'UNKNOWN') AS value, COUNT(*) AS rows FROM versions GROUP BY 1"),

@@ -657,3 +657,59 @@ def as_of_versions(spark, sf):
         facts, dim, ("o_custkey", "customer_id"), ("placed_at", "effective_from"), "effective_to", ["version_number", "segment"], work_dir(spark, "as-of")
     )
     return found.select("o_orderkey", text("version_number").alias("version_number"), "segment")
+
+
+# -- changes at the source, footers -----------------------------------------------------
+
+
+@entry(
+    "change_log_source",
+    with_ctes(SUPPLIER_MASTER, SUPPLIER_INCOMING, body="""
+SELECT CASE WHEN m.vendor_id IS NULL THEN 'INSERT' WHEN i.vendor_id IS NULL THEN 'DELETE' ELSE 'UPDATE' END AS op,
+       COALESCE(m.vendor_id, i.vendor_id) AS vendor_id, m.vendor_name AS old_name, i.vendor_name AS new_name,
+       CASE WHEN i.vendor_id IS NOT NULL THEN CASE WHEN m.vendor_id IS NULL THEN '1' ELSE '2' END END AS new_version,
+       COALESCE(m.vendor_name = i.vendor_name, FALSE) AS same_name
+FROM master m FULL OUTER JOIN incoming i ON m.vendor_id = i.vendor_id
+WHERE i.vendor_id IS NOT NULL OR m.vendor_id % 2 = 0"""),
+)
+def change_log_source(spark, sf):
+    """The log that the upsert itself writes: updates that change no name are in it, and deletes."""
+    master = supplier_master(spark, sf)
+    _, log = upsert.upsert_logged(
+        master, supplier_incoming(spark, sf), ["vendor_id"], ["vendor_name", "location_id"], AS_OF, work_dir(spark, "logged"),
+        deleted=master.filter("vendor_id % 2 = 0").select("vendor_id"),
+    )
+    old, new = F.get_json_object("old_row", "$.vendor_name"), F.get_json_object("new_row", "$.vendor_name")
+    return log.select(
+        "op", "vendor_id", old.alias("old_name"), new.alias("new_name"), F.get_json_object("new_row", "$.version").alias("new_version"),
+        F.coalesce(old == new, F.lit(False)).alias("same_name"),
+    )
+
+
+@entry(
+    "upsert_logged",
+    with_ctes(SUPPLIER_MASTER, SUPPLIER_INCOMING, UPSERTED, body=f"SELECT {SHOW_MASTER} FROM upserted WHERE vendor_id IN (SELECT vendor_id FROM incoming) OR vendor_id % 2 <> 0"),
+)
+def upsert_logged(spark, sf):
+    """The table of the same change set: as by the plain upsert, without the deleted keys."""
+    master = supplier_master(spark, sf)
+    new, _ = upsert.upsert_logged(
+        master, supplier_incoming(spark, sf), ["vendor_id"], ["vendor_name", "location_id"], AS_OF, work_dir(spark, "logged"),
+        deleted=master.filter("vendor_id % 2 = 0").select("vendor_id"),
+    )
+    return show_master(new)
+
+
+@entry(
+    "footer_profile",
+    " UNION ALL ".join(
+        f"SELECT '{c}' AS column_name, COUNT(*) AS rows, COUNT(*) - COUNT({c}) AS nulls, "
+        + (f"CAST(MIN({c}) AS VARCHAR) AS min_value, CAST(MAX({c}) AS VARCHAR) AS max_value" if c[:5] != "l_ret" else "NULL, NULL") + " FROM lineitem"
+        for c in ("l_orderkey", "l_linenumber", "l_returnflag")
+    ),
+)
+def footer_profile(spark, sf):
+    """Counts and extremes of a stored table without reading its data."""
+    from custodia.sources import footers
+
+    return footers.in_session(spark, footers.footer_profile(spark, f"{sf}/lineitem.parquet", ["l_orderkey", "l_linenumber", "l_returnflag"]))

@@ -17,5 +17,6 @@ from custodia.functions.similarity import (  # noqa: F401
     indel_ratio,
     jaro_winkler,
     matching_blocks_ratio,
+    name_signals,
 )
 from custodia.functions.text import normalize_place, normalize_party  # noqa: F401

@@ -11,6 +11,7 @@ from difflib import SequenceMatcher
 
 import pandas as pd
 from pyspark import cloudpickle
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -101,6 +102,21 @@ def matching_blocks_ratio(left: pd.Series, right: pd.Series) -> pd.Series:
     return _scored(matching_blocks_of, left, right)
 
 
+def name_signals(left: Column | str, right: Column | str) -> Column:
+    """Struct of lev_ratio, jaro_winkler and their blend ``score``: both are computed once a pair, and the plan does not repeat the call."""
+    return _signals(left, right)
+
+
+@F.pandas_udf(T.StructType([T.StructField(c, T.DoubleType()) for c in ("lev_ratio", "jaro_winkler", "score")]))
+def _signals(left: pd.Series, right: pd.Series) -> pd.DataFrame:
+    ratio, winkler = _scored(indel_ratio_of, left, right), _scored(jaro_winkler_of, left, right)
+    score = (JARO_WINKLER_SHARE * winkler + RATIO_SHARE * ratio).clip(0.0, 1.0)
+    return pd.DataFrame({"lev_ratio": ratio, "jaro_winkler": winkler, "score": score})
+
+
+_signals = _signals.asNondeterministic()
+
+
 @F.pandas_udf(T.DoubleType())
 def blended_confidence(left: pd.Series, right: pd.Series) -> pd.Series:
     return _scored(blended_of, left, right)

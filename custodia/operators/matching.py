@@ -18,7 +18,7 @@ from math import ceil, comb
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from custodia.functions import blended_confidence, indel_ratio, jaro_winkler, matching_blocks_ratio, score_band
+from custodia.functions import blended_confidence, indel_ratio, jaro_winkler, matching_blocks_ratio, name_signals, score_band
 from custodia.functions.similarity import JARO_WINKLER_SHARE, PREFIX_LENGTH, PREFIX_WEIGHT, RATIO_SHARE
 from custodia.session import work_dir
 
@@ -39,12 +39,14 @@ class Measure:
 
     ``least(t)``: share of its own characters a name must have in common with
     any partner. ``overlap(a, b, t)``: characters two names of lengths a and b
-    must have in common to reach t.
+    must have in common to reach t. ``signals``: a struct with ``score`` and what it
+    is made of, where a pair keeps these.
     """
 
     score: Callable[[Column, Column], Column]
     least: Callable[[float], float]
     overlap: Callable[[Column, Column, float], Column]
+    signals: Callable[[str, str], Column] | None = None
 
 
 def _edit_share(a: Column, b: Column) -> Column:
@@ -91,6 +93,7 @@ MEASURES = {
         _blended_least,
         lambda a, b, t: F.lit(t - _FREE)
         / (F.lit(_PER_SHARE) * (1.0 / a + 1.0 / b) + F.lit(2.0 * RATIO_SHARE) / (a + b)),
+        name_signals,
     ),
 }
 
@@ -259,9 +262,11 @@ def similar_pairs(
         *[side(c, True).alias(f"left_{c}") for c in ("id", "name", "members")],
         *[side(c, False).alias(f"right_{c}") for c in ("id", "name", "members")],
     )
-    return pairs.withColumn("score", m.score(F.col("left_name"), F.col("right_name"))).filter(
-        F.col("score") >= threshold
-    )
+    if m.signals:
+        scored = pairs.withColumn("_signals", m.signals("left_name", "right_name")).select("*", "_signals.*").drop("_signals")
+    else:
+        scored = pairs.withColumn("score", m.score(F.col("left_name"), F.col("right_name")))
+    return scored.filter(F.col("score") >= threshold)
 
 
 def comparison_counts(names: DataFrame, block: Sequence[str]) -> DataFrame:
@@ -307,7 +312,9 @@ def duplicate_groups(df: DataFrame, id_col: str, composite: Sequence[Column]) ->
 def review_candidates(
     pairs: DataFrame, auto: float, review: float, id_name: str, created_at: Column, created_by: str
 ) -> DataFrame:
-    """Review-queue rows of scored pairs: label, OPEN status and a rationale document."""
+    """Review-queue rows of scored pairs: label, OPEN status and a rationale document; signals that the pairs bring are not computed again."""
+    kept = {"lev_ratio", "jaro_winkler"} <= set(pairs.columns)
+    ratio, winkler = (F.col("lev_ratio"), F.col("jaro_winkler")) if kept else (indel_ratio("left_name", "right_name"), jaro_winkler("left_name", "right_name"))
     return pairs.filter(F.col("score") >= review).select(
         F.xxhash64("left_id", "right_id").alias("review_id"),
         F.col("left_id").alias(f"left_{id_name}"),
@@ -319,8 +326,8 @@ def review_candidates(
             F.struct(
                 F.col("left_name").alias("a_name"),
                 F.col("right_name").alias("b_name"),
-                indel_ratio("left_name", "right_name").alias("lev_ratio"),
-                jaro_winkler("left_name", "right_name").alias("jaro_winkler"),
+                ratio.alias("lev_ratio"),
+                winkler.alias("jaro_winkler"),
             )
         ).alias("rationale"),
         created_at.alias("created_at"),
@@ -343,7 +350,7 @@ def scored_pairs(df: DataFrame, id_col: str, name: Column, review: float, block:
     """
     equal = same_name_pairs(df, id_col, name, block).select(
         F.col("first_id").alias("left_id"), F.col("other_id").alias("right_id"), F.col("name").alias("left_name"),
-        F.col("name").alias("right_name"), F.lit(1.0).alias("score"),
+        F.col("name").alias("right_name"), *[F.lit(1.0).alias(c) for c in ("lev_ratio", "jaro_winkler", "score")],
     )
     similar = similar_pairs(distinct_names(df, id_col, name, block), "blended", review, block)
     return similar.select(*equal.columns).unionByName(equal)

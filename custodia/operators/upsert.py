@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from custodia.session import clock
@@ -46,8 +46,15 @@ def upsert_type1(
     ``created_*`` survive. A match without any difference raises the version too
     unless ``only_if_changed``. Of several incoming rows of a key one counts (``one_row_per_key``).
     """
-    now = clock(as_of)
     both = _sides(target, one_row_per_key(incoming, key), key)
+    return both.select(*_type1_row(target.columns, key, attributes, as_of, actor, approver, only_if_changed))
+
+
+def _type1_row(
+    columns: Sequence[str], key: Sequence[str], attributes: Sequence[str], as_of: str, actor: str, approver: str, only_if_changed: bool
+) -> list[Column]:
+    """The columns of the new row from the old row ``o`` and the incoming row ``n``, one of which may be missing."""
+    now = clock(as_of)
     o, n = F.col("o"), F.col("n")
     update = o.isNotNull() & n.isNotNull()
     if only_if_changed:
@@ -66,7 +73,7 @@ def upsert_type1(
         "approved_by": F.when(write, F.lit(approver)).otherwise(F.col("o.approved_by")),
     }
     out = []
-    for c in target.columns:
+    for c in columns:
         if c in key:
             value = F.coalesce(F.col(f"o.{c}"), F.col(f"n.{c}"))
         elif c in attributes:
@@ -74,7 +81,36 @@ def upsert_type1(
         else:
             value = filled.get(c, F.col(f"o.{c}"))
         out.append(value.alias(c))
-    return both.select(*out)
+    return out
+
+
+def upsert_logged(
+    target: DataFrame, incoming: DataFrame, key: Sequence[str], attributes: Sequence[str], as_of: str, folder: str,
+    actor: str = "data_engineer", approver: str = "data_steward", deleted: DataFrame | None = None,
+) -> tuple[DataFrame, DataFrame]:
+    """``upsert_type1`` with its change rows: the new table, and (op, key, changed_at, changed_by, old_row, new_row).
+
+    Every row that is written is logged, also an update that leaves all values as they
+    were, which no comparison of two states can show. Keys of ``deleted`` are removed and
+    logged, unless they come in again. The change set is computed once and written below
+    ``folder``; the new table and the log are read from it.
+    """
+    spark, on = target.sparkSession, list(key)
+    fresh = one_row_per_key(incoming, key)
+    touched = _sides(target, fresh, key).where("n IS NOT NULL")
+    row = F.struct(*_type1_row(target.columns, key, attributes, as_of, actor, approver, False))
+    changes = touched.select(F.when(F.col("o").isNull(), "INSERT").otherwise("UPDATE").alias("op"), "o", row.alias("r"))
+    if deleted is not None:
+        gone = target.join(deleted.select(*on).distinct(), on, "left_semi").join(fresh.select(*on), on, "left_anti").select(*target.columns)
+        old = F.struct(*[F.col(c) for c in target.columns])
+        changes = changes.unionByName(gone.select(F.lit("DELETE").alias("op"), old.alias("o")), allowMissingColumns=True)
+    changes.write.parquet(f"{folder}/changes")
+    changes = spark.read.parquet(f"{folder}/changes")
+    named = [F.coalesce(F.col(f"o.{k}"), F.col(f"r.{k}")).alias(k) for k in key]
+    kept = target.join(changes.select(*named), on, "left_anti").select(*target.columns)
+    new = kept.unionByName(changes.where("r IS NOT NULL").select("r.*"))
+    log = changes.select("op", *named, clock(as_of).alias("changed_at"), F.lit(actor).alias("changed_by"), F.to_json("o").alias("old_row"), F.to_json("r").alias("new_row"))
+    return new, log
 
 
 def insert_if_absent(target: DataFrame, incoming: DataFrame, key: Sequence[str]) -> DataFrame:

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from custodia.functions import age_hours
 from custodia.session import clock
+from custodia.sources.footers import footer_counts, in_session
 
 
 def publish_snapshot(df: DataFrame, base: str, stamp: str) -> str:
@@ -18,16 +19,16 @@ def publish_snapshot(df: DataFrame, base: str, stamp: str) -> str:
 
 
 def snapshot_inventory(spark: SparkSession, base: str) -> DataFrame:
-    """One row per published snapshot: (snapshot_key, published_at, rows); none where nothing was published."""
+    """One row per published snapshot: (snapshot_key, published_at, rows), counted in the files' footers; none where nothing was published."""
     try:
-        stamps = spark.read.option("basePath", base).parquet(base)
+        counted = footer_counts(spark, base, ["snapshot_ts"])
     except AnalysisException as missing:  # nothing was ever published
         if missing.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
             raise
         return spark.createDataFrame([], "snapshot_key string, rows long, published_at timestamp_ntz")
     return (
-        stamps.groupBy(F.col("snapshot_ts").cast("string").alias("snapshot_key"))
-        .agg(F.count("*").alias("rows"))
+        in_session(spark, counted)
+        .select(F.col("snapshot_ts").cast("string").alias("snapshot_key"), "rows")
         .withColumn("published_at", F.to_timestamp("snapshot_key", "yyyyMMdd'T'HHmmss").cast("timestamp_ntz"))
     )
 
