@@ -35,7 +35,9 @@ UNKNOWN = "und"
 ORDER = 5
 SAMPLE_DOCUMENTS = 600
 DEVIATIONS = 8.0
-LEAST_EXCESS = 3.0
+LEAST_EXCESS = 1.0
+#: A language with fewer sampled documents keeps none apart, so that it has a model; it rejects nothing by cross-entropy.
+LEAST_KEPT_APART = 16
 BEGIN, END = 1, 2
 CACHE_GRAMS = 500_000
 
@@ -185,8 +187,9 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_co
     parts = F.create_map(*[x for lang, n in rows.items() for x in (F.lit(lang), F.lit(min(1.0, sample_documents / n)))])
     draw = F.shiftrightunsigned(F.xxhash64("doc_id", "text"), 11) / F.lit(float(1 << 53))
     # every fourth document of the sample is kept apart to learn what unseen documents look like
-    sample = docs.withColumn("draw", draw / parts[F.col("lang")]).where("draw < 1")
-    counted = sample.where("draw < 0.75").select("lang", "text").mapInArrow(_count_words, "lang string, word string, n long")
+    few = F.col("lang").isin(*[lang for lang, n in rows.items() if min(n, sample_documents) < LEAST_KEPT_APART])
+    sample = docs.withColumn("draw", draw / parts[F.col("lang")]).where("draw < 1").withColumn("apart", (F.col("draw") >= 0.75) & ~few)
+    counted = sample.where("NOT apart").select("lang", "text").mapInArrow(_count_words, "lang string, word string, n long")
     words = counted.groupBy("lang", "word").agg(F.sum("n").alias("n")).toPandas()
     names = sorted(rows)
     by = {lang: part.sort_values("word") for lang, part in words.groupby("lang")}
@@ -195,7 +198,7 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_co
     models = [Model.of(by[name]["word"].tolist(), by[name]["n"].to_numpy()) for name in names]
     out = Languages(names, models, 1.0 / alphabet, np.zeros((len(names), 3)))
     if names:
-        seen = _unseen(sample.where("draw >= 0.75").select("lang", "text"), out)
+        seen = _unseen(sample.where("apart").select("lang", "text"), out)
         for k, name in enumerate(names):
             own = seen[seen["lang"] == name]
             if len(own):

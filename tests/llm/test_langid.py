@@ -108,3 +108,26 @@ def test_rejection(spark):
     noise = " ".join("".join(rng.choice(list("abcdefghijklmnopqrstuvwxyz"), size=7)) for _ in range(60))
     docs = spark.createDataFrame([(1, noise), (2, "съешь же ещё этих мягких французских булок " * 4)], "doc_id long, text string")
     assert all(r.rejected for r in langid.predict(docs, found).collect())
+
+
+def test_left_out_language_and_noise_are_rejected(spark):
+    """At least 0.9 of the documents of a language without a model, all noise and foreign sentences; none of the learned ones."""
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet").select("doc_id", "text", "lang")
+    learned = docs.where("lang <> 'fr'")
+    found = langid.predict(docs, langid.fit(learned.where(catalog._fold(3) != 1)))
+    shares = {r["lang"]: r["share"] for r in found.where("lang_pred <> 'und'").groupBy("lang").agg({"rejected": "max"}).selectExpr("lang", "`max(rejected)` AS share").collect()}
+    assert not any(shares[x] for x in shares if x != "fr")
+    out = found.where("lang = 'fr' AND lang_pred <> 'und'").selectExpr("avg(CAST(rejected AS INT))").first()[0]
+    assert out > 0.9
+    odd = ["lorem ipsum dolor sit amet consectetur adipiscing elit sed do eiusmod tempor", "asdf jkl qwer uiop zxcv bnm", "qzxw", "to jest zdanie po polsku z kilkoma słowami i literami"]
+    df = spark.createDataFrame([(t,) for t in odd], "text string")
+    assert all(r.rejected for r in langid.predict(df, catalog.languages(docs)).collect() if len(r.text) > 4)
+
+
+def test_language_of_one_document_has_a_model(spark):
+    rows = [(k, "the and of that this " * 9, "en") for k in range(30)] + [(99, "žluťoučký kůň úpěl ďábelské ódy", "cs")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    models = langid.fit(docs)
+    assert models.names == ["cs", "en"]
+    got = langid.predict(spark.createDataFrame([("úpěl ďábelské",), ("this and that",)], "text string"), models).collect()
+    assert {(r.text, r.lang_pred) for r in got} == {("úpěl ďábelské", "cs"), ("this and that", "en")}
