@@ -7,6 +7,13 @@ in one global order, rarest first, such names share at least k characters in a
 short prefix. Names are joined on the k-sets of characters of their prefixes, so
 the filter loses no match, and only survivors of native overlap checks reach the
 scoring UDF. The higher the threshold, the larger the k that pays off.
+
+Where a measure and its threshold bound the edits between two names closely enough
+(``Measure.edits``), names are joined on pieces of text instead. The shorter name is
+cut into one piece more than there can be edits, so one piece stands unchanged in
+the longer name, moved by the edits at most. The key is (length band, piece, place in
+blocks of twice that move), so lists stay short when names multiply, and a name of n
+characters has rows in the order of n, however long it is.
 """
 
 from __future__ import annotations
@@ -33,6 +40,25 @@ SIGNATURE_BUDGET = 40
 OCCURRENCE_STEP = 1 << 21
 
 
+@dataclass(frozen=True)
+class Edits:
+    """Two names of lengths n <= m that reach a threshold: m <= reach * n, and at most short * n + long * m edits part them."""
+
+    reach: float
+    short: float
+    long: float
+
+    def selective(self) -> bool:
+        """Whether the pieces of a name of typical length have three characters or more."""
+        most = int(self.short * TYPICAL_LENGTH + self.long * int(self.reach * TYPICAL_LENGTH))
+        return TYPICAL_LENGTH // (most + 1) >= 3
+
+
+def _indel_edits(ratio: float) -> Edits | None:
+    """A ratio 2c / (n + m) of common characters in order leaves n + m - 2c insertions and deletions."""
+    return Edits((2.0 - ratio) / ratio, 1.0 - ratio, 1.0 - ratio) if ratio > 0.5 else None
+
+
 @dataclass(frozen=True)
 class Measure:
     """A score with the bound the join filter needs.
@@ -40,13 +66,14 @@ class Measure:
     ``least(t)``: share of its own characters a name must have in common with
     any partner. ``overlap(a, b, t)``: characters two names of lengths a and b
     must have in common to reach t. ``signals``: a struct with ``score`` and what it
-    is made of, where a pair keeps these.
+    is made of, where a pair keeps these. ``edits(t)``: the bound on edits, if there is one.
     """
 
     score: Callable[[Column, Column], Column]
     least: Callable[[float], float]
     overlap: Callable[[Column, Column, float], Column]
     signals: Callable[[str, str], Column] | None = None
+    edits: Callable[[float], Edits | None] = lambda t: None
 
 
 def _edit_share(a: Column, b: Column) -> Column:
@@ -81,10 +108,12 @@ def _blended_least(t: float) -> float:
 
 MEASURES = {
     "matching_blocks": Measure(
-        matching_blocks_ratio, lambda t: t / (2.0 - t), lambda a, b, t: F.lit(t / 2.0) * (a + b)
+        matching_blocks_ratio, lambda t: t / (2.0 - t), lambda a, b, t: F.lit(t / 2.0) * (a + b), edits=_indel_edits
+    ),
+    "indel": Measure(indel_ratio, lambda t: t / (2.0 - t), lambda a, b, t: F.lit(t / 2.0) * (a + b), edits=_indel_edits),
+    "edit": Measure(
+        _edit_share, lambda t: t, lambda a, b, t: F.lit(t) * F.greatest(a, b), edits=lambda t: Edits(1.0 / t, 0.0, 1.0 - t) if t > 0 else None
     ),
-    "indel": Measure(indel_ratio, lambda t: t / (2.0 - t), lambda a, b, t: F.lit(t / 2.0) * (a + b)),
-    "edit": Measure(_edit_share, lambda t: t, lambda a, b, t: F.lit(t) * F.greatest(a, b)),
     "jaro_winkler": Measure(
         jaro_winkler, lambda t: _jw_shares(t) - 1.0, lambda a, b, t: F.lit(_jw_shares(t)) * a * b / (a + b)
     ),
@@ -94,6 +123,8 @@ MEASURES = {
         lambda a, b, t: F.lit(t - _FREE)
         / (F.lit(_PER_SHARE) * (1.0 / a + 1.0 / b) + F.lit(2.0 * RATIO_SHARE) / (a + b)),
         name_signals,
+        # the other signal is 1 at most
+        lambda t: _indel_edits((t - JARO_WINKLER_SHARE) / RATIO_SHARE),
     ),
 }
 
@@ -160,50 +191,96 @@ def _sets_of(tokens: str, k: int) -> Column:
     return sets(0, k)
 
 
-CARRIED = ("id", "name", "members", "tokens", "reach", "mask")
+# What a signature row holds of its name; the rest is joined to the few pairs that meet.
+CARRIED = ("row", "length", "mask")
+# Longer names, and names that can match such, meet under sets of two: more characters would make too many sets.
+LONG = 64
 
 
-def _sized(names: DataFrame, least: float, k: int) -> DataFrame:
-    """Names with tokens, mask, the fewest characters any match shares, and the token prefix for k-sets."""
+def _sized(names: DataFrame, least: float) -> DataFrame:
+    """Names with length, tokens, mask and the fewest characters any match shares."""
     n = F.length("name")
     need = F.greatest(F.ceil(F.lit(least) * n - EPS), F.lit(1)).cast("int")
-    reach = n - F.greatest(need, F.lit(k)) + k
-    return names.withColumn("tokens", _tokens(F.col("name"))).withColumns(
-        {"mask": _mask(F.col("tokens")), "need": need, "reach": reach, "prefix": F.slice("tokens", F.lit(1), reach)}
-    )
+    return names.withColumns({"length": n, "tokens": _tokens(F.col("name"))}).withColumns({"mask": _mask(F.col("tokens")), "need": need})
 
 
-def _signatures(sized: DataFrame, block: Sequence[str], k: int) -> DataFrame:
+def _signatures(sized: DataFrame, block: Sequence[str], least: float, k: int) -> DataFrame:
     """One row per (name, signature).
 
     A match that needs k or more shared characters is found by k-sets of the
     prefixes; one that needs j < k, possible for short names only, by j-sets of
-    the whole names.
+    the whole names; one with a long name by sets of two.
     """
+
+    def prefixes(j: int) -> Column:
+        return F.slice("tokens", F.lit(1), F.col("length") - F.greatest(F.col("need"), F.lit(j)) + j)
+
     none = F.array().cast("array<bigint>")
-    sets = [_sets_of("prefix", k)]
+    long = F.col("length") > LONG
+    near = F.col("length") >= LONG * least  # can match a long one
+    shaped = sized.withColumns({"prefix": F.when(~long, prefixes(k)), "pairs": F.when(near, prefixes(2))})
+    sets = [F.when(long, none).otherwise(_sets_of("prefix", k))] if k > 2 else [_sets_of("prefix", k)]
+    if k > 2:
+        sets.append(F.when(near, _sets_of("pairs", 2)).otherwise(none))
+    else:
+        shaped = shaped.withColumn("prefix", prefixes(2))
     sets += [F.when(F.col("need") <= j, _sets_of("tokens", j)).otherwise(none) for j in range(1, k)]
-    return sized.select(*block, *CARRIED, F.explode(F.array_distinct(F.concat(*sets))).alias("sig"))
+    return shaped.select(*block, *CARRIED, F.explode(F.array_distinct(F.concat(*sets))).alias("sig"))
 
 
-def _first_signature(need: Column, k: int) -> Column:
-    """The signature a pair counts under, of the several it may meet under: its first common tokens."""
-    prefixes = F.expr("array_intersect(slice(a_tokens, 1, a_reach), slice(b_tokens, 1, b_reach))")
-    common = F.when(need >= k, prefixes).otherwise(F.array_intersect("a_tokens", "b_tokens"))
-    chosen = F.slice(common, F.lit(1), F.least(need, F.lit(k)).cast("int"))
-    # from the last token on, as the sets are hashed; a NULL start adds nothing to the hash
-    return F.aggregate(F.reverse(chosen), F.lit(None).cast("long"), lambda acc, t: F.xxhash64(t, acc))
+def _band(n: Column) -> tuple[Column, Column]:
+    """First and last length of the band of a length: each length below 32 is one, longer ones share eight bands up to the double."""
+    power = F.call_function("shiftleft", F.lit(1), F.length(F.bin(n.cast("long"))) - 1)
+    step = F.greatest(F.floor(power / 8), F.lit(1)).cast("int")
+    first = F.when(n < 32, n).otherwise(power + F.floor((n - power) / step).cast("int") * step).cast("int")
+    return first, F.when(n < 32, n).otherwise(first + step - 1).cast("int")
 
 
-def similar_pairs(
+def _banded(names: DataFrame, low: Column, e: Edits) -> DataFrame:
+    """The band of a length with its edits (``most``), piece length (``size``) and block width."""
+    first, last = _band(low)
+    names = names.withColumns({"band": first, "last": last})
+    most = F.floor(F.lit(e.short) * F.col("last") + F.lit(e.long) * F.floor(F.lit(e.reach) * F.col("last") + EPS) + EPS)
+    names = names.withColumn("most", most.cast("int"))
+    return names.withColumns({"size": F.floor(F.col("band") / (F.col("most") + 1)).cast("int"), "width": 2 * F.col("most") + 1})
+
+
+def _pieces(sized: DataFrame, block: Sequence[str], e: Edits) -> DataFrame:
+    """One row per name and piece of it, as the shorter name of a pair: the first ``most`` + 1 pieces of its band's size."""
+    banded = _banded(sized, F.length("name"), e)
+    place = F.transform(
+        F.sequence(F.lit(0), F.col("most")),
+        lambda i: F.xxhash64("band", F.floor(i * F.col("size") / F.col("width")), F.substring("name", i * F.col("size") + 1, F.col("size"))),
+    )
+    return banded.select(*block, *CARRIED, F.explode(F.array_distinct(place)).alias("sig"))
+
+
+def _probes(sized: DataFrame, block: Sequence[str], e: Edits) -> DataFrame:
+    """One row per name, band it can be the longer name for, and place a piece can stand in it."""
+    least = F.greatest(F.ceil(F.length("name") / F.lit(e.reach) - EPS), F.lit(1)).cast("int")
+    bands = F.array_distinct(F.transform(F.sequence(least, F.length("name")), lambda n: _band(n)[0]))
+    banded = _banded(sized.withColumn("low", F.explode(bands)), F.col("low"), e)
+
+    def key(at: Column, piece: Column) -> Column:
+        return F.xxhash64("band", F.floor(at / F.col("width")), piece)
+
+    def places(p: Column) -> Column:
+        piece = F.substring("name", p + 1, F.col("size"))
+        return F.array(key(p - F.col("most"), piece), key(p + F.col("most"), piece))
+
+    every = F.transform(F.sequence(F.lit(0), F.length("name") - F.col("size")), places)
+    return banded.select(*block, *CARRIED, F.explode(F.array_distinct(F.flatten(every))).alias("sig"))
+
+
+def candidate_pairs(
     names: DataFrame, measure: str, threshold: float, block: Sequence[str] = (), hot_rows: int = 20_000
 ) -> DataFrame:
-    """All pairs of distinct names (within a block) whose score reaches the threshold.
+    """Pairs that meet under a signature and pass the native checks (``a_`` and ``b_`` columns): every match is among them, once.
 
-    Result: block columns, left_id < right_id, both names, both member counts and
-    score. The distinct names are written once to the shared folder, because three
-    branches read them. A signature shared by more than ``hot_rows`` names is cut
-    into slices that are joined in separate tasks.
+    The distinct names are written once to the shared folder, because several branches
+    read them. A signature shared by more than ``hot_rows`` names is cut into slices that
+    are joined in separate tasks. Signature rows are narrow: text and characters of the
+    names are joined to the pairs that are left, so a long name may have many rows.
     """
     m = MEASURES[measure]
     least = m.least(threshold)
@@ -214,42 +291,68 @@ def similar_pairs(
     # A fixed number of tasks: the input of the join is small next to its work, so it must not be merged into few.
     tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
     k = _set_size(least)
-    _sized(names.repartition(tasks, "name"), least, k).write.parquet(folder)
-    sigs = _signatures(spark.read.parquet(folder), block, k)
+    # rows are numbered as they are written; what is read again keeps its numbers
+    _sized(names.repartition(tasks, "name"), least).withColumn("row", F.monotonically_increasing_id()).write.parquet(folder)
+    sized = spark.read.parquet(folder)
+    edits = m.edits(threshold)
+    by_pieces = edits is not None and edits.selective()
+    if by_pieces:
+        ours, theirs = _pieces(sized, block, edits), _probes(sized, block, edits)
+    else:
+        ours = theirs = _signatures(sized, block, least, k)
     key = [*block, "sig"]
     hot = (
-        sigs.groupBy(*key)
+        ours.groupBy(*key)
         .agg(F.count("*").alias("_n"))
         .filter(F.col("_n") > hot_rows)
         .select(*key, F.ceil(F.col("_n") / F.lit(hot_rows)).cast("int").alias("_slices"))
     )
-    sliced = sigs.join(hot, key, "left").withColumn("_slices", F.coalesce("_slices", F.lit(1)))
-    left = sliced.select(
+
+    def sliced(sigs: DataFrame) -> DataFrame:
+        return sigs.join(hot, key, "left").withColumn("_slices", F.coalesce("_slices", F.lit(1)))
+
+    left = sliced(ours).select(
         *key,
-        F.pmod(F.xxhash64("name"), F.col("_slices")).cast("int").alias("_slice"),
+        F.pmod(F.xxhash64("row"), F.col("_slices")).cast("int").alias("_slice"),
         *[F.col(c).alias(f"a_{c}") for c in CARRIED],
     )
-    right = sliced.select(
+    right = sliced(theirs).select(
         *key,
         F.explode(F.sequence(F.lit(0), F.col("_slices") - 1)).alias("_slice"),
         *[F.col(c).alias(f"b_{c}") for c in CARRIED],
     )
-    need = m.overlap(F.length("a_name"), F.length("b_name"), threshold) - EPS
+    a, b = F.col("a_length"), F.col("b_length")
+    need = m.overlap(a, b, threshold) - EPS
 
     def lacking(one: str, other: str) -> Column:
         """Tokens of one name that the other certainly lacks."""
         return F.bit_count(F.col(f"{one}_mask").bitwiseAND(F.bitwise_not(F.col(f"{other}_mask"))))
 
-    candidates = (
-        # a merge join: the size of exploded signatures is not known well enough to broadcast them
-        left.repartition(tasks, *key, "_slice")
-        .join(right.hint("merge"), [*key, "_slice"])
-        .filter(F.col("a_name") < F.col("b_name"))
-        .filter(F.length("a_name") - lacking("a", "b") >= need)
-        .filter(F.length("b_name") - lacking("b", "a") >= need)
-        .filter(F.size(F.array_intersect("a_tokens", "b_tokens")) >= need)
-        .filter(F.col("sig") == _first_signature(F.greatest(F.ceil(need), F.lit(1)), k))
-    )
+    # a merge join: the size of exploded signatures is not known well enough to broadcast them
+    met = left.repartition(tasks, *key, "_slice").join(right.hint("merge"), [*key, "_slice"])
+    if by_pieces:  # the shorter name was cut; of equally long ones either, once
+        met = met.filter((a < b) | ((a == b) & (F.col("a_row") < F.col("b_row")))).filter(b <= F.lit(edits.reach) * a + EPS)
+    else:
+        met = met.filter(F.col("a_row") < F.col("b_row"))
+    # a pair may meet under several signatures
+    met = met.filter(a - lacking("a", "b") >= need).filter(b - lacking("b", "a") >= need)
+    met = met.select("a_row", "b_row").distinct()
+    for side in ("a", "b"):
+        own = sized.select(*(block if side == "a" else ()), *[F.col(c).alias(f"{side}_{c}") for c in ("row", "id", "name", "members", "length", "tokens")])
+        met = met.join(own, f"{side}_row")
+    return met.filter(F.size(F.array_intersect("a_tokens", "b_tokens")) >= need)
+
+
+def similar_pairs(
+    names: DataFrame, measure: str, threshold: float, block: Sequence[str] = (), hot_rows: int = 20_000
+) -> DataFrame:
+    """All pairs of distinct names (within a block) whose score reaches the threshold.
+
+    Result: block columns, left_id < right_id, both names, both member counts and
+    score (see ``candidate_pairs`` for how pairs are found).
+    """
+    m = MEASURES[measure]
+    candidates = candidate_pairs(names, measure, threshold, block, hot_rows)
     # The smaller id comes first, also for scoring: some measures depend on the order in rare cases.
     swap = F.col("a_id") > F.col("b_id")
 

@@ -68,6 +68,39 @@ def test_similarity_join_loses_and_repeats_no_pair(spark, measure, threshold, ho
     assert expected
 
 
+@pytest.mark.parametrize("measure, threshold", [("matching_blocks", 0.92), ("indel", 0.9), ("edit", 0.8), ("jaro_winkler", 0.9), ("blended", 0.95), ("blended", 0.8)])
+def test_long_names_among_short_ones(spark, measure, threshold):
+    """A name of 1,000 characters and near copies of it, beside names of every band; brute force over all pairs."""
+    rng = random.Random(7)
+    base = "".join(rng.choice("abcdefgh ") for _ in range(1000)).strip()
+    names = {base, base[:-1] + "x", "q" + base, base[:500] + base[510:], base[3:]}
+    for n in (1, 2, 5, 12, 31, 32, 33, 36, 40, 47, 63, 64, 65, 100):
+        one = "".join(rng.choice("abcdefghij") for _ in range(n))
+        names |= {one, one[: n // 2] + "zz" + one[n // 2 :], one[1:] or "k", one + "y", "w" + one[:-1], one[: n // 3] + one[n // 3 + 2 :] or "m"}
+    names = sorted(names)
+    reduced = matching.distinct_names(spark.createDataFrame(list(enumerate(names)), "id long, name string"), "id", F.col("name"))
+    found = {(r["left_id"], r["right_id"]) for r in matching.similar_pairs(reduced, measure, threshold).collect()}
+    assert found == {(i, j) for i, a in enumerate(names) for j, b in enumerate(names) if i < j and BRUTE[measure](a, b) >= threshold}
+
+
+@pytest.mark.parametrize("measure, threshold", [("edit", 0.8), ("indel", 0.9), ("matching_blocks", 0.92), ("blended", 0.95)])
+def test_compared_pairs_grow_with_the_names(spark, measure, threshold):
+    """Twice as many names of one alphabet and length make about twice as many pairs that meet, not four times."""
+    rng = random.Random(3)
+
+    def names(n):
+        out = set()
+        while len(out) < n:
+            one = "".join(rng.choice("eariotnslcudpmhgbfyw") for _ in range(rng.randint(18, 24)))
+            out |= {one, one[:9] + "x" + one[9:]}
+        return spark.createDataFrame(list(enumerate(sorted(out))), "id long, name string")
+
+    met = [
+        matching.candidate_pairs(matching.distinct_names(names(n), "id", F.col("name")), measure, threshold).count() for n in (8_000, 16_000)
+    ]
+    assert met[0] >= 3_500 and met[1] < 2.6 * met[0]
+
+
 def test_too_low_threshold_is_refused(spark):
     df = spark.createDataFrame([(1, "a")], "id long, name string")
     with pytest.raises(ValueError):
