@@ -19,7 +19,7 @@ set. The join is exact for components: no link between different sets is lost.
    pairs that neither decides are compared themselves.
 
 Before a comparison the parities of the two sets' elements, hashed to ``PARITY_BITS``
-places, bound the overlap from above. Texts are fetched again for sets that are
+places or at least two for each element, bound the overlap from above. Texts are fetched again for sets that are
 compared; a bitmap of fixed size keeps the others out of the shuffle. Pairs of clusters
 that other links connect already are not compared any further. Words are ``[^\\x20\\x09-\\x0D]+``
 with A-Z lower-cased; a text of fewer words is one shingle. Null, empty and blank
@@ -155,12 +155,11 @@ def describe(docs: DataFrame, often: np.ndarray) -> DataFrame:
                     least[k, some] = np.minimum.reduceat(K.mix(value ^ seed), first[:-1][some])
             keys = [_chain(least[k * HASHES_PER_KEY : (k + 1) * HASHES_PER_KEY]) for k in range(KEYS)]
             keys = np.stack(keys + [_chain(least[list(x)]) for x in PAIRS_OF_HASHES], axis=1).view(np.int64)
-            odd = np.bincount(row * PARITY_BITS + (value % np.uint64(PARITY_BITS)).astype(np.int64), minlength=part.num_rows * PARITY_BITS) & 1
-            parity = np.packbits(odd.astype(np.uint8).reshape(part.num_rows, PARITY_BITS), axis=1).view(np.int64)
+            parity = parities(value, first)
             held = np.append(0, np.cumsum(take)) * 4
             yield pa.RecordBatch.from_arrays(
                 [part.column(0), pa.array(n.astype(np.int64)), pa.array(set_names(value, first)), binary(prefix.astype("<u4").view(np.uint8), held),
-                 _lists(keys), _lists(parity)],
+                 _lists(keys), parity],
                 ["doc_id", "n", "name", "prefix", "keys", "parity"],
             )
         K.release()
@@ -175,6 +174,16 @@ def _chain(hashes: np.ndarray) -> np.ndarray:
     return K.mix(out)
 
 
+def parities(value: np.ndarray, first: np.ndarray) -> pa.Array:
+    """For each set the parities of its elements by hash, in at least two places for each element: longs of 64 places."""
+    n, row = np.diff(first), K.row_of(first)
+    bits = np.maximum(PARITY_BITS, 2 << np.ceil(np.log2(np.maximum(n, 1))).astype(np.int64))
+    start = np.append(0, np.cumsum(bits))
+    odd = np.bincount(start[row] + (value & (bits[row] - 1).astype(np.uint64)).astype(np.int64), minlength=start[-1]) & 1
+    words = np.packbits(odd.astype(np.uint8)).view(np.int64)
+    return pa.ListArray.from_arrays(pa.array((start // 64).astype(np.int32)), pa.array(words))
+
+
 def _lists(rows: np.ndarray) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(np.arange(len(rows) + 1, dtype=np.int32) * rows.shape[1]), pa.array(rows.ravel()))
 
@@ -274,9 +283,18 @@ def possible(pairs: DataFrame, one: DataFrame) -> DataFrame:
     for side in ("a", "b"):
         own = one.select(F.col("name").alias(f"of_{side}"), F.col("n").alias(f"n_{side}"), F.col("parity").alias(f"parity_{side}"))
         pairs = pairs.join(own, F.col(side) == F.col(f"of_{side}"))
-    differ = F.aggregate(F.zip_with("parity_a", "parity_b", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda s, n: s + n)
+    # the number of places doubles with the size; where it differs by one step, the longer list is folded once
+    least = F.least(F.size("parity_a"), F.size("parity_b"))
+
+    def folded(c: str) -> Column:
+        halves = F.zip_with(F.slice(c, F.lit(1), least), F.slice(c, least + 1, least), lambda x, y: x.bitwiseXOR(y))
+        return F.when(F.size(c) == least, F.col(c)).otherwise(halves)
+
+    differ = F.aggregate(F.zip_with(folded("parity_a"), folded("parity_b"), lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda s, n: s + n)
     total = F.col("n_a") + F.col("n_b")
-    return pairs.withColumn("possible", 9 * (total - differ) >= 8 * total).drop("of_a", "of_b", "n_a", "n_b", "parity_a", "parity_b")
+    # lists two steps apart belong to sets of which one is more than twice as large
+    near = F.greatest(F.size("parity_a"), F.size("parity_b")) <= 2 * least
+    return pairs.withColumn("possible", near & (9 * (total - differ) >= 8 * total)).drop("of_a", "of_b", "n_a", "n_b", "parity_a", "parity_b")
 
 
 def clusters(docs: DataFrame, one: DataFrame, folder: str) -> tuple[DataFrame, DataFrame]:

@@ -128,3 +128,32 @@ def test_query_equals_its_sql(spark):
     con = duckdb.connect()
     con.execute(f"CREATE VIEW documents AS SELECT * FROM '{sf}/documents.parquet'")
     assert sorted(map(tuple, catalog.op9_ngram_join(spark, sf).collect())) == sorted(con.sql(catalog.OP9_SQL).fetchall())
+
+
+def test_parities_never_rule_out_a_link(spark):
+    """Sets of sizes around the steps of the lists' lengths: similar ones stay possible, far ones of any size do not."""
+    rng = np.random.default_rng(4)
+    rows, sets_of = [], {}
+    for k, n in enumerate((1, 500, 511, 512, 513, 640, 1023, 1024, 1025, 1280, 5000, 6000, 20_000)):
+        base = rng.integers(0, 2**63, n).astype(np.uint64)
+        for j, keep in enumerate((1.0, 0.9, 0.82, 0.5)):
+            own = np.unique(np.concatenate([base[: int(n * keep)], rng.integers(0, 2**63, int(n * 0.02)).astype(np.uint64)]))
+            if len(own):
+                sets_of[100 * k + j] = own
+    value = np.concatenate(list(sets_of.values()))
+    first = np.append(0, np.cumsum([len(v) for v in sets_of.values()]))
+    lists = ngram_join.parities(value, first).to_pylist()
+    rows = [(name, len(v), p) for (name, v), p in zip(sets_of.items(), lists, strict=True)]
+    one = spark.createDataFrame(rows, "name long, n long, parity array<long>")
+    pairs = spark.createDataFrame([(a, b) for a in sets_of for b in sets_of if a > b], "a long, b long")
+    got = {(r.a, r.b): r.possible for r in ngram_join.possible(pairs, one).collect()}
+    far = 0
+    for (a, b), possible in got.items():
+        both = len(np.intersect1d(sets_of[a], sets_of[b]))
+        union = len(sets_of[a]) + len(sets_of[b]) - both
+        if 100 * both >= 80 * union:
+            assert possible
+        elif 100 * both < 60 * union and min(len(sets_of[a]), len(sets_of[b])) > 400:
+            far += 1
+            assert not possible
+    assert far > 100
