@@ -30,14 +30,15 @@ class Ordered:
     def _inside(self, inclusive: bool):
         return Window.partitionBy(RANGE, *self.key).orderBy(*self.order).rowsBetween(Window.unboundedPreceding, 0 if inclusive else -1)
 
-    def _earlier(self, rest: Column, over: str) -> DataFrame:
-        """For each cut key and range what all its earlier ranges leave over."""
+    def _earlier(self, rest: Column, over: str, later: bool = False) -> DataFrame:
+        """For each cut key and range what all its earlier (or later) ranges leave over."""
         same = F.lit(True)
         for i, k in enumerate(self.key):
             same = same & F.col(k).eqNullSafe(F.col(f"_c{i}"))
         # at most one cut key per border of two ranges
         left = self.rows.join(F.broadcast(self._cut), same).groupBy(RANGE, *[f"_c{i}" for i in range(len(self.key))]).agg(rest.alias("_rest"))
-        before = Window.partitionBy(*[f"_c{i}" for i in range(len(self.key))]).orderBy(RANGE).rowsBetween(Window.unboundedPreceding, -1)
+        frame = (1, Window.unboundedFollowing) if later else (Window.unboundedPreceding, -1)
+        before = Window.partitionBy(*[f"_c{i}" for i in range(len(self.key))]).orderBy(RANGE).rowsBetween(*frame)
         return left.select(F.col(RANGE).alias("_r"), *[f"_c{i}" for i in range(len(self.key))], F.expr(over).over(before).alias("_earlier"))
 
     def _with(self, name: str, inside: Column, earlier: DataFrame, both) -> Ordered:
@@ -55,6 +56,11 @@ class Ordered:
         rest = F.max_by(value, F.when(value.isNotNull(), F.struct(*self.order)))
         return self._with(name, inside, self._earlier(rest, "last(_rest, true)"), F.coalesce)
 
+    def next(self, name: str, value: Column) -> Ordered:
+        """Add the value, which must not be null, of the row behind each row; NULL behind the last one of a key."""
+        inside = F.lead(value).over(Window.partitionBy(RANGE, *self.key).orderBy(*self.order))
+        return self._with(name, inside, self._earlier(F.min_by(value, F.struct(*self.order)), "first(_rest)", later=True), F.coalesce)
+
     def total(self, name: str, value: Column, inclusive: bool = True) -> Ordered:
         """Add the sum of the values up to each row, or before it."""
         inside = F.sum(value).over(self._inside(inclusive))

@@ -189,14 +189,13 @@ class Scd2:
         rows = rows.join(current, F.col(self.key) == F.col("_k"), "left")
         before = F.coalesce("_before", "_now")
         kept = rows.where(before.isNull() | ~F.col("_state").eqNullSafe(before))
-        numbered = Ordered(kept, [self.key], total, f"{folder}/kept").total("n", F.lit(1)).plain()
+        # the next change is read off the order: a join with the steps themselves may broadcast them, however many they are
+        numbered = Ordered(kept, [self.key], total, f"{folder}/kept").next("_next", F.struct("_time")).total("n", F.lit(1)).plain()
         numbered.select(
-            F.col(self.key).alias("_k"), F.struct(*[c for c in staged.columns if not c.startswith("_")]).alias("s"), "c", F.col("n").cast("int").alias("n"), "_time"
-        ).write.parquet(f"{folder}/steps")
-        steps = spark.read.parquet(f"{folder}/steps")
-        following = steps.select(F.col("_k").alias("_nk"), (F.col("n") - 1).alias("_nn"), F.col("_time").alias("_until"), F.lit(True).alias("_more"))
-        joined = steps.join(following, F.col("_k").eqNullSafe(F.col("_nk")) & (F.col("n") == F.col("_nn")), "left")
-        return joined.select("_k", "s", "c", "n", "_time", "_until", F.coalesce("_more", F.lit(False)).alias("_more"))
+            F.col(self.key).alias("_k"), F.struct(*[c for c in staged.columns if not c.startswith("_")]).alias("s"), "c", F.col("n").cast("int").alias("n"), "_time",
+            F.col("_next._time").alias("_until"), F.col("_next").isNotNull().alias("_more"),
+        ).write.parquet(f"{folder}/steps")
+        return spark.read.parquet(f"{folder}/steps")
 
     def fold(
         self, dim: DataFrame, stage: DataFrame, order: Sequence[str], as_of: str, actor: str | None = None,
@@ -214,7 +213,8 @@ class Scd2:
             change_reason=F.coalesce(F.col("s.change_reason"), F.lit(default_reason)), change_source=F.coalesce(F.col("s.change_source"), F.lit(default_source)),
             change_batch_id=F.col("s.change_batch_id"), is_rollback=F.lit(False),
         )
-        first = steps.where("n = 1").select(F.col("_k").alias("_changed"), F.col("_time").alias("_since"))
+        # one row per changed key: never broadcast, whatever its size is guessed from the files
+        first = steps.where("n = 1").select(F.col("_k").alias("_changed"), F.col("_time").alias("_since")).hint("merge")
         hit = F.col("_changed").isNotNull()
         current = self.current(dim).join(first, F.col(self.key) == F.col("_changed"), "left").withColumns({
             "effective_to": F.when(hit, F.col("_since")).otherwise(F.col("effective_to")), "is_current": ~hit,
@@ -369,7 +369,8 @@ class Scd2:
         numbered = Ordered(done, ["_qk"], [*names, "_rest"], f"{folder}/rows").total("n", F.lit(1)).plain()
         numbered.select("_qk", "q", "t", "c", F.col("n").cast("int").alias("n")).write.parquet(f"{folder}/numbered")
         numbered = spark.read.parquet(f"{folder}/numbered")
-        following = numbered.select(F.col("_qk").alias("_nk"), (F.col("n") - 1).alias("_nn"))
+        # one row per request: never broadcast, whatever its size is guessed from the files
+        following = numbered.select(F.col("_qk").alias("_nk"), (F.col("n") - 1).alias("_nn")).hint("merge")
         joined = numbered.join(following, (F.col("_qk") == F.col("_nk")) & (F.col("n") == F.col("_nn")), "left")
         return joined.select("_qk", "q", "t", "c", "n", F.col("_nk").isNotNull().alias("_more"))
 

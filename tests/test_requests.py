@@ -55,6 +55,35 @@ def test_running_values_of_a_hot_key(spark, seed):
     assert sorted(map(tuple, out.collect()), key=str) == sorted(want, key=str)
 
 
+def test_next_row_of_a_hot_key(spark):
+    rng = random.Random(5)
+    rows = [(rng.choice([1, 1, 1, 1, 2, 3, None]), i) for i in range(600)]
+    rng.shuffle(rows)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")  # else few rows are one range
+    try:
+        o = Ordered(spark.createDataFrame(rows, "k int, i int"), ["k"], ["i"], work_dir(spark))
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert o.rows.where("k = 1").select("_range").distinct().count() > 1
+    out = o.next("after", F.struct("i")).plain().select("k", "i", "after.i").collect()
+    behind = {}
+    want = []
+    for k, i in sorted(rows, key=lambda r: -r[1]):
+        want.append((k, i, behind.get(k)))
+        behind[k] = i
+    assert sorted(map(tuple, out), key=str) == sorted(want, key=str)
+
+
+def test_fold_broadcasts_no_table_that_grows(spark):
+    """Steps and changed keys are small here, and yet they are not broadcast; nor are steps joined with themselves."""
+    stage = spark.createDataFrame([(k, f"a{n}", "b", None, None, None, n) for k in range(20) for n in range(3)], "k int, a string, b string, change_reason string, change_source string, change_batch_id string, turn int")
+    steps = ZONE.steps(empty_dim(spark), stage, ["turn"], NOW)
+    assert "Join" not in plan_of(steps)
+    plan = plan_of(ZONE.fold(empty_dim(spark), stage, ["turn"], NOW, steps=steps))
+    assert "BroadcastExchange" not in plan
+    assert steps.where("_more").count() == 40
+
+
 # -- several requests per key -------------------------------------------------------
 
 
