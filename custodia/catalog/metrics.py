@@ -262,17 +262,31 @@ UNION ALL SELECT 'all', 'l_extendedprice', COUNT(*), 0, COUNT(DISTINCT l_extende
 def merged_profile(spark, sf):
     """Sketches stored per month, merged per year and for the table, next to exact values: whether each is within its stated error."""
     columns = ["l_partkey", "l_extendedprice"]
-    lines = table(spark, sf, "lineitem").select(*columns, F.date_format("l_shipdate", "yyyy").alias("year"), F.date_format("l_shipdate", "yyyy-MM").alias("month"))
+    # rows carry whole numbers; years and months become text once a part
+    lines = table(spark, sf, "lineitem").select(*columns, F.year("l_shipdate").alias("y"), F.month("l_shipdate").alias("m"))
+    first_day = F.make_date("y", "m", F.lit(1))
     path = work_dir(spark, "profiles")
-    sketches.profile_parts(lines, columns, ["year", "month"]).write.parquet(path)
+    parts = sketches.profile_parts(lines, columns, ["y", "m"])
+    parts.withColumns({"year": F.date_format(first_day, "yyyy"), "month": F.date_format(first_day, "yyyy-MM")}).write.parquet(path)
     parts = spark.read.parquet(path)
-    merged = sketches.merge_profiles(parts, ["year"]).unionByName(sketches.merge_profiles(parts).withColumn("year", F.lit("all")))
+    merged = sketches.merge_profiles(parts, ["year", "y"]).unionByName(sketches.merge_profiles(parts).withColumns({"year": F.lit("all"), "y": F.lit(None).cast("int")}))
     found = sketches.read_profiles(merged)
-    values = lines.select(F.explode(F.array("year", F.lit("all"))).alias("y"), F.inline(F.array(*[F.struct(F.lit(c).alias("c"), F.col(c).cast("double").alias("v")) for c in columns])))
-    middle = values.join(found.select(F.col("year").alias("y"), F.col("column_name").alias("c"), "q50"), ["y", "c"])
-    exact = middle.groupBy("y", "c").agg(
-        F.count_distinct("v").alias("exact"), F.avg((F.col("v") < F.col("q50")).cast("double")).alias("below"), F.avg((F.col("v") <= F.col("q50")).cast("double")).alias("up_to")
+    # each value of a year once, with its rows; the table's values from those of the years
+    values = lines.select("y", F.inline(F.array(*[F.struct(F.lit(i).alias("c"), F.col(c).cast("double").alias("v")) for i, c in enumerate(columns)])))
+    counted = values.groupBy("y", "c", "v").agg(F.count("*").alias("n"))
+    of_all = counted.groupBy("c", "v").agg(F.sum("n").alias("n")).select(F.lit(None).cast("int").alias("y"), "c", "v", "n", F.lit(True).alias("whole"))
+    counted = counted.select("y", "c", "v", "n", F.lit(False).alias("whole")).unionAll(of_all)
+    # one row per year and column
+    middle = F.broadcast(found.select(
+        F.col("y").alias("of"), (F.col("year") == "all").alias("of_whole"), (F.array_position(F.array(*map(F.lit, columns)), F.col("column_name")) - 1).alias("of_c"),
+        "q50", "year", F.col("column_name").alias("column"),
+    ))
+    counted = counted.join(middle, F.col("y").eqNullSafe(F.col("of")) & (F.col("whole") == F.col("of_whole")) & (F.col("c") == F.col("of_c")))
+    below, up_to, known = (F.sum(F.when(x, F.col("n"))) for x in (F.col("v") < F.col("q50"), F.col("v") <= F.col("q50"), F.col("v").isNotNull()))
+    exact = counted.groupBy(F.col("year").alias("y"), F.col("column").alias("c")).agg(
+        F.count("v").alias("exact"), (F.coalesce(below, F.lit(0)) / known).alias("below"), (F.coalesce(up_to, F.lit(0)) / known).alias("up_to")
     )
+    found = found.drop("y")
     both = found.join(exact, (F.col("year") == F.col("y")) & (F.col("column_name") == F.col("c")))
     off = F.abs(F.col("distinct_values") - F.col("exact"))
     return both.select(

@@ -1,9 +1,11 @@
 """Logged upserts, footer counts, mergeable profiles, and signals scored once."""
 
 import random
+from datetime import datetime, timedelta
 
 from pyspark.sql import functions as F
 
+from custodia.catalog.metrics import merged_profile
 from custodia.functions import normalize_party
 from custodia.functions.similarity import blended_of, indel_ratio_of, jaro_winkler_of
 from custodia.operators import matching, sketches, upsert
@@ -74,6 +76,26 @@ def test_merged_profiles_stay_within_their_error(spark):
     assert empty.count() == 0
 
 
+def test_merged_profile_counts_each_value_of_a_year_once(spark):
+    """Rows are not copied for the table's own profile, and no text of a time is made for each row."""
+    rng = random.Random(9)
+    day = lambda n: datetime(2023, 12, 1) + timedelta(days=n)
+    data = [(rng.choice([None, rng.randrange(40)]), rng.choice([None, 0.0, -0.0, rng.randrange(300) / 4]), day(rng.randrange(60))) for _ in range(2000)]
+    data += [(None, None, datetime(1999, 1, 1)), (7, 1.5, None)]
+    path = work_dir(spark, "lines")
+    spark.createDataFrame(data, "l_partkey long, l_extendedprice double, l_shipdate timestamp_ntz").write.parquet(f"{path}/lineitem.parquet")
+    out = merged_profile(spark, path)
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert "explode(" not in plan and "date_format" not in plan
+    want = set()
+    for year in ("all", "1999", "2023", "2024"):
+        some = [r for r in data if year == "all" or r[2] and str(r[2].year) == year]
+        for k, name in enumerate(("l_partkey", "l_extendedprice")):
+            known = [r[k] for r in some if r[k] is not None]
+            want.add((year, name, len(some), len(some) - len(known), len(set(known)), True, True if known else None))
+    assert {tuple(r) for r in out.collect()} == want
+
+
 def test_signals_are_scored_once_a_pair(spark):
     names = ["acme cab", "acme cabs", "acme cab co", "metro taxi", "metro taxis"]
     df = spark.createDataFrame(list(enumerate(names)), "id long, name string")
