@@ -15,8 +15,10 @@ set. The join is exact for components: no link between different sets is lost.
    block of sizes out of reach is skipped, and pairs whose remaining length cannot
    give the overlap. Inside a cluster nothing is compared.
 4. For the pairs of clusters left, the overlap of the two roots is computed once.
-   It links them, or rules all member pairs out by their differences; only member
-   pairs that neither decides are compared themselves.
+   It links them, or rules all member pairs out by their differences; of clusters
+   that neither decides only members that meet in their own prefixes are compared
+   themselves. The root of a large cluster is the member with the fewest shingles
+   of its own, so that few clusters stay undecided.
 
 Before a comparison the parities of the two sets' elements, hashed to ``PARITY_BITS``
 places or at least two for each element, bound the overlap from above. Texts are fetched again for sets that are
@@ -129,7 +131,7 @@ def frequent(docs: DataFrame) -> np.ndarray:
 
 
 def describe(docs: DataFrame, often: np.ndarray) -> DataFrame:
-    """Each document with the size and name of its set, its prefix in the global order, and its min-hash keys."""
+    """Each document with the size and name of its set, how many of its shingles are not frequent, its prefix in the global order, and its min-hash keys."""
     order = np.argsort(often)
     shared = docs.sparkSession.sparkContext.broadcast((often[order], order))
     seeds = K.mix(np.arange(1, KEYS * HASHES_PER_KEY + 1, dtype=np.uint64) * np.uint64(0xD6E8FEB86659FD93))
@@ -147,6 +149,7 @@ def describe(docs: DataFrame, often: np.ndarray) -> DataFrame:
                 place = np.where(known[at] == value, rank[at] + 1, 0)
             # by row, place among the frequent ones, hash: within a row the hashes already ascend
             order = np.lexsort((place, row))
+            rare = np.bincount(row, place == 0, part.num_rows).astype(np.int64)
             take = np.where(some, prefix_length(n), 0)
             prefix = value[order][K.ragged(first[:-1], take)] >> np.uint64(32)
             least = np.zeros((len(seeds), part.num_rows), np.uint64)
@@ -158,13 +161,13 @@ def describe(docs: DataFrame, often: np.ndarray) -> DataFrame:
             parity = parities(value, first)
             held = np.append(0, np.cumsum(take)) * 4
             yield pa.RecordBatch.from_arrays(
-                [part.column(0), pa.array(n.astype(np.int64)), pa.array(set_names(value, first)), binary(prefix.astype("<u4").view(np.uint8), held),
+                [part.column(0), pa.array(n.astype(np.int64)), pa.array(set_names(value, first)), pa.array(rare), binary(prefix.astype("<u4").view(np.uint8), held),
                  _lists(keys), parity],
-                ["doc_id", "n", "name", "prefix", "keys", "parity"],
+                ["doc_id", "n", "name", "rare", "prefix", "keys", "parity"],
             )
         K.release()
 
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, n long, name long, prefix binary, keys array<long>, parity array<long>")
+    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, n long, name long, rare long, prefix binary, keys array<long>, parity array<long>")
 
 
 def _chain(hashes: np.ndarray) -> np.ndarray:
@@ -326,9 +329,14 @@ def clusters(docs: DataFrame, one: DataFrame, folder: str) -> tuple[DataFrame, D
         heads = placed.groupBy("k", "key", "part").agg(F.min(F.struct("name", "root")).alias("head"))
         pairs = placed.join(stored(heads, f"{folder}/heads-{turn}"), ["k", "key", "part"]).where("root <> head.root")
         pairs = pairs.select(F.greatest("name", "head.name").alias("a"), F.least("name", "head.name").alias("b")).distinct()
-    members = roots.where("node <> root").select(F.col("node").alias("a"), F.col("root").alias("b"))
-    known = members.join(links.dropDuplicates(["a", "b"]), ["a", "b"])
-    rest = stored(members.join(links.select("a", "b"), ["a", "b"], "left_anti"), f"{folder}/far-members")
+    # of a large cluster the set with the fewest shingles of its own is the root: the others differ least from it
+    own = one.select(F.col("name").alias("of"), "rare")
+    middle = roots.join(own, F.col("node") == F.col("of")).groupBy("root").agg(F.count("*").alias("n"), F.min(F.struct("rare", "node")).alias("least"))
+    middle = middle.select("root", F.when(F.col("n") > MET_TOGETHER, F.col("least.node")).otherwise(F.col("root")).alias("b"))
+    members = roots.join(middle, "root").where("node <> b").select(F.col("node").alias("a"), "b")
+    links = links.select("a", "b", "na", "nb", "both")
+    known = members.join(links.unionAll(links.select("b", "a", "nb", "na", "both")).dropDuplicates(["a", "b"]), ["a", "b"])
+    rest = stored(members.join(known, ["a", "b"], "left_anti"), f"{folder}/far-members")
     diffs = known.select("a", "b", "na", "nb", "both").unionAll(overlaps(docs, rest, one, f"{folder}/met-far").select("a", "b", "na", "nb", "both"))
     diffs = diffs.select(F.col("a").alias("name"), F.col("b").alias("root"), F.col("na").alias("n"), (F.col("na") - F.col("both")).alias("extra"))
     return links, stored(diffs, f"{folder}/members")
@@ -389,26 +397,95 @@ def _pairs(value: np.ndarray, root: np.ndarray, least: np.ndarray, most: np.ndar
     value, root, least, most, rest = (x[shared] for x in (value, root, least, most, rest))
     if not len(value):
         return
+    for left, right in _within_reach(value, root, least, most, rest, block):
+        a, b = np.maximum(root[left], root[right]), np.minimum(root[left], root[right])
+        if len(a):
+            pairs = np.unique(np.stack([a, b], axis=1), axis=0)
+            yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], ["a", "b"])
+
+
+def _within_reach(value: np.ndarray, apart: np.ndarray, least: np.ndarray, most: np.ndarray, rest: np.ndarray, block: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Places of two entries of one list that differ in ``apart`` and whose sizes and remaining lengths allow a link; lists are sorted by least size."""
     # the last entry of the same list whose least size is within most / 0.8
     _, number = np.unique(value, return_inverse=True)
     width = int(least.max()) * 2 + 4
     reach = np.searchsorted(number * width + least, number * width + np.minimum(most * 5 // 4, width - 1), side="right")
-    follow = np.maximum(reach - np.arange(len(value)) - 1, 0)
-    ends = np.cumsum(follow)
-    at = 0
-    while at < len(value):
-        stop = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + block, side="right")))
-        left = np.repeat(np.arange(at, stop), follow[at:stop])
-        right = K.ragged(np.arange(at, stop) + 1, follow[at:stop])
-        good = (root[left] != root[right]) & (5 * most[right] >= 4 * least[left])
+    for left, right in _blocks(np.arange(len(value)) + 1, np.maximum(reach - np.arange(len(value)) - 1, 0), block):
+        good = (apart[left] != apart[right]) & (5 * most[right] >= 4 * least[left])
         good &= np.minimum(rest[left], rest[right]) >= needed(least[left], least[right])
-        a, b = np.maximum(root[left], root[right])[good], np.minimum(root[left], root[right])[good]
-        if len(a):
-            pairs = np.unique(np.stack([a, b], axis=1), axis=0)
-            yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], ["a", "b"])
+        yield left[good], right[good]
+
+
+def _blocks(start: np.ndarray, count: np.ndarray, block: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Each k with start[k] .. start[k] + count[k] - 1, about ``block`` pairs or those of one k at a time."""
+    ends, at = np.cumsum(count), 0
+    while at < len(count):
+        stop = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + block, side="right")))
+        yield np.repeat(np.arange(at, stop), count[at:stop]), K.ragged(start[at:stop], count[at:stop])
         at = stop
 
 
+def member_pairs(one: DataFrame, inside: DataFrame) -> DataFrame:
+    """Pairs (p, q) of sets of two clusters that are not connected, where the sets themselves meet in a prefix shingle and may be similar.
+
+    ``inside`` has name, root of the cluster, what of it is connected (``part``) and
+    ``extra``. Clusters meet as wholes first; inside one nothing is compared.
+    """
+    placed = inside.select(F.col("name").alias("of"), "root", "part", "extra").join(one.select("name", "n", "prefix"), F.col("of") == F.col("name"))
+    placed = placed.select("prefix", "root", "part", "name", "n", "extra")
+
+    def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in K.slices(batches, 0, 1 << 20):
+            raw, at = K.flat(part.column(0))
+            value, first = np.ascontiguousarray(raw).view("<u4").astype(np.int64), at // 4
+            row = K.row_of(first)
+            own = [part.column(k).to_numpy()[row] for k in range(1, 6)]
+            rest = own[3] - (np.arange(len(value)) - first[row])
+            yield pa.RecordBatch.from_arrays([pa.array(x) for x in (value, *own, rest)], _POSTING)
+
+    postings = placed.mapInArrow(emit, ", ".join(f"{c} long" for c in _POSTING))
+    postings = postings.repartition("value").sortWithinPartitions("value", "root", "name")
+
+    def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[np.ndarray] = [np.zeros(0, np.int64)] * len(_POSTING)
+        for part in _and_end(batches):
+            rows = held if part is None else [np.concatenate([h, c.to_numpy()]) for h, c in zip(held, part.columns, strict=True)]
+            whole = len(rows[0]) if part is None else int(np.searchsorted(rows[0], rows[0][-1])) if len(rows[0]) else 0
+            held = [r[whole:] for r in rows]
+            yield from _member_pairs(*(r[:whole] for r in rows))
+
+    return postings.mapInArrow(meet, ", ".join(f"{c} long" for c in _MET)).distinct()
+
+
+_POSTING = ["value", "root", "part", "name", "n", "extra", "rest"]
+_MET = ["a", "b", "p", "q", "n_p", "n_q", "extra_p", "extra_q"]
+
+
+def _member_pairs(
+    value: np.ndarray, root: np.ndarray, part: np.ndarray, name: np.ndarray, n: np.ndarray, extra: np.ndarray, rest: np.ndarray, block: int = 1 << 20
+) -> Iterator[pa.RecordBatch]:
+    """Of each list, sorted by cluster, the sets of clusters that meet as wholes, one set against a cluster and then against its sets."""
+    if not len(value):
+        return
+    start = np.flatnonzero(np.append(True, (value[1:] != value[:-1]) | (root[1:] != root[:-1])))
+    least, most, longest = np.minimum.reduceat(n, start), np.maximum.reduceat(n, start), np.maximum.reduceat(rest, start)
+    count = np.diff(np.append(start, len(value)))
+    by = np.lexsort((least, value[start]))
+    start, count, least, most, longest = (x[by] for x in (start, count, least, most, longest))
+    for left, right in _within_reach(value[start], part[start], least, most, longest, block):
+        for k, p in _blocks(start[left], count[left], block):
+            other = right[k]
+            good = (rest[p] >= needed(n[p], least[other])) & (5 * most[other] >= 4 * n[p]) & (5 * n[p] >= 4 * least[other])
+            p, other = p[good], other[good]
+            for j, q in _blocks(start[other], count[other], block):
+                good = np.minimum(rest[p[j]], rest[q]) >= needed(n[p[j]], n[q])
+                x, y = p[j][good], q[good]
+                if len(x):
+                    x, y = np.where(root[x] > root[y], x, y), np.where(root[x] > root[y], y, x)
+                    made = [root[x], root[y], name[x], name[y], n[x], n[y], extra[x], extra[y]]
+                    yield pa.RecordBatch.from_arrays([pa.array(c) for c in made], _MET)
+
+
 def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per document: doc_id, n_shingles, component_id (smallest id reachable by links)."""
     return _joined(docs, id_col, text_col).drop("name")
@@ -420,7 +497,7 @@ def _joined(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     folder = work_dir(docs.sparkSession, "ngram-join")
     described = stored(describe(docs, frequent(docs)), f"{folder}/sets")
     held = described.where("n > 0 AND doc_id IS NOT NULL")
-    one = held.groupBy("name").agg(F.min(F.struct("doc_id", "n", "prefix", "keys", "parity")).alias("x")).select("name", "x.*")
+    one = held.groupBy("name").agg(F.min(F.struct("doc_id", "n", "rare", "prefix", "keys", "parity")).alias("x")).select("name", "x.*")
     one = stored(one, f"{folder}/one")
     links, members = clusters(docs, one, folder)
     pairs = possible(stored(candidates(one, members), f"{folder}/candidates"), one)
@@ -447,17 +524,13 @@ def _joined(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     open_ = open_.where(F.coalesce("root_a", "a") != F.coalesce("root_b", "b"))
     open_ = stored(open_.select("a", "b", "na", "nb", "both"), f"{folder}/open")
     if not open_.isEmpty():
-        sides = []
-        for side in ("a", "b"):
-            m = members.select(F.col("root").alias("of"), F.col("name").alias("x"), F.col("n").alias("m"), "extra")
-            every = open_.select("a", "b", "both", F.col(side).alias("x"), F.col(f"n{side}").alias("m"), F.lit(0).cast("long").alias("extra"))
-            every = every.unionAll(open_.join(m, F.col(side) == F.col("of")).select("a", "b", "both", "x", "m", "extra"))
-            sides.append(every.select("a", "b", "both", F.struct("x", "m", "extra").alias(f"set_{side}")))
-        inner = sides[0].join(sides[1].drop("both"), ["a", "b"])
-        bound = F.col("both") + F.col("set_a.extra") + F.col("set_b.extra")
-        inner = inner.where(9 * bound >= 4 * (F.col("set_a.m") + F.col("set_b.m")))
-        inner = inner.where((5 * F.col("set_a.m") >= 4 * F.col("set_b.m")) & (5 * F.col("set_b.m") >= 4 * F.col("set_a.m")))
-        inner = inner.select(F.col("set_a.x").alias("p"), F.col("set_b.x").alias("q"), "a", "b").where("p <> a OR q <> b")
+        heads = open_.select(F.col("a").alias("head")).unionAll(open_.select("b")).distinct()
+        heads = heads.join(roots, F.col("head") == F.col("node"), "left").select("head", F.coalesce("root", "head").alias("part"))
+        heads = stored(heads, f"{folder}/open-heads")
+        inside = members.join(heads, F.col("root") == F.col("head")).select("name", "root", "part", "extra")
+        inside = inside.unionAll(heads.select("head", "head", "part", F.lit(0).cast("long")))
+        inner = member_pairs(one, inside).join(open_.select("a", "b", "both"), ["a", "b"]).where("p <> a OR q <> b")
+        inner = inner.where(9 * (F.col("both") + F.col("extra_p") + F.col("extra_q")) >= 4 * (F.col("n_p") + F.col("n_q")))
         inner = inner.select(F.greatest("p", "q").alias("a"), F.least("p", "q").alias("b")).distinct()
         inner = stored(possible(inner, one).where("possible").drop("possible"), f"{folder}/inner")
         inner_met = stored(overlaps(docs, inner, one, f"{folder}/met-inner"), f"{folder}/inner-met")

@@ -157,3 +157,20 @@ def test_parities_never_rule_out_a_link(spark):
             far += 1
             assert not possible
     assert far > 100
+
+
+def test_members_of_undecided_clusters_are_not_all_paired(spark, monkeypatch):
+    """A large group of near copies and sets just out of its reach: pairs stay in proportion to the sets."""
+    rng = random.Random(5)
+    base, texts = words(rng, 150, 10**6), []
+    for edits, size in ((range(0, 4), 400), (range(3, 7), 80)):
+        for _ in range(size):
+            copy = list(base)
+            for place in rng.sample(range(5, 145, 6), rng.choice(edits)):
+                copy[place] = f"e{rng.randrange(10**6)}"
+            texts.append(" ".join(copy))
+    rng.shuffle(texts)
+    rows, met, possible = list(enumerate(texts)), [], ngram_join.possible
+    monkeypatch.setattr(ngram_join, "possible", lambda pairs, one: met.append(pairs.count()) or possible(pairs, one))
+    assert joined(spark, rows) == plain(rows)
+    assert max(met) <= 8 * len(rows)
