@@ -301,7 +301,7 @@ def possible(pairs: DataFrame, one: DataFrame) -> DataFrame:
 
 
 def clusters(docs: DataFrame, one: DataFrame, folder: str) -> tuple[DataFrame, DataFrame]:
-    """Links found by equal keys, and every set of two or more linked ones with its root and the sizes of both differences.
+    """Components of the links found by equal keys, as stars, and every set of two or more linked ones with its root and the sizes of both differences.
 
     First every set meets the smallest name of the key group it is in most often;
     then, in rounds, sets not yet connected meet one of about ``MET_TOGETHER``
@@ -321,7 +321,8 @@ def clusters(docs: DataFrame, one: DataFrame, folder: str) -> tuple[DataFrame, D
         if turn and found.isEmpty():
             break
         links = found if links is None else links.unionAll(found)
-        roots = stored(components(links, f"{folder}/components-1-{turn}"), f"{folder}/roots-{turn}")
+        joined = found if roots is None else stars(roots).unionAll(found.select("a", "b"))
+        roots = stored(components(joined, f"{folder}/components-1-{turn}"), f"{folder}/roots-{turn}")
         own = roots.select(F.col("node").alias("of"), "root")
         placed = keyed.join(sizes.select("k", "key", "n"), ["k", "key"]).withColumn("part", F.pmod(F.xxhash64("name", F.lit(turn)), F.ceil(F.col("n") / MET_TOGETHER)))
         placed = placed.join(own, F.col("name") == F.col("of"), "left").select("k", "key", "part", "name", F.coalesce("root", "name").alias("root"))
@@ -339,7 +340,12 @@ def clusters(docs: DataFrame, one: DataFrame, folder: str) -> tuple[DataFrame, D
     rest = stored(members.join(known, ["a", "b"], "left_anti"), f"{folder}/far-members")
     diffs = known.select("a", "b", "na", "nb", "both").unionAll(overlaps(docs, rest, one, f"{folder}/met-far").select("a", "b", "na", "nb", "both"))
     diffs = diffs.select(F.col("a").alias("name"), F.col("b").alias("root"), F.col("na").alias("n"), (F.col("na") - F.col("both")).alias("extra"))
-    return links, stored(diffs, f"{folder}/members")
+    return stars(roots), stored(diffs, f"{folder}/members")
+
+
+def stars(roots: DataFrame) -> DataFrame:
+    """Edges (a, b) from every other node to its root: of the same components, with nothing left to follow."""
+    return roots.where("node <> root").select(F.col("node").alias("a"), F.col("root").alias("b"))
 
 
 def candidates(one: DataFrame, members: DataFrame) -> DataFrame:
@@ -499,7 +505,7 @@ def _joined(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     held = described.where("n > 0 AND doc_id IS NOT NULL")
     one = held.groupBy("name").agg(F.min(F.struct("doc_id", "n", "rare", "prefix", "keys", "parity")).alias("x")).select("name", "x.*")
     one = stored(one, f"{folder}/one")
-    links, members = clusters(docs, one, folder)
+    together, members = clusters(docs, one, folder)
     pairs = possible(stored(candidates(one, members), f"{folder}/candidates"), one)
     heads = members.select(F.col("root").alias("head")).distinct().withColumn("many", F.lit(True))
     for side in ("a", "b"):  # of a cluster the root says nothing yet about the others
@@ -507,7 +513,7 @@ def _joined(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     pairs = stored(pairs.where("possible OR many_a OR many_b").select("a", "b"), f"{folder}/pairs")
     met = stored(overlaps(docs, pairs, one, f"{folder}/met-roots"), f"{folder}/met")
     linked = met.where(similar(F.col("both"), F.col("na"), F.col("nb"))).select("a", "b")
-    roots = stored(components(links.select("a", "b").unionAll(linked), f"{folder}/components-2"), f"{folder}/all-roots")
+    roots = stored(components(together.unionAll(linked), f"{folder}/components-2"), f"{folder}/all-roots")
 
     # pairs of clusters that the roots do not decide, and that are not in one component anyway
     spans = members.groupBy(F.col("root").alias("of")).agg(F.min("n").alias("least"), F.max("n").alias("most"), F.max("extra").alias("extra"))
@@ -536,8 +542,7 @@ def _joined(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
         inner_met = stored(overlaps(docs, inner, one, f"{folder}/met-inner"), f"{folder}/inner-met")
         more = inner_met.where(similar(F.col("both"), F.col("na"), F.col("nb"))).select("a", "b")
         if not more.isEmpty():
-            stars = roots.where("node <> root").select(F.col("node").alias("a"), F.col("root").alias("b"))
-            roots = stored(components(stars.unionAll(more), f"{folder}/components-3"), f"{folder}/last-roots")
+            roots = stored(components(stars(roots).unionAll(more), f"{folder}/components-3"), f"{folder}/last-roots")
 
     of = roots.select(F.col("node").alias("of"), "root")
     placed = stored(one.select("name", "doc_id").join(of, F.col("name") == F.col("of"), "left"), f"{folder}/placed")

@@ -9,6 +9,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 from custodia.llm import catalog, ngram_join
+from custodia.llm import components as components_module
 from custodia.llm.components import components
 from custodia.session import work_dir
 
@@ -174,3 +175,12 @@ def test_members_of_undecided_clusters_are_not_all_paired(spark, monkeypatch):
     monkeypatch.setattr(ngram_join, "possible", lambda pairs, one: met.append(pairs.count()) or possible(pairs, one))
     assert joined(spark, rows) == plain(rows)
     assert max(met) <= 8 * len(rows)
+
+
+def test_components_that_are_stars_need_no_round(spark, monkeypatch):
+    steps = []
+    monkeypatch.setattr(components_module, "stored", lambda df, path, keep=components_module.stored: steps.append(path) or keep(df, path))
+    stars = [(k, 1) for k in range(2, 40)] + [(50, 45), (45, 45)]
+    found = components(spark.createDataFrame(stars, "a long, b long"), work_dir(spark, "components")).collect()
+    assert sorted(map(tuple, found)) == [(1, 1), *((k, 1) for k in range(2, 40)), (45, 45), (50, 45)]
+    assert len(steps) == 1
